@@ -17,16 +17,27 @@ from ..plans.joins import bounded_broadcast
 
 DEFAULT_BATCH = 5000
 BLOCK = 100_000  # records per numbering block in multi-line dumps
+BLOCK_BYTES = 1 << 20  # bytes of a single-line dump per numbering block
 
 
 def with_position(outcomes: DataFrame) -> DataFrame:
-    """Add ``pos``: 0-based position of the record over all files in file order."""
-    # single-line dumps: _ob is the split offset (bounded); multi-line: _ob is the record number
-    blk = F.when(F.col("_om") == 0, F.floor(F.col("_ob") / BLOCK)).otherwise(F.col("_ob"))
+    """Add ``pos``: 0-based position of the record over all files in file order.
+
+    Records are numbered inside bounded blocks (about 1 MiB of a single-line
+    dump, or 100,000 records of a multi-line one); block offsets come from a
+    running sum over the blocks of each file and one over the files, both on
+    tables with one row per block or per file.
+    """
+    # single-line dumps: _ob is the split's byte offset; multi-line: the record number
+    blk = F.when(F.col("_om") == 0, F.floor(F.col("_ob") / BLOCK)).otherwise(F.floor(F.col("_ob") / BLOCK_BYTES))
     x = outcomes.withColumn("_blk", blk.cast("long"))
     per_blk = x.groupBy("_p", "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    w_all = Window.orderBy("_p", "_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_blk.select("_p", "_blk", F.coalesce(F.sum("_n").over(w_all), F.lit(0)).alias("_off"))
+    in_file = Window.partitionBy("_p").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    per_blk = per_blk.withColumn("_boff", F.coalesce(F.sum("_n").over(in_file), F.lit(0)))
+    per_file = per_blk.groupBy("_p").agg(F.sum("_n").alias("_fn"))
+    files = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    per_file = per_file.select("_p", F.coalesce(F.sum("_fn").over(files), F.lit(0)).alias("_foff"))
+    offs = per_blk.join(per_file, "_p").select("_p", "_blk", (F.col("_foff") + F.col("_boff")).alias("_off"))
     w = Window.partitionBy("_p", "_blk").orderBy("_ob", "_om")
     return (
         x.join(bounded_broadcast(offs), ["_p", "_blk"])
@@ -70,7 +81,7 @@ def totals(outcomes: DataFrame) -> DataFrame:
 
 def sample_failures(outcomes: DataFrame, per_batch: int = 5, batch_size: int = DEFAULT_BATCH) -> DataFrame:
     """AGG-4: the first ``per_batch`` failures of every batch (a batch is bounded)."""
-    b = with_batch(outcomes.filter(F.col("status") == "rejected"), batch_size)
+    b = with_batch(outcomes, batch_size).filter(F.col("status") == "rejected")
     w = Window.partitionBy("batch").orderBy("pos")
     return b.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= per_batch).drop("_rn")
 

@@ -19,31 +19,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.joins import bounded_broadcast
 from ..session import scratch_root
 
-STATUS_COLS = ("_p", "_ob", "_om", "status", "reason", "category")
+STATUS_COLS = ("_ord", "status", "reason", "category")
 
 
 @dataclass
 class Upserted:
     target: DataFrame  # new table state
-    status: DataFrame  # _p, _ob, _om, status, reason, category (one row per incoming row)
+    status: DataFrame  # _ord, status, reason, category (one row per incoming row)
 
 
 def _status(df: DataFrame, status, reason, category) -> DataFrame:
-    return df.select(
-        F.col("_ord._p").alias("_p"),
-        F.col("_ord._ob").alias("_ob"),
-        F.col("_ord._om").alias("_om"),
-        status.alias("status"),
-        reason.alias("reason"),
-        category.alias("category"),
-    )
+    return df.select("_ord", status.alias("status"), reason.alias("reason"), category.alias("category"))
 
 
 def _existing_keys(existing: DataFrame | None, keys: Sequence[str]) -> DataFrame | None:
@@ -174,11 +167,8 @@ def _components(spark, edges: DataFrame) -> DataFrame:
 _REPLAY_SCHEMA = T.StructType(
     [
         T.StructField("_kind", T.StringType()),
-        T.StructField("_p", T.StringType()),
-        T.StructField("_ob", T.LongType()),
-        T.StructField("_om", T.LongType()),
         T.StructField("_k", T.StringType()),
-        T.StructField("id", T.IntegerType()),
+        T.StructField("id", T.LongType()),
         T.StructField("_src", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("reason", T.StringType()),
@@ -188,13 +178,16 @@ _REPLAY_SCHEMA = T.StructType(
 
 
 def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sequential replay of one dirty component (existing rows first, then file order)."""
-    pdf = pdf.sort_values(["_new", "_p", "_ob", "_om"], kind="mergesort", na_position="first")
-    by_key: dict[str, tuple[int, int]] = {}  # key -> (id, source row)
-    owner: dict[int, str] = {}  # id -> key
+    """Sequential replay of one dirty component (existing rows first, then file order).
+
+    A plain state machine over two dicts: key -> (id, source row), id -> key.
+    """
+    pdf = pdf.sort_values(["_new", "_seq"], kind="mergesort")
+    by_key: dict[str, tuple[int, int]] = {}
+    owner: dict[int, str] = {}
     out = []
-    cols = [pdf[c].tolist() for c in ("_k", "id", "_new", "_ok", "_fkr", "_src", "_p", "_ob", "_om")]
-    for k, i, new, ok, fkr, src, p, ob, om in zip(*cols):
+    cols = [pdf[c].tolist() for c in ("_k", "id", "_new", "_ok", "_fkr", "_src")]
+    for k, i, new, ok, fkr, src in zip(*cols):
         i = int(i)
         if not new:
             by_key[k] = (i, -1)
@@ -203,18 +196,18 @@ def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
         cur = by_key.get(k)
         holder = owner.get(i)
         if holder is not None and holder != k:
-            out.append(("status", p, ob, om, k, i, None, "rejected", "Duplicate key violation: id=%d" % i, "unique"))
+            out.append(("status", k, i, src, "rejected", "Duplicate key violation: id=%d" % i, "unique"))
             continue
         if cur is None and not ok:
-            out.append(("status", p, ob, om, k, i, None, "rejected", fkr, "fk"))
+            out.append(("status", k, i, src, "rejected", fkr, "fk"))
             continue
         if cur is not None:
             owner.pop(cur[0], None)
         owner[i] = k
         by_key[k] = (i, int(src))
-        out.append(("status", p, ob, om, k, i, None, "inserted" if cur is None else "updated", None, None))
+        out.append(("status", k, i, src, "inserted" if cur is None else "updated", None, None))
     for k, (i, src) in by_key.items():
-        out.append(("final", None, None, None, k, i, src, None, None, None))
+        out.append(("final", k, i, src, None, None, None))
     return pd.DataFrame(out, columns=[f.name for f in _REPLAY_SCHEMA.fields])
 
 
@@ -292,27 +285,28 @@ def upsert_natural(
         return Upserted(target, status)
 
     # ---- dirty components: exact sequential replay per component.
+    id_type = dict(rows.dtypes)["id"]
     dirty_inc = inc.filter(F.col("_c").isNotNull()).withColumn("_src", F.monotonically_increasing_id())
-    dirty_inc = dirty_inc.checkpoint()  # fixes _src for the join back below
+    dirty_inc = dirty_inc.checkpoint()  # fixes _src for the joins back below
+    seq = F.row_number().over(Window.partitionBy("_c").orderBy("_ord"))
     parts = dirty_inc.select(
-        "_c", "_k", "id", F.lit(True).alias("_new"), "_ok", "_fkr", "_src",
-        F.col("_ord._p").alias("_p"), F.col("_ord._ob").alias("_ob"), F.col("_ord._om").alias("_om"),
+        "_c", "_k", F.col("id").cast("long").alias("id"), F.lit(True).alias("_new"), "_ok", "_fkr", "_src",
+        seq.cast("long").alias("_seq"),
     )
     if ex is not None:
         parts = parts.unionByName(
             ex.filter(F.col("_c").isNotNull()).select(
-                "_c", "_k", "id", F.lit(False).alias("_new"), F.lit(True).alias("_ok"),
+                "_c", "_k", F.col("id").cast("long").alias("id"), F.lit(False).alias("_new"), F.lit(True).alias("_ok"),
                 F.lit(None).cast("string").alias("_fkr"), F.lit(-1).cast("long").alias("_src"),
-                F.lit(None).cast("string").alias("_p"), F.lit(None).cast("long").alias("_ob"),
-                F.lit(None).cast("long").alias("_om"),
+                F.lit(0).cast("long").alias("_seq"),
             )
         )
     replayed = parts.groupBy("_c").applyInPandas(_replay, _REPLAY_SCHEMA).persist()
-    d_status = replayed.filter(F.col("_kind") == "status").select(*STATUS_COLS)
-    final = replayed.filter(F.col("_kind") == "final")
-    # Final row per dirty key: the update columns come from its source row (or
+    d_status = replayed.filter(F.col("_kind") == "status").join(dirty_inc.select("_src", "_ord"), "_src").select(*STATUS_COLS)
+    final = replayed.filter(F.col("_kind") == "final").withColumn("id", F.col("id").cast(id_type))
+    # Final row per dirty key: the other columns come from its source row (or
     # the existing row when no incoming row changed it).
-    from_new = final.filter(F.col("_src") >= 0).join(
+    from_new = final.filter(F.col("_src") >= 0).select("_src", "id").join(
         dirty_inc.select("_src", *[c for c in cols if c != "id"]), "_src"
     ).select(*cols)
     d_target = from_new

@@ -153,9 +153,11 @@ def _placeholders(
     for fk, _flag in checks:
         if fk.repair is not None and parents.creatable(fk.repair):
             by_template.setdefault(fk.repair, []).append(fk.column)
+    ids_by_template: dict[str, DataFrame] = {}
     for tpl, cols in by_template.items():
         parent = _TEMPLATE_PARENT[tpl]
-        ids = distinct_missing(demand, cols, parents.get(parent))
+        ids = distinct_missing(demand, cols, parents.get(parent)).persist()
+        ids_by_template[tpl] = ids
         if tpl in ("T1", "T2", "T3"):
             rows = PH.cluster_rows(ids, tpl, as_of)
         elif tpl in ("T4", "T5"):
@@ -175,8 +177,15 @@ def _placeholders(
             out.setdefault("search_parentheticalgroup", []).append(PH.group_rows(one))
     if parents.create_docket:
         for d, tpls in ((DOCKET_SENTINEL, ("T1",)), (1, ("T2", "T3", "T4"))):
-            if any(t in by_template for t in tpls) and not parents.exists("search_docket", d):
-                out.setdefault("search_docket", []).append(PH.docket_rows(PH.fixed_ids(spark, d), as_of))
+            if parents.exists("search_docket", d):
+                continue
+            need = [ids_by_template[t].limit(1) for t in tpls if t in ids_by_template]
+            if need:
+                anyone = need[0]
+                for extra in need[1:]:
+                    anyone = anyone.unionByName(extra)
+                one = anyone.limit(1).select(F.lit(d).cast("int").alias("id"))
+                out.setdefault("search_docket", []).append(PH.docket_rows(one, as_of))
     merged = {}
     for parent, dfs in out.items():
         df = dfs[0]
@@ -248,7 +257,7 @@ def load(
     else:  # pragma: no cover
         raise ValueError(spec.upsert)
 
-    status = up.status
+    status = up.status.select(*[F.col(f"_ord.{c}").alias(c) for c in ORDINAL], "status", "reason", "category")
     parse_status = bad.select(*ORDINAL, F.lit("rejected").alias("status"), "reason", "category")
     outcomes = status.unionByName(parse_status)
     if pre_rejected is not None:
