@@ -70,3 +70,151 @@ def split_e(line: str) -> list[str]:
         cur.append(c); i += 1
     out.append("".join(cur))
     return out
+
+
+# ---------------------------------------------------------------- record assembly models
+
+import re as _re
+
+START_ID_TS = _re.compile(r'"*[0-9][0-9"]*,"?[0-9]{4}-[0-9]{2}-[0-9]{2}')
+START_ID_TS_WS = _re.compile(r'[ \t\r]*(?:"[0-9]+"|[0-9]+)[ \t]*,["\t ]*[0-9]{4}-[0-9]{2}-[0-9]{2}')
+_F = r'(?:[^",]|"(?:""|[^"])*")*,'
+START_SKIP3 = _re.compile(r'(?:"[0-9]+"|[0-9]+),' + _F * 3 + r'"?[0-9]{4}-[0-9]{2}-[0-9]{2}', _re.S)
+
+
+def _skip_field(t, pos):
+    inq = False
+    while pos < len(t):
+        ch = t[pos]
+        if ch == '"':
+            if inq and pos + 1 < len(t) and t[pos + 1] == '"':
+                pos += 2
+                continue
+            inq = not inq
+            pos += 1
+            continue
+        if not inq and ch == ",":
+            return pos + 1
+        pos += 1
+    return pos
+
+
+def _skip3_start(t):
+    """Procedural model of the id / skip three fields / date rule."""
+    pos = 0
+    if t[:1] == '"':
+        pos = 1
+        if pos >= len(t) or not t[pos].isdigit():
+            return False
+        while pos < len(t) and t[pos].isdigit():
+            pos += 1
+        if pos >= len(t) or t[pos] != '"':
+            return False
+        pos += 1
+    else:
+        if not t[:1].isdigit():
+            return False
+        while pos < len(t) and t[pos].isdigit():
+            pos += 1
+    if pos >= len(t) or t[pos] != ",":
+        return False
+    pos += 1
+    for _ in range(3):
+        pos = _skip_field(t, pos)
+        if pos >= len(t):
+            return False
+    if t[pos:pos + 1] == '"':
+        pos += 1
+    return bool(_re.match(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", t[pos:pos + 10]))
+
+
+def _lines(text):
+    ls = text.split("\n")
+    if ls and ls[-1] == "" and text.endswith("\n"):
+        ls = ls[:-1]
+    return ls
+
+
+def _parity(line):
+    return line.replace('\\"', "").count('"') % 2
+
+
+def assemble(text, mode):
+    """Sequential model: list of records (header first) for one file."""
+    ls = _lines(text)
+    starts = []
+    q = 0
+    for i, line in enumerate(ls):
+        if mode == "parity":
+            s = q == 0
+        elif mode == "pattern":
+            s = i <= 1 or bool(START_ID_TS.match(line))
+        elif mode == "parity_pattern":
+            s = i <= 1 or (q == 0 and bool(START_ID_TS_WS.match(line)))
+        elif mode == "skip3":
+            s = i <= 1 or _skip3_start("\n".join(ls[i:i + 40]))
+        starts.append(s)
+        if mode == "parity" or (mode == "parity_pattern" and i >= 1):
+            q ^= _parity(line)
+    recs = []
+    for line, s in zip(ls, starts):
+        if s or not recs:
+            recs.append([line])
+        else:
+            recs[-1].append(line)
+    out = ["\n".join(r) for r in recs]
+    if mode == "pattern":
+        out = [r.rstrip(" \t\n\r\x0b\x0c") for r in out]
+    return out
+
+
+# ---------------------------------------------------------------- upsert models
+
+
+def natural_replay(existing, rows):
+    """existing: [(id, key)], rows: [(id, key, ok)] in order -> (state {key: id}, statuses)."""
+    by_key, owner, st = {}, {}, []
+    for i, k in existing:
+        by_key[k] = i
+        owner[i] = k
+    for i, k, ok in rows:
+        cur = by_key.get(k)
+        h = owner.get(i)
+        if h is not None and h != k:
+            st.append("rejected")
+            continue
+        if cur is None and not ok:
+            st.append("rejected")
+            continue
+        if cur is not None:
+            owner.pop(cur, None)
+        owner[i] = k
+        by_key[k] = i
+        st.append("inserted" if cur is None else "updated")
+    return by_key, st
+
+
+def ignore_replay(existing_ids, rows):
+    """rows: [(id, payload, ok)] -> (stored {id: payload}, statuses)."""
+    stored = {i: None for i in existing_ids}
+    st = []
+    for i, p, ok in rows:
+        if i in stored:
+            st.append("duplicate_noop")
+        elif not ok:
+            st.append("rejected")
+        else:
+            stored[i] = p
+            st.append("inserted")
+    return {k: v for k, v in stored.items() if v is not None}, st
+
+
+def last_replay(rows):
+    stored, st = {}, []
+    for i, p, ok in rows:
+        if not ok:
+            st.append("rejected")
+            continue
+        st.append("updated" if i in stored else "inserted")
+        stored[i] = p
+    return stored, st
