@@ -60,20 +60,26 @@ _FIELD = r'(?:[^",]|"(?:""|[^"])*+")*+,'
 START_ID_SKIP3_DATE = r'(?s)^(?:"[0-9]+"|[0-9]+),' + _FIELD * 3 + r'"?[0-9]{4}-[0-9]{2}-[0-9]{2}'
 SKIP3_CANDIDATE = r'^"?[0-9]'
 
-DEFAULT_LOOKAHEAD = 20
+DEFAULT_LOOKAHEAD = 0  # kept for API compatibility: the skip-3 rule is exact, no look-ahead window
+
+# commas per parity are located through buckets of this many commas (bounded join fan-out)
+COMMA_BUCKET = 1 << 20
+_ID_PREFIX = r'^(?:"[0-9]+"|[0-9]+),'
+_FIELDS3_DATE = r"^" + _FIELD * 3 + r'"?[0-9]{4}-[0-9]{2}-[0-9]{2}'
+_DATE_AHEAD = r'^"?[0-9]{4}-[0-9]{2}-[0-9]{2}'
 
 
 @dataclass(frozen=True)
 class Dump:
     """Assembled records plus the per-file header records."""
 
-    records: DataFrame  # _p, rec, line_no, raw  (data records only)
+    records: DataFrame  # _p, _ob, _om, line_no, raw  (data records only)
     headers: DataFrame  # _p, header (raw header text)
 
 
-def quote_parity(value: Column) -> Column:
-    """Quote count mod 2; ``\\"`` is a literal and does not count, ``""`` pairs cancel."""
-    stripped = F.regexp_replace(value, r'\\"', "")
+def quote_parity(value: Column, literal_escaped: bool = True) -> Column:
+    """Quote count mod 2; ``""`` pairs cancel.  ``\\"`` is a literal (not counted) unless told otherwise."""
+    stripped = F.regexp_replace(value, r'\\"', "") if literal_escaped else value
     return ((F.length(stripped) - F.length(F.replace(stripped, F.lit('"'), F.lit("")))) % 2).cast("int")
 
 
@@ -93,35 +99,118 @@ def _file_offsets(per_split: DataFrame, sums: dict[str, str]) -> DataFrame:
     return per_split.select(*cols, *[c for c in per_split.columns if c not in ("_p", "_b")])
 
 
-def _lookahead_tail(x: DataFrame, offsets: DataFrame, k: int) -> DataFrame:
-    """For every split: the first ``k`` lines that follow it in its file.
+def _commas_by_segment_parity(value: Column, parity: int) -> Column:
+    """Commas inside the quote-delimited segments of a line whose index has the given parity."""
+    segs = F.split(value, '"', -1)
+    counts = F.transform(
+        segs,
+        lambda seg, i: F.when(i % 2 == parity, F.length(seg) - F.length(F.replace(seg, F.lit(","), F.lit("")))).otherwise(0),
+    )
+    return F.aggregate(counts, F.lit(0), lambda acc, c: acc + c)
+
 
-    Those lines are always among the first ``k`` lines of their own split, so
-    only ``k`` lines per split take part (``heads``).  Lines are bucketed by
-    ``line_no div k`` so a split's need is an equi-join on at most two buckets.
+def _date_after_comma(value: Column, line_parity: Column, target_parity: Column, rank: Column) -> Column:
+    """Does a date follow the ``rank``-th comma of this line that sits at ``target_parity``?
+
+    The line is cut at its quotes; segment ``i`` has absolute parity
+    ``line_parity + i``.  Cumulative comma counts over the segments of the
+    target parity find the segment and the comma within it; the text after
+    that comma (continuing across the following quote) is tested for a date.
     """
-    heads = (
-        x.filter(F.col("_i") <= k)
-        .join(offsets.select("_p", "_b", "_n0"), ["_p", "_b"])
-        .select("_p", (F.col("_n0") + F.col("_i")).alias("_ln"), "value")
-        .withColumn("_bucket", F.floor((F.col("_ln") - 1) / k))
-    )
-    end = F.col("_n0") + F.col("_n")
-    need = offsets.select(
-        "_p",
-        F.col("_b").alias("_nb"),
-        end.alias("_end"),
-        F.array_distinct(F.array(F.floor(end / k), F.floor((end + k - 1) / k))).alias("_bks"),
-    ).select("_p", "_nb", "_end", F.explode("_bks").alias("_bucket"))
-    got = heads.join(need, ["_p", "_bucket"]).filter(
-        (F.col("_ln") > F.col("_end")) & (F.col("_ln") <= F.col("_end") + k)
+    segs = F.split(value, '"', -1)
+    counts = F.transform(
+        segs,
+        lambda seg, i: F.when(
+            (line_parity + i) % 2 == target_parity, F.length(seg) - F.length(F.replace(seg, F.lit(","), F.lit("")))
+        ).otherwise(0),
     )
-    return got.groupBy("_p", F.col("_nb").alias("_b")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_ln", "value"))), lambda s: s["value"]).alias("_next")
+    cum = F.transform(counts, lambda c, i: F.aggregate(F.slice(counts, 1, i + 1), F.lit(0), lambda a, x: a + x))
+    seg_no = F.array_position(F.transform(cum, lambda c: c >= rank), True)  # 1-based
+    before = F.get(cum, (seg_no - 2).cast("int"))
+    within = rank - F.coalesce(before, F.lit(0))
+    seg = F.get(segs, (seg_no - 1).cast("int"))
+    after = F.array_join(F.slice(F.split(seg, ",", -1), (within + 1).cast("int"), 1 << 30), ",")
+    nxt = F.when(
+        seg_no < F.size(segs),
+        F.concat(F.lit('"'), F.array_join(F.slice(segs, (seg_no + 1).cast("int"), 1 << 30), '"')),
+    ).otherwise(F.lit(""))
+    return F.coalesce(F.concat(after, nxt).rlike(_DATE_AHEAD), F.lit(False))
+
+
+def _skip3_starts(y: DataFrame) -> DataFrame:
+    """SRC-5 exactly: ``<id>,`` then three fields (quote-aware, crossing lines) then a date.
+
+    Quote state at any character is the parity of all quotes before it in the
+    file.  Each field of the rule ends at a comma whose parity equals the
+    parity at the field start, so the rule needs the third such comma after
+    ``<id>,``.  Most candidate lines hold it themselves (a regex decides).  For
+    the rest, the comma is found through file-wide running counts of commas
+    per parity: its global index is known, the split holding it comes from a
+    bucketed equi-join on a table with one row per split, and the line holding
+    it from a broadcast of the (few) pending targets.  No window of lines, no
+    cap on how far the fields run.
+    """
+    w = _split_window()
+    par = ((F.col("_q0") + F.col("_qc") - F.col("_q")) % 2).cast("int")
+    y = y.withColumn("_lpar", par)
+    even = _commas_by_segment_parity(F.col("value"), 0)
+    odd = _commas_by_segment_parity(F.col("value"), 1)
+    y = y.withColumn("_a0", F.when(F.col("_lpar") == 0, even).otherwise(odd)).withColumn(
+        "_a1", F.when(F.col("_lpar") == 0, odd).otherwise(even)
     )
+    y = y.withColumn("_a0c", F.sum("_a0").over(_running(w))).withColumn("_a1c", F.sum("_a1").over(_running(w)))
+    per_split = y.groupBy("_p", "_b").agg(F.sum("_a0").alias("_t0"), F.sum("_a1").alias("_t1"))
+    off = _file_offsets(per_split, {"_t0": "_off0", "_t1": "_off1"})
+    y = y.join(off.select("_p", "_b", "_off0", "_off1"), ["_p", "_b"])
+    y = y.withColumn("_inc0", F.col("_off0") + F.col("_a0c")).withColumn("_inc1", F.col("_off1") + F.col("_a1c"))
+    y = y.persist(StorageLevel.MEMORY_AND_DISK)  # read by the pending targets, the lookup and the result
+
+    cand = F.col("value").rlike(_ID_PREFIX)
+    rest = F.regexp_replace(F.col("value"), _ID_PREFIX, "")
+    fields = F.size(F.regexp_extract_all(F.regexp_extract(rest, "^((?:" + _FIELD + ")*+)", 1), F.lit(_FIELD), 0))
+    y = y.withColumn("_cand", cand).withColumn("_inline", cand & rest.rlike(_FIELDS3_DATE))
+    y = y.withColumn("_k", F.when(F.col("_cand") & ~F.col("_inline"), fields))
+    pending = y.filter(F.col("_cand") & ~F.col("_inline") & (F.col("_k") < 3)).select(
+        "_p",
+        F.col("_b").alias("_cb"),
+        F.col("_m").alias("_cm"),
+        F.col("_lpar").alias("_tp"),
+        (F.when(F.col("_lpar") == 0, F.col("_inc0")).otherwise(F.col("_inc1")) + 3 - F.col("_k")).alias("_t"),
+    ).persist()
+    if pending.limit(1).count() == 0:
+        y = y.withColumn("_far", F.lit(False))
+    else:
+        # split holding the target comma: bucketed equi-join over one row per split and parity
+        spans = off.select(
+            "_p", "_b", F.explode(F.array(
+                F.struct(F.lit(0).alias("_tp"), (F.col("_off0") + 1).alias("_lo"), (F.col("_off0") + F.col("_t0")).alias("_hi")),
+                F.struct(F.lit(1).alias("_tp"), (F.col("_off1") + 1).alias("_lo"), (F.col("_off1") + F.col("_t1")).alias("_hi")),
+            )).alias("_s")
+        ).select("_p", "_b", "_s.*").filter(F.col("_hi") >= F.col("_lo"))
+        spans = spans.withColumn(
+            "_bk", F.explode(F.sequence(F.floor(F.col("_lo") / COMMA_BUCKET), F.floor(F.col("_hi") / COMMA_BUCKET)))
+        )
+        tgt = pending.withColumn("_bk", F.floor(F.col("_t") / COMMA_BUCKET)).join(spans, ["_p", "_tp", "_bk"]).filter(
+            (F.col("_t") >= F.col("_lo")) & (F.col("_t") <= F.col("_hi"))
+        ).select("_p", "_b", "_cb", "_cm", "_tp", "_t")
+        # line holding it: only the splits named by a target are touched
+        lines = y.select("_p", "_b", "value", "_lpar", "_a0", "_a1", "_inc0", "_inc1")
+        hit = lines.join(bounded_broadcast(tgt), ["_p", "_b"])
+        incl = F.when(F.col("_tp") == 0, F.col("_inc0")).otherwise(F.col("_inc1"))
+        own = F.when(F.col("_tp") == 0, F.col("_a0")).otherwise(F.col("_a1"))
+        hit = hit.filter((F.col("_t") <= incl) & (F.col("_t") > incl - own))
+        rank = F.col("_t") - (incl - own)
+        res = hit.select(
+            "_p",
+            F.col("_cb").alias("_b"),
+            F.col("_cm").alias("_m"),
+            _date_after_comma(F.col("value"), F.col("_lpar"), F.col("_tp"), rank).alias("_far"),
+        )
+        y = y.join(bounded_broadcast(res), ["_p", "_b", "_m"], "left")
+    return y.withColumn("_skip3", F.col("_cand") & (F.col("_inline") | F.coalesce(F.col("_far"), F.lit(False))))
 
 
-def _start_flags(lines: DataFrame, mode: str, lookahead: int) -> DataFrame:
+def _start_flags(lines: DataFrame, mode: str) -> DataFrame:
     """Lines with ``line_no`` (in file) and ``_start`` (begins a record)."""
     w = _split_window()
     x = lines.withColumn("_i", F.row_number().over(w))
@@ -130,21 +219,16 @@ def _start_flags(lines: DataFrame, mode: str, lookahead: int) -> DataFrame:
         q = quote_parity(F.col("value"))
         if mode == "parity_pattern":  # the header is one physical line here
             q = F.when(first_line, F.lit(0)).otherwise(q)
-        x = x.withColumn("_q", q).withColumn("_qc", F.sum("_q").over(_running(w)))
+    elif mode == "skip3":  # the original field skipper counts every quote
+        q = F.when(first_line, F.lit(0)).otherwise(quote_parity(F.col("value"), literal_escaped=False))
     else:
-        x = x.withColumn("_q", F.lit(0)).withColumn("_qc", F.lit(0))
-    if mode == "skip3":
-        k = lookahead
-        cand = F.col("value").rlike(SKIP3_CANDIDATE)
-        leads = [F.lead("value", j).over(w) for j in range(1, k + 1)]
-        x = x.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_p", "_b")))
-        x = x.withColumn("_look", F.when(cand, F.concat_ws("\n", F.col("value"), *leads)))
-
+        q = F.lit(0)
+    x = x.withColumn("_q", q).withColumn("_qc", F.sum("_q").over(_running(w)))
     per_split = x.groupBy("_p", "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_q").alias("_qt"))
-    offsets = bounded_broadcast(_file_offsets(per_split, {"_n": "_n0", "_qt": "_q0"}))
-    y = x.drop("_n").join(offsets, ["_p", "_b"]) if mode == "skip3" else x.join(offsets, ["_p", "_b"])
-    line_no = F.col("_n0") + F.col("_i")
-    y = y.withColumn("line_no", line_no)
+    # The lines are already hash-partitioned and sorted by split: joining the
+    # one-row-per-split offsets on (_p, _b) moves only the small side.
+    y = x.join(_file_offsets(per_split, {"_n": "_n0", "_qt": "_q0"}), ["_p", "_b"])
+    y = y.withColumn("line_no", F.col("_n0") + F.col("_i"))
     closed = ((F.col("_q0") + F.col("_qc") - F.col("_q")) % 2) == 0
     head2 = F.col("line_no") <= 2
     if mode == "parity":
@@ -154,18 +238,8 @@ def _start_flags(lines: DataFrame, mode: str, lookahead: int) -> DataFrame:
     elif mode == "parity_pattern":
         start = head2 | (closed & F.col("value").rlike(START_ID_TS_WS))
     elif mode == "skip3":
-        nxt = _lookahead_tail(x, offsets, lookahead)
-        y = y.join(nxt, ["_p", "_b"], "left")
-        rest = F.col("_n") - F.col("_i")  # lines after this one in the split
-        extra = F.when(
-            (rest < lookahead) & F.col("_next").isNotNull(),
-            F.slice(F.col("_next"), 1, F.greatest(F.lit(lookahead) - rest, F.lit(1)).cast("int")),
-        ).otherwise(F.array().cast("array<string>"))
-        look = F.when(
-            F.col("_look").isNotNull(),
-            F.when(F.size(extra) > 0, F.concat_ws("\n", F.col("_look"), extra)).otherwise(F.col("_look")),
-        )
-        start = head2 | F.coalesce(look.rlike(START_ID_SKIP3_DATE), F.lit(False))
+        y = _skip3_starts(y)
+        start = head2 | F.col("_skip3")
     else:  # pragma: no cover
         raise ValueError(mode)
     return y.withColumn("_start", start.cast("int")).select("value", "_p", "_b", "_m", "_i", "line_no", "_start")
@@ -190,7 +264,7 @@ def _number_records(flagged: DataFrame) -> DataFrame:
         (F.col("_fs") == 0).alias("_shared_lo"),
         F.coalesce(F.col("_nfs") == 0, F.lit(False)).alias("_shared_hi"),
     )
-    y = x.join(bounded_broadcast(offs), ["_p", "_b"])
+    y = x.join(offs, ["_p", "_b"])
     rec = F.col("_r0") + F.col("_rc")
     crossing = ((F.col("rec") == F.col("_lo")) & F.col("_shared_lo")) | (
         (F.col("rec") == F.col("_hi")) & F.col("_shared_hi")
@@ -222,6 +296,23 @@ def _is_blank(c: Column) -> Column:
     return ctrim(c, C_SPACE) == F.lit("")
 
 
+def _headers_from_flags(flagged: DataFrame) -> DataFrame:
+    """Header = the lines before the first data record of each file (one line in pattern modes)."""
+    first = (
+        flagged.filter((F.col("_start") == 1) & (F.col("line_no") > 1))
+        .groupBy("_p")
+        .agg(F.min("line_no").alias("_first"))
+    )
+    hdr = flagged.join(first, "_p", "left").filter(
+        F.col("_first").isNull() | (F.col("line_no") < F.col("_first"))
+    )
+    return hdr.groupBy("_p").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("line_no", "value"))), lambda s: s["value"]), "\n"
+        ).alias("header")
+    )
+
+
 def assemble_lines(lines: DataFrame, mode: str, lookahead: int = DEFAULT_LOOKAHEAD) -> Dump:
     """Cut physical lines (from :func:`read_lines`) into records."""
     if mode not in MODES:
@@ -241,11 +332,11 @@ def assemble_lines(lines: DataFrame, mode: str, lookahead: int = DEFAULT_LOOKAHE
         )
         return Dump(records, headers)
 
-    flagged = _start_flags(lines, mode, lookahead).persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = _start_flags(lines, mode).persist(StorageLevel.MEMORY_AND_DISK)
+    headers = _headers_from_flags(flagged)
     recs = _group_records(_number_records(flagged))
     if mode == "pattern":  # SRC-3 trims trailing whitespace of every record
         recs = recs.withColumn("raw", F.regexp_replace("raw", r"[ \t\n\r\x0b\x0c]+\z", ""))
-    headers = recs.filter(F.col("rec") == 1).select("_p", F.col("raw").alias("header"))
     records = recs.filter((F.col("rec") > 1) & ~_is_blank(F.col("raw"))).select(
         "_p", F.col("rec").alias("_ob"), F.lit(0).cast("long").alias("_om"), "line_no", "raw"
     )

@@ -152,7 +152,7 @@ def assemble(text, mode):
         elif mode == "parity_pattern":
             s = i <= 1 or (q == 0 and bool(START_ID_TS_WS.match(line)))
         elif mode == "skip3":
-            s = i <= 1 or _skip3_start("\n".join(ls[i:i + 40]))
+            s = i <= 1 or _skip3_start("\n".join(ls[i:]))
         starts.append(s)
         if mode == "parity" or (mode == "parity_pattern" and i >= 1):
             q ^= _parity(line)
