@@ -123,9 +123,11 @@ def _fk_stage(valid: DataFrame, spec: TableSpec, parents: _Parents, on_missing:
             valid = valid.filter(~bad)
     ok = F.lit(True)
     fkr = None
+    repaired = F.lit(False)  # a placeholder is created for this row before its retry
     for fk, flag in checks:
         if fk.repair is not None and on_missing == "placeholder":
             if parents.creatable(fk.repair):
+                repaired = repaired | ~F.col(flag)
                 continue
             msg = f"FK violation, failed to create placeholder: {fk.column}=%s not found in {fk.parent}"
         else:
@@ -133,15 +135,26 @@ def _fk_stage(valid: DataFrame, spec: TableSpec, parents: _Parents, on_missing:
         ok = ok & F.col(flag)
         r = F.when(~F.col(flag), F.format_string(msg, F.col(fk.column).cast("string")))
         fkr = r if fkr is None else F.coalesce(fkr, r)
+    if fkr is not None:
+        # AGG-5: the repairable parent was created, the retry failed on another FK
+        fkr = F.when(repaired, F.concat(F.lit("FK violation, placeholder created but retry failed: "), fkr)).otherwise(fkr)
     valid = valid.withColumn("_ok", ok).withColumn("_fkr", fkr if fkr is not None else F.lit(None).cast("string"))
     return valid, checks, pre_rejected
 
 
 def _demand(rows: DataFrame, status: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows whose write reaches the FK check (and so demands placeholders)."""
+    """Rows whose write reaches the FK check, and so demand their missing repairable parents.
+
+    Inserts (and, for the full-row and natural-key rules, updates) that
+    succeeded, plus rows rejected at the FK check itself: the original created
+    the placeholder before the retry that failed.  No-ops, parse failures and
+    unique violations never reach the check.
+    """
     st = ["inserted"] if spec.upsert in ("ignore", "partial") else ["inserted", "updated"]
-    ok = status.filter(F.col("status").isin(*st)).select(*ORDINAL)
-    return rows.join(ok, list(ORDINAL), "left_semi")
+    reached = status.filter(
+        F.col("status").isin(*st) | ((F.col("status") == "rejected") & (F.col("category") == "fk"))
+    ).select(*ORDINAL)
+    return rows.join(reached, list(ORDINAL), "left_semi")
 
 
 def _placeholders(

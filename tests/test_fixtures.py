@@ -134,3 +134,15 @@ def test_required_header_fails_fast(spark, tmpdir_path):
     write(os.path.join(tmpdir_path, "panel.csv"), "id,person_id\n1,2\n")
     with pytest.raises(ValueError, match="required column"):
         load(spark, PANEL, tmpdir_path)
+
+
+def test_retry_failure_after_placeholder(spark, tmpdir_path):
+    write(os.path.join(tmpdir_path, "panel.csv"), PANELS)
+    clusters = spark.createDataFrame([(100,), (101,), (102,)], "id int")
+    persons = spark.createDataFrame([(i,) for i in range(200, 204)], "id int")  # 204 is missing
+    r = load(spark, PANEL, tmpdir_path, parents={"search_opinioncluster": clusters, "people_db_person": persons})
+    assert sorted(x.id for x in r.target.collect()) == [1, 2, 3, 4]
+    rej = [(x.id, x.reason) for x in r.rejects.collect()]
+    assert rej == [(5, "FK violation, placeholder created but retry failed: FK violation: person_id=204 not found in people_db_person")]
+    # the placeholder of the failed row was still created, as by the original loader
+    assert sorted(x.id for x in r.placeholders["search_opinioncluster"].collect()) == [999999, 2541571]
