@@ -26,6 +26,8 @@ TRUE_WORDS = ("true", "t", "1", "yes")
 DOCKET_SENTINEL = 2147483647
 
 INT_PREFIX = r"^([+-]?[0-9]+)"
+# stoi/stoll skip leading C white space themselves: one regex, no separate trim
+_LEAD_INT = r"^[ \t\n\r\x0b\x0c]*([+-]?[0-9]+)"
 DOUBLE_PREFIX = r"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
 
 
@@ -48,17 +50,23 @@ def int_prefix_text(c, chars: str = C_SPACE) -> Column:
     return F.regexp_extract(ctrim(c, chars), INT_PREFIX, 1)
 
 
+def _lead_int(c, chars: str = C_SPACE) -> Column:
+    if chars == C_SPACE:
+        return F.regexp_extract(_col(c), _LEAD_INT, 1)
+    return int_prefix_text(c, chars)
+
+
 def parse_int(c, default: int = 0, chars: str = C_SPACE) -> Column:
     """SCL-3: ``stoi`` semantics: digit prefix, default when absent or outside 32 bits."""
-    txt = F.nullif(int_prefix_text(c, chars), F.lit(""))
-    return F.coalesce(txt.try_cast("int"), F.lit(default).cast("int"))
+    # nullif first: a failing try_cast is far slower than a NULL input
+    return F.coalesce(F.nullif(_lead_int(c, chars), F.lit("")).try_cast("int"), F.lit(default).cast("int"))
 
 
 def parse_optional_int(c) -> Column:
     """SCL-4: blank/unparsable -> NULL; parsed as 64-bit then narrowed to 32 bits (wraps)."""
-    v = F.nullif(int_prefix_text(c), F.lit("")).try_cast("bigint")
-    low = v.bitwiseAND(F.lit(4294967295))
-    return F.when(low >= F.lit(2147483648), low - F.lit(4294967296)).otherwise(low).cast("int")
+    v = F.nullif(_lead_int(c), F.lit("")).try_cast("bigint")
+    # two's-complement narrowing with one reference to v and no overflow
+    return ((F.pmod(v, F.lit(4294967296)) + F.lit(2147483648)) % F.lit(4294967296) - F.lit(2147483648)).cast("int")
 
 
 def parse_bool(c) -> Column:
@@ -78,8 +86,9 @@ def parse_double(c, default: float = 0.0, chars: str = PAREN_SPACE) -> Column:
 def blank_to_null(c, trim_value: bool = False) -> Column:
     """SCL-7: blank text -> NULL.  ``download_url`` keeps its untrimmed value."""
     c = _col(c)
-    kept = ctrim(c) if trim_value else c
-    return F.when(c.isNull() | (ctrim(c) == F.lit("")), F.lit(None).cast("string")).otherwise(kept)
+    if trim_value:
+        return F.nullif(ctrim(c), F.lit(""))
+    return F.when(ctrim(c) != F.lit(""), c)
 
 
 def null_to_empty(c) -> Column:
