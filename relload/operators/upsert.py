@@ -286,10 +286,16 @@ def upsert_natural(
 
     # ---- dirty components: exact sequential replay per component.
     id_type = dict(rows.dtypes)["id"]
-    dirty_inc = inc.filter(F.col("_c").isNotNull()).withColumn("_src", F.monotonically_increasing_id())
+    dirty_inc = (
+        inc.filter(F.col("_c").isNotNull())
+        .join(dirty_ids.withColumn("_idd", F.lit(True)), "id", "left")
+        .withColumn("_idd", F.coalesce(F.col("_idd"), F.lit(False)))
+        .withColumn("_src", F.monotonically_increasing_id())
+    )
     dirty_inc = dirty_inc.checkpoint()  # fixes _src for the joins back below
+    kept, middle = _compress_clean_runs(dirty_inc)
     seq = F.row_number().over(Window.partitionBy("_c").orderBy("_ord"))
-    parts = dirty_inc.select(
+    parts = kept.select(
         "_c", "_k", F.col("id").cast("long").alias("id"), F.lit(True).alias("_new"), "_ok", "_fkr", "_src",
         seq.cast("long").alias("_seq"),
     )
@@ -302,7 +308,21 @@ def upsert_natural(
             )
         )
     replayed = parts.groupBy("_c").applyInPandas(_replay, _REPLAY_SCHEMA).persist()
-    d_status = replayed.filter(F.col("_kind") == "status").join(dirty_inc.select("_src", "_ord"), "_src").select(*STATUS_COLS)
+    rep_status = replayed.filter(F.col("_kind") == "status")
+    d_status = rep_status.join(dirty_inc.select("_src", "_ord"), "_src").select(*STATUS_COLS)
+    # rows left out of the replay: their key exists after the first row of their run, or
+    # that first row failed its FK check (the key is new) and so do they
+    first_st = rep_status.join(kept.filter(F.col("_runfirst")).select("_src", "_k", "_run"), ["_src", "_k"]).select(
+        "_k", "_run", F.col("status").alias("_fst")
+    )
+    m = middle.join(first_st, ["_k", "_run"])
+    m_rej = F.col("_fst") == "rejected"
+    m_status = _status(
+        m,
+        F.when(m_rej, F.lit("rejected")).otherwise(F.lit("updated")),
+        F.when(m_rej, F.col("_fkr")),
+        F.when(m_rej, F.lit("fk")),
+    )
     final = replayed.filter(F.col("_kind") == "final").withColumn("id", F.col("id").cast(id_type))
     # Final row per dirty key: the other columns come from its source row (or
     # the existing row when no incoming row changed it).
@@ -315,4 +335,32 @@ def upsert_natural(
             ex.filter(F.col("_c").isNotNull()).select("_k", *[c for c in cols if c != "id"]), "_k"
         ).select(*cols)
         d_target = d_target.unionByName(from_old)
-    return Upserted(target.unionByName(d_target), status.unionByName(d_status))
+    return Upserted(target.unionByName(d_target), status.unionByName(d_status).unionByName(m_status))
+
+
+def _compress_clean_runs(dirty_inc: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split the rows of dirty components into the replayed ones and the rest.
+
+    A row whose id is clean (owned by this key only) can never be a unique
+    violation; between two rows with dirty ids of the same key, only the first
+    clean row (it frees the key's previous id) and the last one (the key's id
+    from then on) can matter to other keys.  So per key every run of clean rows
+    is cut to its first and last row: the replay grows with the conflicting
+    rows, not with how often a key repeats (a hot key stays out of the one
+    replay task).  Runs are numbered by joining each key's sorted dirty-row
+    ordinals (an aggregate over dirty rows only) and counting those before the row.
+    """
+    dirty_rows = dirty_inc.filter(F.col("_idd"))
+    marks = dirty_rows.groupBy("_k").agg(F.array_sort(F.collect_list("_ord")).alias("_dords"))
+    clean = dirty_inc.filter(~F.col("_idd")).join(marks, "_k", "left")
+    clean = clean.withColumn(
+        "_run", F.size(F.filter(F.coalesce(F.col("_dords"), F.array()), lambda d: d < F.col("_ord")))
+    ).drop("_dords")
+    ends = clean.groupBy("_k", "_run").agg(F.min("_ord").alias("_rfirst"), F.max("_ord").alias("_rlast"))
+    clean = clean.join(ends, ["_k", "_run"])
+    is_first = F.col("_ord") == F.col("_rfirst")
+    is_end = is_first | (F.col("_ord") == F.col("_rlast"))
+    kept_clean = clean.filter(is_end).withColumn("_runfirst", is_first).drop("_rfirst", "_rlast")
+    middle = clean.filter(~is_end).drop("_rfirst", "_rlast")
+    kept = dirty_rows.withColumn("_run", F.lit(-1)).withColumn("_runfirst", F.lit(False)).unionByName(kept_clean)
+    return kept, middle

@@ -45,3 +45,19 @@ def test_ignore_and_last_match_sequential(spark):
     stored, st = models.last_replay(rows)
     assert {x.id: x.p for x in up.target.collect()} == stored
     assert _statuses(up) == st
+
+
+def test_hot_key_runs_are_compressed_but_exact(spark):
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(400):  # one hot key with mostly private ids, a few shared ones
+        if rnd.random() < 0.7:
+            rows.append((1000 + rnd.randint(0, 300), "hot", True))
+        else:
+            rows.append((rnd.randint(0, 5), f"k{rnd.randint(0, 4)}" if rnd.random() < 0.5 else "hot", rnd.random() < 0.9))
+    state, st = models.natural_replay([], rows)
+    data = [(s, i, k, ok, None if ok else "FK violation") for s, (i, k, ok) in enumerate(rows)]
+    r = _rows(spark, data, "seq long, id long, k string, _ok boolean, _fkr string")
+    up = upsert_natural(r, None, ["id", "k"], ["k"], ["id"])
+    assert {x.k: x.id for x in up.target.collect()} == state
+    assert _statuses(up) == st
