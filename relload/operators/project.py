@@ -179,3 +179,15 @@ def parse_records(dump: Dump, spec: TableSpec, strict: bool = True, check_header
         .withColumn("category", F.get("_fails", 0)["category"])
         .drop("_fails", "_hsize", "_cols")
     )
+
+
+def diagnose_mismatches(parsed: DataFrame, header_size: int | Column) -> DataFrame:
+    """SCL-13: diagnostics for every record whose column count differs from its header.
+
+    Re-aimed from a debug dump of two hard-coded ids: record length, quote count
+    (odd means an unbalanced quote), newline count and column count.
+    """
+    hs = header_size if isinstance(header_size, Column) else F.lit(header_size)
+    return parsed.filter(F.col("n_cols") != hs).select(
+        *ORDINAL, "line_no", *S.record_diagnostics(F.col("raw")), F.col("n_cols").alias("column_count")
+    )

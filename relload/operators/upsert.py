@@ -18,6 +18,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import logging
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +28,9 @@ from pyspark.sql import types as T
 from ..plans.joins import bounded_broadcast
 from ..session import scratch_root
 
+_log = logging.getLogger("relload.upsert")
 STATUS_COLS = ("_ord", "status", "reason", "category")
+REPLAY_BUCKET_ROWS = 200_000  # rows of dirty components replayed per Python call
 
 
 @dataclass
@@ -149,19 +153,26 @@ def _components(spark, edges: DataFrame) -> DataFrame:
     """Connected components (``_k`` -> ``_c``) of the dirty id-key subgraph by min-label propagation.
 
     ``edges`` holds (id, _k) pairs whose id is dirty; it is normally tiny.  Each
-    round is a join plus an aggregation; lineage is cut by a reliable
-    checkpoint every few rounds.
+    round is two joins plus aggregations and a pointer jump (a key also takes
+    the label of its label); the new labels are materialised once (persisted,
+    or checkpointed every few rounds to cut lineage) and compared with the old.
     """
-    lab = edges.groupBy("_k").agg(F.min("_k").alias("_c"))
+    edges = edges.persist()
+    lab = edges.groupBy("_k").agg(F.min("_k").alias("_c")).persist()
     i = 0
     while True:  # converges within the component diameter
         id_lab = edges.join(lab, "_k").groupBy("id").agg(F.min("_c").alias("_ci"))
         new = edges.join(id_lab, "id").groupBy("_k").agg(F.min("_ci").alias("_c"))
+        hop = new.select(F.col("_k").alias("_c"), F.col("_c").alias("_cc"))
+        new = new.join(hop, "_c", "left").select("_k", F.least(F.col("_c"), F.coalesce(F.col("_cc"), F.col("_c"))).alias("_c"))
+        new = new.checkpoint() if i % 4 == 3 else new.persist()
         changed = new.join(lab.withColumnRenamed("_c", "_old"), "_k").filter(F.col("_c") != F.col("_old")).limit(1).count()
-        lab = new.checkpoint() if i % 4 == 3 else new.persist()
+        lab.unpersist()
+        lab = new
+        i += 1
+        _log.info("component labelling round %d, changed=%s", i, changed)
         if changed == 0:
             return lab
-        i += 1
 
 
 _REPLAY_SCHEMA = T.StructType(
@@ -177,6 +188,14 @@ _REPLAY_SCHEMA = T.StructType(
 )
 
 
+def _replay_many(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Replay every component of one bucket, each on its own state."""
+    outs = [_replay(g) for _, g in pdf.groupby("_c", sort=False)]
+    if not outs:
+        return pd.DataFrame([], columns=[f.name for f in _REPLAY_SCHEMA.fields])
+    return pd.concat(outs, ignore_index=True)
+
+
 def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
     """Sequential replay of one dirty component (existing rows first, then file order).
 
@@ -307,7 +326,12 @@ def upsert_natural(
                 F.lit(0).cast("long").alias("_seq"),
             )
         )
-    replayed = parts.groupBy("_c").applyInPandas(_replay, _REPLAY_SCHEMA).persist()
+    # Components are grouped into buckets of about REPLAY_BUCKET_ROWS rows so one
+    # Python call replays many small components; a component is never split.
+    parts = parts.persist()
+    n_buckets = max(1, -(-parts.count() // REPLAY_BUCKET_ROWS))
+    parts = parts.withColumn("_bk", F.pmod(F.xxhash64("_c"), F.lit(n_buckets)))
+    replayed = parts.groupBy("_bk").applyInPandas(_replay_many, _REPLAY_SCHEMA).persist()
     rep_status = replayed.filter(F.col("_kind") == "status")
     d_status = rep_status.join(dirty_inc.select("_src", "_ord"), "_src").select(*STATUS_COLS)
     # rows left out of the replay: their key exists after the first row of their run, or

@@ -421,6 +421,17 @@ def _li_varcount_rows(spark, sf) -> DataFrame:
     )
 
 
+def record_diagnostics_mismatch(spark, sf):
+    """SCL-13: diagnostics of the records whose column count differs from the header."""
+    from ..operators.project import diagnose_mismatches
+
+    li = _t(spark, sf, "lineitem")
+    dump = frame_dump(li, _li_varcols(), "id,date_created,a,b,c", _li_ob(), _li_om(), "lineitem")
+    d = diagnose_mismatches(parse_records(dump, ROW5), 5)
+    keys = li.select(*LI_KEYS, _li_ob().cast("long").alias("_ob"), _li_om().cast("long").alias("_om"))
+    return d.join(keys, ["_ob", "_om"]).select(*LI_KEYS, "record_length", "quote_count", "newline_count", "column_count")
+
+
 def validate_column_count(spark, sf):
     rows = _li_varcount_rows(spark, sf)
     return rows.select(*LI_KEYS, "n_cols", "reason")
@@ -575,6 +586,16 @@ def _jb_load(spark, sf, create_docket: bool = True):
     return load(spark, JOINED_BY, path, parents=parents, as_of=AS_OF, create_docket=create_docket)
 
 
+def placeholder_ids_csv(spark, sf):
+    """SNK-4: the placeholder ids of the chain load written as CSV per parent and read back."""
+    from ..sinks import write_placeholder_ids
+
+    path = scratch_path(spark, "placeholder-ids")
+    write_placeholder_ids(_jb_load(spark, sf).placeholder_ids, path)
+    back = spark.read.options(header=True, escape='"').csv(path)
+    return back.select("parent", F.col("id").cast("int").alias("id"))
+
+
 def placeholder_chain(spark, sf):
     """FKR-5: placeholder opinions need cluster 1, which needs docket 1 (created on request)."""
     return _jb_load(spark, sf).placeholder_ids
@@ -667,6 +688,12 @@ def sample_failures_q(spark, sf):
     return s.select("batch", "pos", "reason")
 
 
+def first_bad_records_q(spark, sf):
+    """AGG-4: the first 10 rejected records of the run (a top-k report)."""
+    r = _panel_reject_load(spark, sf)
+    return R.first_bad_records(r.outcomes, 10).select("_ob", "_om", "reason")
+
+
 def bad_records(spark, sf):
     """SNK-2: typed bad-records CSV written and read back."""
     r = _panel_reject_load(spark, sf)
@@ -676,10 +703,10 @@ def bad_records(spark, sf):
 
 
 def bad_records_raw_q(spark, sf):
-    """SNK-3: raw bad-records CSV written and read back."""
+    """SNK-3: raw bad-records CSV (rows that failed parsing) written and read back."""
     r = _panel_reject_load(spark, sf)
     path = scratch_path(spark, "bad-records-raw")
-    write_csv(bad_records_raw(r.rejects), path)
+    write_csv(bad_records_raw(r.rejects.filter(F.col("category") == "parse")), path)
     return spark.read.options(header=True, escape='"', multiLine=True).csv(path)
 
 
@@ -772,6 +799,19 @@ def load_panels(spark, sf):
     return r.target
 
 
+def load_panels_written(spark, sf):
+    """SNK-1: the panel target written as Parquet (parents first) and read back."""
+    from ..sinks import write_table
+
+    parents = {"search_opinioncluster": _orders_f(spark, sf)}
+    r = load(spark, PANEL, _panel_lines_path(spark, sf), parents=parents, as_of=AS_OF)
+    root = scratch_path(spark, "tables")
+    for parent, rows in r.placeholders.items():
+        write_table(rows, f"{root}/{parent}_placeholders")
+    write_table(r.target, f"{root}/{PANEL.name}")
+    return spark.read.parquet(f"{root}/{PANEL.name}")
+
+
 def load_panels_placeholders(spark, sf):
     parents = {"search_opinioncluster": _orders_f(spark, sf)}
     r = load(spark, PANEL, _panel_lines_path(spark, sf), parents=parents, as_of=AS_OF)
@@ -894,6 +934,12 @@ ORACLES: dict[str, str] = {
              WHEN l_linenumber < 2 THEN 'invalid row (missing id or date_created)'
              WHEN l_linenumber < 3 THEN 'insufficient columns (expected at least 3, got 2)' END AS reason
         FROM lineitem""",
+    "record_diagnostics_mismatch": f"""SELECT {LI_ORD_SQL},
+        CAST(length(array_to_string(list_slice([CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
+            CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), l_returnflag, l_linestatus,
+            CAST(l_orderkey + 1 AS VARCHAR)], 1, l_linenumber), ',')) AS INTEGER) AS record_length,
+        0 AS quote_count, 0 AS newline_count, l_linenumber AS column_count
+        FROM lineitem WHERE l_linenumber <> 5""",
     "quarantine": f"""SELECT {LI_ORD_SQL},
         CASE WHEN l_linenumber > 5 THEN 'more columns than the header (' || l_linenumber || ' > 5)'
              WHEN l_linenumber < 2 THEN 'invalid row (missing id or date_created)'
@@ -997,13 +1043,15 @@ ORACLES: dict[str, str] = {
         SELECT CAST(floor(pos / 5000) AS BIGINT) AS batch, pos, reason,
                row_number() OVER (PARTITION BY floor(pos / 5000) ORDER BY pos) AS rn
         FROM ({_PANEL_OUTCOMES}) WHERE status = 'rejected') WHERE rn <= 5""",
+    "first_bad_records": f"""SELECT ob AS _ob, om AS _om, reason FROM ({_PANEL_OUTCOMES})
+        WHERE status = 'rejected' ORDER BY ob, om LIMIT 10""",
     "bad_records": f"""SELECT CASE WHEN category = 'parse' THEN '0' ELSE CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) END AS id,
         CAST(l_orderkey AS VARCHAR) AS opinioncluster_id, CAST(l_linenumber AS VARCHAR) AS person_id, reason
         FROM ({_PANEL_OUTCOMES}) WHERE status = 'rejected'""",
     "bad_records_raw": f"""SELECT reason,
         (CASE WHEN category = 'parse' THEN '0' ELSE CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) END)
           || ',' || l_orderkey || ',' || l_linenumber AS raw_record
-        FROM ({_PANEL_OUTCOMES}) WHERE status = 'rejected'""",
+        FROM ({_PANEL_OUTCOMES}) WHERE status = 'rejected' AND category = 'parse'""",
     "load_opinions": """SELECT doc_id AS id, lang AS type, source AS sha1, text AS plain_text, doc_id AS cluster_id,
         n_chars > 1000 AS extracted_by_ocr, CAST(n_chars AS INTEGER) AS page_count, '' AS download_url,
         CAST(NULL AS INTEGER) AS author_id FROM documents""",
@@ -1045,6 +1093,8 @@ ORACLES: dict[str, str] = {
         WHERE EXISTS (SELECT 1 FROM gr) AND 1 NOT IN {ORDERS_F_SQL} AND NOT EXISTS (SELECT 1 FROM r WHERE id = 1)""",
 }
 ORACLES["stream_equals_batch"] = ORACLES["load_panels"]
+ORACLES["load_panels_written"] = ORACLES["load_panels"]
+ORACLES["placeholder_ids_csv"] = ORACLES["placeholder_chain"]
 
 QUERIES: dict[str, Query] = {
     "assemble_parity": assemble_parity,
@@ -1074,6 +1124,7 @@ QUERIES: dict[str, Query] = {
     "validate_varchar": validate_varchar,
     "validate_not_null": validate_not_null,
     "quarantine": quarantine,
+    "record_diagnostics_mismatch": record_diagnostics_mismatch,
     "fk_valid": fk_valid_q,
     "fk_missing": fk_missing_q,
     "fk_multi": fk_multi,
@@ -1085,6 +1136,7 @@ QUERIES: dict[str, Query] = {
     "placeholder_three_fk": placeholder_three_fk,
     "placeholder_base": placeholder_base,
     "placeholder_chain": placeholder_chain,
+    "placeholder_ids_csv": placeholder_ids_csv,
     "upsert_ignore": upsert_ignore_q,
     "upsert_ignore_status": upsert_ignore_status,
     "upsert_partial": upsert_partial_q,
@@ -1096,12 +1148,14 @@ QUERIES: dict[str, Query] = {
     "load_totals": load_totals,
     "failure_categories": failure_categories_q,
     "sample_failures": sample_failures_q,
+    "first_bad_records": first_bad_records_q,
     "bad_records": bad_records,
     "bad_records_raw": bad_records_raw_q,
     "load_opinions": load_opinions,
     "load_opinions_placeholders": load_opinions_placeholders,
     "load_clusters": load_clusters,
     "load_panels": load_panels,
+    "load_panels_written": load_panels_written,
     "load_panels_placeholders": load_panels_placeholders,
     "load_joined_by": load_joined_by,
     "load_citation_map": load_citation_map,

@@ -237,7 +237,11 @@ def load(
         raise ValueError(on_missing_parent)
     dump = source if isinstance(source, Dump) else read_dump(spark, source, assembly or spec.assembly, lookahead)
     P = _Parents(parents, create_docket)
-    parsed = parse_records(dump, spec, strict=strict).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = parse_records(dump, spec, strict=strict)
+    # The raw text is only needed for rows that fail parsing (SNK-3); dropping it
+    # elsewhere halves what is cached for wide dumps.
+    parsed = parsed.withColumn("raw", F.when(F.col("category").isNotNull(), F.col("raw")))
+    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     if spec.name == "search_parenthetical" and score_precision == 6:
         parsed = parsed.withColumn("score", score6("score"))
     cols = spec.names
