@@ -318,11 +318,18 @@ def assemble_lines(lines: DataFrame, mode: str, lookahead: int = DEFAULT_LOOKAHE
     if mode not in MODES:
         raise ValueError(f"unknown assembly mode {mode!r}; expected one of {MODES}")
     if mode == "single":
-        # First line of a file = first line read by the split at offset 0.
-        firsts = lines.filter(F.col("_b") == 0).groupBy("_p").agg(F.min("_m").alias("_hm"))
-        x = lines.join(bounded_broadcast(firsts), "_p", "left")
+        # First line of a file = first line read by the split at offset 0.  One
+        # aggregate (one row per file, cached) yields both the header text and
+        # its read id, so the text is scanned once for headers and once for data.
+        firsts = (
+            lines.filter(F.col("_b") == 0)
+            .groupBy("_p")
+            .agg(F.min("_m").alias("_hm"), F.min_by("value", "_m").alias("header"))
+        )
+        firsts = bounded_broadcast(firsts)
+        headers = firsts.select("_p", "header")
+        x = lines.join(firsts.select("_p", "_hm"), "_p", "left")
         is_header = (F.col("_b") == 0) & (F.col("_m") == F.col("_hm"))
-        headers = x.filter(is_header).select("_p", F.col("value").alias("header"))
         records = x.filter(~is_header & ~_is_blank(F.col("value"))).select(
             "_p",
             F.col("_b").alias("_ob"),
