@@ -87,3 +87,25 @@ def test_crlf_header_names_are_trimmed(spark, tmpdir_path):
     write(os.path.join(tmpdir_path, "p.csv"), "person_id , id,opinioncluster_id\r\n200,1,100\r\n")
     r = load(spark, PANEL, tmpdir_path)
     assert [tuple(x) for x in r.target.collect()] == [(1, 100, 200)]
+
+
+def test_skip3_fields_spanning_many_lines(spark, tmpdir_path):
+    long_judges = '"' + "\n".join(f"judge {i}, jr." for i in range(50)) + '"'
+    many_quotes = '"' + '""' * 100000 + '"'
+    text = (
+        "id,date_created,date_modified,judges,date_filed,text\n"
+        f"1,2020-01-01,2020-01-02,{long_judges},1999-01-01,a\n"
+        f"2,2020-01-01,2020-01-02,J,1999-01-01,{many_quotes}\n"
+        '3,"x\n'  # a candidate whose quote never closes: not a start, joins record 2
+        "4,2020-01-01,2020-01-02,J,1999-01-01,b\n"
+    )
+    write(os.path.join(tmpdir_path, "c.csv"), text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+        dump = read_dump(spark, tmpdir_path, "skip3")
+        got = [r.raw for r in dump.records.orderBy("_ob").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == models.assemble(text, "skip3")[1:]
+    assert [g.split(",", 1)[0] for g in got] == ["1", "2", "4"]  # "3,\"x" never closes its quote
