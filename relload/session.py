@@ -41,16 +41,24 @@ def scratch_root(spark: SparkSession) -> str:
     When it is unset (local runs), a fresh folder under the system temp dir is
     created once and registered as the checkpoint dir so ``checkpoint()`` works.
     """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    root = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
+        if not root:
+            try:
+                root = sc.getCheckpointDir()
+            except Exception:  # pragma: no cover
+                root = None
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # pragma: no cover - older APIs
-            root = None
+        root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="relload-scratch-")
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
