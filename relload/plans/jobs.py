@@ -241,13 +241,13 @@ def load(
     # The raw text is only needed for rows that fail parsing (SNK-3); dropping it
     # elsewhere halves what is cached for wide dumps.
     parsed = parsed.withColumn("raw", F.when(F.col("category").isNotNull(), F.col("raw")))
+    if spec.name == "search_parenthetical" and score_precision == 6:
+        parsed = parsed.withColumn("score", score6("score"))  # once, before the cache
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     # Fill the cache in one job: every later branch (FK lookups, conflict rule,
     # rejects, outcomes) reads it, and concurrent branches would otherwise each
     # re-parse the dump while the cache is still empty.
     parsed.count()
-    if spec.name == "search_parenthetical" and score_precision == 6:
-        parsed = parsed.withColumn("score", score6("score"))
     cols = spec.names
     bad = parsed.filter(F.col("category").isNotNull())
     valid = parsed.filter(F.col("category").isNull()).withColumn("_ord", _ordinal())
