@@ -31,6 +31,7 @@ from ..session import scratch_root
 _log = logging.getLogger("relload.upsert")
 STATUS_COLS = ("_ord", "status", "reason", "category")
 REPLAY_BUCKET_ROWS = 200_000  # rows of dirty components replayed per Python call
+LARGE_COMPONENT_KEYS = 1_000_000  # a component above this replays slowly in one task: warn
 
 
 @dataclass
@@ -259,6 +260,11 @@ def upsert_natural(
     if has_dirty:
         scratch_root(spark)  # checkpoints below need the shared folder
         comp = _components(spark, dirty_edges)  # _k -> _c
+        sizes = comp.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).agg(
+            F.count(F.lit(1)).alias("components"), F.max("_n").alias("largest")
+        ).collect()[0]
+        log = _log.warning if (sizes["largest"] or 0) > LARGE_COMPONENT_KEYS else _log.info
+        log("dirty natural-key components: %s, largest %s keys", sizes["components"], sizes["largest"])
         comp_b = bounded_broadcast(comp)
         inc = inc.join(comp_b, "_k", "left")
         if ex is not None:
