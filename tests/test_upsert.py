@@ -61,3 +61,28 @@ def test_hot_key_runs_are_compressed_but_exact(spark):
     up = upsert_natural(r, None, ["id", "k"], ["k"], ["id"])
     assert {x.k: x.id for x in up.target.collect()} == state
     assert _statuses(up) == st
+
+
+def test_partial_matches_sequential_with_existing(spark):
+    from relload.operators.upsert import upsert_partial
+
+    rnd = random.Random(9)
+    rows = [(rnd.randint(0, 12), rnd.randint(0, 50), rnd.randint(0, 9), rnd.random() < 0.75) for _ in range(90)]
+    existing = {0: (-1, -1), 1: (-2, -2)}  # id -> (endpoint, depth)
+    state = {k: list(v) for k, v in existing.items()}
+    st = []
+    for i, ep, depth, ok in rows:  # INSERT ... ON CONFLICT (id) DO UPDATE SET depth
+        if i in state:
+            state[i][1] = depth
+            st.append("updated")
+        elif not ok:
+            st.append("rejected")
+        else:
+            state[i] = [ep, depth]
+            st.append("inserted")
+    data = [(s, i, ep, d, ok, None if ok else "fk") for s, (i, ep, d, ok) in enumerate(rows)]
+    r = _rows(spark, data, "seq long, id long, ep long, depth long, _ok boolean, _fkr string")
+    ex = spark.createDataFrame([(k, v[0], v[1]) for k, v in existing.items()], "id long, ep long, depth long")
+    up = upsert_partial(r, ex, ["id", "ep", "depth"], ["depth"])
+    assert {x.id: [x.ep, x.depth] for x in up.target.collect()} == state
+    assert _statuses(up) == st
