@@ -335,7 +335,9 @@ def assemble_lines(lines: DataFrame, mode: str, lookahead: int = DEFAULT_LOOKAHE
         )
         return Dump(records, headers)
 
-    flagged = _start_flags(lines, mode).persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = _start_flags(lines, mode)
+    if mode != "skip3":  # skip-3 already caches its lines (plus a small join) inside
+        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     headers = _headers_from_flags(flagged)
     recs = _group_records(_number_records(flagged))
     if mode == "pattern":  # SRC-3 trims trailing whitespace of every record
