@@ -170,7 +170,9 @@ def parse_records(dump: Dump, spec: TableSpec, strict: bool = True, check_header
                 (S.cast_failed(f"_txt_{c.name}", c.name), "other", F.lit(f"invalid {c.kind.split('_')[0]} in {c.name}"))
             )
 
-    typed = recs.select(*out, F.col("_hsize"), F.col("_cols"))
+    # columns a caller attached to the records ride along untouched
+    carried = [c for c in dump.records.columns if c not in (*ORDINAL, "line_no", "raw")]
+    typed = recs.select(*out, *carried, F.col("_hsize"), F.col("_cols"))
     fails = [F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(cat).alias("category"), msg.alias("reason"))) for cond, cat, msg in checks]
     typed = typed.withColumn("_fails", F.filter(F.array(*fails), lambda s: s.isNotNull()))
     return (
@@ -181,7 +183,7 @@ def parse_records(dump: Dump, spec: TableSpec, strict: bool = True, check_header
     )
 
 
-def diagnose_mismatches(parsed: DataFrame, header_size: int | Column) -> DataFrame:
+def diagnose_mismatches(parsed: DataFrame, header_size: int | Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """SCL-13: diagnostics for every record whose column count differs from its header.
 
     Re-aimed from a debug dump of two hard-coded ids: record length, quote count
@@ -189,5 +191,5 @@ def diagnose_mismatches(parsed: DataFrame, header_size: int | Column) -> DataFra
     """
     hs = header_size if isinstance(header_size, Column) else F.lit(header_size)
     return parsed.filter(F.col("n_cols") != hs).select(
-        *ORDINAL, "line_no", *S.record_diagnostics(F.col("raw")), F.col("n_cols").alias("column_count")
+        *ORDINAL, "line_no", *S.record_diagnostics(F.col("raw")), F.col("n_cols").alias("column_count"), *keep
     )

@@ -67,11 +67,19 @@ def _li_om() -> Column:
 
 
 LI_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+LI_SORT = LI_KEYS + ["l_extendedprice", "l_quantity"]  # file order of rendered lineitem dumps
 LI_ORD_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 
 def _li_ord() -> Column:
-    return F.struct(F.lit("lineitem").alias("_p"), _li_ob().cast("long").alias("_ob"), _li_om().cast("long").alias("_om"))
+    """File-order stand-in for lineitem rows; price and quantity break the rare full-key ties."""
+    return F.struct(
+        F.lit("lineitem").alias("_p"),
+        _li_ob().cast("long").alias("_ob"),
+        _li_om().cast("long").alias("_om"),
+        F.col("l_extendedprice").alias("_t1"),
+        F.col("l_quantity").alias("_t2"),
+    )
 
 
 def _supp_ok(spark, sf):
@@ -414,11 +422,8 @@ def _li_varcols() -> Column:
 
 def _li_varcount_rows(spark, sf) -> DataFrame:
     li = _t(spark, sf, "lineitem")
-    dump = frame_dump(li, _li_varcols(), "id,date_created,a,b,c", _li_ob(), _li_om(), "lineitem")
-    rows = parse_records(dump, ROW5)
-    return rows.join(
-        li.select(*LI_KEYS, _li_ob().cast("long").alias("_ob"), _li_om().cast("long").alias("_om")), ["_ob", "_om"]
-    )
+    dump = frame_dump(li, _li_varcols(), "id,date_created,a,b,c", _li_ob(), _li_om(), "lineitem", carry=LI_KEYS)
+    return parse_records(dump, ROW5)
 
 
 def record_diagnostics_mismatch(spark, sf):
@@ -426,10 +431,9 @@ def record_diagnostics_mismatch(spark, sf):
     from ..operators.project import diagnose_mismatches
 
     li = _t(spark, sf, "lineitem")
-    dump = frame_dump(li, _li_varcols(), "id,date_created,a,b,c", _li_ob(), _li_om(), "lineitem")
-    d = diagnose_mismatches(parse_records(dump, ROW5), 5)
-    keys = li.select(*LI_KEYS, _li_ob().cast("long").alias("_ob"), _li_om().cast("long").alias("_om"))
-    return d.join(keys, ["_ob", "_om"]).select(*LI_KEYS, "record_length", "quote_count", "newline_count", "column_count")
+    dump = frame_dump(li, _li_varcols(), "id,date_created,a,b,c", _li_ob(), _li_om(), "lineitem", carry=LI_KEYS)
+    d = diagnose_mismatches(parse_records(dump, ROW5), 5, keep=tuple(LI_KEYS))
+    return d.select(*LI_KEYS, "record_length", "quote_count", "newline_count", "column_count")
 
 
 def validate_column_count(spark, sf):
@@ -450,15 +454,12 @@ def validate_key(spark, sf):
     raw = F.when(drop_id, F.concat_ws(",", _s("l_partkey"), _s("l_suppkey"), F.col("l_returnflag"))).otherwise(
         F.concat_ws(",", _s("l_partkey"), _s("l_suppkey"), F.col("l_returnflag"), id_txt)
     )
-    dump = frame_dump(li, raw, "person_id,opinioncluster_id,extra,id", _li_ob(), _li_om(), "lineitem")
+    dump = frame_dump(li, raw, "person_id,opinioncluster_id,extra,id", _li_ob(), _li_om(), "lineitem", carry=LI_KEYS)
     spec = TableSpec(
         name="panel_keys", columns=PANEL.columns, dialect="T", assembly="single", upsert="natural",
         min_columns=3, key_rule="eq0", required=PANEL.required,
     )
-    rows = parse_records(dump, spec).join(
-        li.select(*LI_KEYS, _li_ob().cast("long").alias("_ob"), _li_om().cast("long").alias("_om")), ["_ob", "_om"]
-    )
-    return rows.select(*LI_KEYS, "id", "reason")
+    return parse_records(dump, spec).select(*LI_KEYS, "id", "reason")
 
 
 def validate_varchar(spark, sf):
@@ -554,7 +555,7 @@ PAREN_HEADER = "id,text,score,described_opinion_id,describing_opinion_id,group_i
 
 def _paren_load(spark, sf):
     li, raw = _paren_lines(spark, sf)
-    path = render_lines(spark, li, raw, PAREN_HEADER, (sf, "lineitem", "parentheticals"), sort=LI_KEYS)
+    path = render_lines(spark, li, raw, PAREN_HEADER, (sf, "lineitem", "parentheticals"), sort=LI_SORT)
     parents = {
         "search_opinion": _part_big(spark, sf),
         "search_parentheticalgroup": _orders_f(spark, sf),
@@ -825,7 +826,7 @@ def load_joined_by(spark, sf):
 def load_citation_map(spark, sf):
     li = _t(spark, sf, "lineitem")
     raw = F.concat_ws(",", _s(_li_ob()), _s(F.col("l_quantity").cast("int")), _s("l_partkey"), _s("l_suppkey"))
-    path = render_lines(spark, li, raw, "id,depth,cited_opinion_id,citing_opinion_id", (sf, "lineitem", "cited"), sort=LI_KEYS)
+    path = render_lines(spark, li, raw, "id,depth,cited_opinion_id,citing_opinion_id", (sf, "lineitem", "cited"), sort=LI_SORT)
     parents = {"search_opinion": _part_big(spark, sf), "search_opinioncluster": _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"))}
     return load(spark, CITED, path, parents=parents, as_of=AS_OF).target
 
@@ -837,7 +838,7 @@ def load_reporter_citations(spark, sf):
         ",", _s(_li_ob() * 6 + code), _s("l_linenumber"), _q(F.concat(F.lit(" "), "l_returnflag")), _q(F.col("l_linestatus")),
         _s("l_suppkey"), _s("l_orderkey"),
     )
-    path = render_lines(spark, li, raw, "id,volume,reporter,page,type,cluster_id", (sf, "lineitem", "citations"), sort=LI_KEYS)
+    path = render_lines(spark, li, raw, "id,volume,reporter,page,type,cluster_id", (sf, "lineitem", "citations"), sort=LI_SORT)
     parents = {"search_opinioncluster": _orders_f(spark, sf)}
     return load(spark, SEARCH_CITATION, path, parents=parents, as_of=AS_OF).target
 
@@ -858,7 +859,7 @@ def stream_equals_batch(spark, sf):
 
 _LI_FIRST_OK = f"""
   SELECT l_orderkey * 8 + l_linenumber AS id, l_partkey, l_suppkey, l_quantity,
-         row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity) AS rn
   FROM lineitem WHERE l_suppkey IN {SUPP_OK_SQL}"""
 
 _PANEL_OUTCOMES = f"""
@@ -890,7 +891,7 @@ _PAREN_SQL_ROWS = """
          CAST(printf('%.6g', l_extendedprice / l_quantity) AS DOUBLE) AS score,
          CAST(l_partkey AS INTEGER) AS described_opinion_id, CAST(l_suppkey AS INTEGER) AS describing_opinion_id,
          CAST(l_orderkey AS INTEGER) AS group_id,
-         row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC) AS rn
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn
   FROM lineitem"""
 
 ORACLES: dict[str, str] = {
@@ -1009,31 +1010,34 @@ ORACLES: dict[str, str] = {
     "upsert_ignore": f"SELECT id, l_partkey, l_suppkey, l_quantity FROM ({_LI_FIRST_OK}) WHERE rn = 1",
     "upsert_ignore_status": f"""
         WITH r AS (SELECT l_orderkey * 8 + l_linenumber AS ob, l_partkey * 1048576 + l_suppkey + 1 AS om, l_suppkey,
-                          l_suppkey IN {SUPP_OK_SQL} AS ok FROM lineitem),
-             w AS (SELECT *, min(CASE WHEN ok THEN om END) OVER (PARTITION BY ob) AS win FROM r)
+                          l_suppkey IN {SUPP_OK_SQL} AS ok,
+                          row_number() OVER (PARTITION BY l_orderkey * 8 + l_linenumber
+                                             ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity) AS rk
+                   FROM lineitem),
+             w AS (SELECT *, min(CASE WHEN ok THEN rk END) OVER (PARTITION BY ob) AS win FROM r)
         SELECT ob, om,
-          CASE WHEN win IS NULL OR om < win THEN 'rejected' WHEN om = win THEN 'inserted' ELSE 'duplicate_noop' END AS status,
-          CASE WHEN win IS NULL OR om < win THEN 'FK violation: l_suppkey=' || l_suppkey || ' not found in supplier' END AS reason
+          CASE WHEN win IS NULL OR rk < win THEN 'rejected' WHEN rk = win THEN 'inserted' ELSE 'duplicate_noop' END AS status,
+          CASE WHEN win IS NULL OR rk < win THEN 'FK violation: l_suppkey=' || l_suppkey || ' not found in supplier' END AS reason
         FROM w""",
     "upsert_partial": f"""
         WITH f AS (SELECT id, l_partkey, l_suppkey FROM ({_LI_FIRST_OK}) WHERE rn = 1),
              l AS (SELECT l_orderkey * 8 + l_linenumber AS id, l_quantity,
-                          row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC) AS rn
+                          row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn
                    FROM lineitem)
         SELECT f.id, f.l_partkey, f.l_suppkey, l.l_quantity FROM f JOIN l ON f.id = l.id AND l.rn = 1""",
     "upsert_last": f"""SELECT id, l_partkey, l_suppkey, l_quantity FROM (
         SELECT l_orderkey * 8 + l_linenumber AS id, l_partkey, l_suppkey, l_quantity,
-               row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC) AS rn
+               row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn
         FROM lineitem WHERE l_suppkey IN {SUPP_OK_SQL}) WHERE rn = 1""",
     "upsert_natural_key": """SELECT id, l_orderkey, l_linenumber, type FROM (
         SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey, l_linenumber, l_suppkey AS type,
-               row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC) AS rn
+               row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn
         FROM lineitem) WHERE rn = 1""",
     "upsert_natural_key4": f"""SELECT id, l_orderkey, l_linenumber, l_returnflag, l_linestatus, type FROM (
         SELECT (l_orderkey * 8 + l_linenumber) * 6 + {_NAT_CODE} AS id, l_orderkey, l_linenumber, l_returnflag, l_linestatus,
                l_suppkey AS type,
                row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_returnflag, l_linestatus
-                                  ORDER BY l_partkey DESC, l_suppkey DESC) AS rn
+                                  ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn
         FROM lineitem) WHERE rn = 1""",
     "load_report": f"""SELECT CAST(floor(pos / 5000) AS BIGINT) AS batch, {_COUNTS_SQL},
         min(pos) AS first_pos, max(pos) AS last_pos FROM ({_PANEL_OUTCOMES}) GROUP BY 1""",
@@ -1071,8 +1075,9 @@ ORACLES: dict[str, str] = {
         CAST(l_linenumber AS INTEGER) AS person_id FROM lineitem WHERE l_orderkey * 8 + l_linenumber <> 0""",
     "load_citation_map": """
         WITH r AS (SELECT l_orderkey * 8 + l_linenumber AS id, CAST(l_quantity AS INTEGER) AS depth, l_partkey, l_suppkey,
-                          row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rf,
-                          row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC) AS rl
+                          row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity) AS rf,
+                          row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                             ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rl
                    FROM lineitem WHERE l_orderkey * 8 + l_linenumber <> 0)
         SELECT CAST(f.id AS INTEGER) AS id, l.depth, CAST(f.l_partkey AS INTEGER) AS cited_opinion_id,
                CAST(f.l_suppkey AS INTEGER) AS citing_opinion_id
@@ -1082,7 +1087,7 @@ ORACLES: dict[str, str] = {
         SELECT (l_orderkey * 8 + l_linenumber) * 6 + {_NAT_CODE} AS id, l_linenumber AS volume, l_returnflag AS reporter,
                l_linestatus AS page, l_suppkey AS type, l_orderkey AS cluster_id,
                row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_returnflag, l_linestatus
-                                  ORDER BY l_partkey DESC, l_suppkey DESC) AS rn
+                                  ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn
         FROM lineitem WHERE (l_orderkey * 8 + l_linenumber) * 6 + {_NAT_CODE} <> 0) WHERE rn = 1""",
     "load_parentheticals": f"""
         WITH r AS ({_PAREN_SQL_ROWS}),

@@ -73,10 +73,13 @@ def render_lines(
     return _cached(spark, key, write)
 
 
-def frame_dump(df: DataFrame, raw: Column, header: str, ob: Column, om: Column, name: str) -> Dump:
+def frame_dump(
+    df: DataFrame, raw: Column, header: str, ob: Column, om: Column, name: str, carry: list[str] | None = None
+) -> Dump:
     """A :class:`Dump` straight from a DataFrame of pre-built lines (no files).
 
-    ``ob``/``om`` give the file order (``om`` > 0 as for single-line dumps).
+    ``ob``/``om`` give the file order (``om`` > 0 as for single-line dumps);
+    ``carry`` columns of ``df`` ride along through parsing untouched.
     """
     records = df.select(
         F.lit(name).alias("_p"),
@@ -84,6 +87,7 @@ def frame_dump(df: DataFrame, raw: Column, header: str, ob: Column, om: Column,
         om.cast("long").alias("_om"),
         F.lit(None).cast("long").alias("line_no"),
         raw.alias("raw"),
+        *(carry or []),
     )
     headers = df.sparkSession.range(1).select(F.lit(name).alias("_p"), F.lit(header).alias("header"))
     return Dump(records, headers)
