@@ -156,3 +156,27 @@ def test_d3_unvalidated_load_path(spark, tmpdir_path):
     assert 0 in ids and 1 in ids and 3 in ids
     bad_ts = {r.reason for r in rows.filter(F.col("category").isNotNull()).collect()}
     assert "invalid ts in date_modified" in bad_ts  # 'bad_date' still fails at the cast (category other)
+
+
+def test_placeholder_chain_templates(spark, tmpdir_path):
+    from relload import JOINED_BY
+
+    write(os.path.join(tmpdir_path, "jb.csv"), "id,opinion_id,person_id\n1,10,5\n2,11,6\n3,10,6\n")
+    opinions = spark.createDataFrame([(11,)], "id int")
+    clusters = spark.createDataFrame([(7,)], "id int")  # cluster 1 is missing
+    dockets = spark.createDataFrame([(2,)], "id int")  # docket 1 is missing
+    parents = {"search_opinion": opinions, "search_opinioncluster": clusters, "search_docket": dockets}
+    r = load(spark, JOINED_BY, tmpdir_path, parents=parents, create_docket=True)
+    assert sorted(x.id for x in r.target.collect()) == [1, 2, 3]
+    op = r.placeholders["search_opinion"].collect()
+    assert [(o.id, o.type, o.sha1, o.cluster_id, o.download_url) for o in op] == [(10, "010", "PLACEHOLDER_10", 1, "")]
+    cl = r.placeholders["search_opinioncluster"].collect()
+    assert [(c.id, c.case_name, c.source, c.precedential_status, c.docket_id, str(c.date_filed)) for c in cl] == [
+        (1, "Placeholder Case", "C", "Published", 1, "0001-01-01")
+    ]
+    dk = r.placeholders["search_docket"].collect()
+    assert [(d.id, d.court_id, d.slug, d.source, d.view_count) for d in dk] == [(1, "scotus", "placeholder-max", 0, 0)]
+    # without create_docket the missing docket makes the opinion placeholder impossible
+    r2 = load(spark, JOINED_BY, tmpdir_path, parents=parents)
+    assert sorted(x.id for x in r2.target.collect()) == [2]
+    assert all(x.reason.startswith("FK violation, failed to create placeholder") for x in r2.rejects.collect())
