@@ -17,6 +17,7 @@ reported ones included.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 MAX_LABELLED = 40_000  # labelled rows the model is fitted on, at most
 MAX_LEXICON = 5_000  # insult words and stems kept, at most
-MIN_TOXIC = 4  # toxic sampled texts an entry of the lexicon must occur in
+MIN_TOXIC = 3  # toxic sampled texts an entry of the lexicon must occur in, at least
 MIN_LOG_ODDS = 2.5
 STEMS = (4, 5, 6)  # prefix lengths tried beside whole words
 SCOPE = 3  # words a negator or a target reaches
@@ -174,9 +175,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     if total is None or not total["toxic"] or not total["clean"]:
         counts.unpersist()
         return empty
+    # so many toxic texts, and no other, that fewer than one of all entries would get there by chance
+    chance = math.log((total["toxic"] + total["clean"]) / total["toxic"])
+    least = max(MIN_TOXIC, math.ceil(math.log(counts.count()) / chance))
     odds = F.log((F.col("toxic") + 0.5) / (total["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (total["clean"] + 1))
     lexicon = (
-        counts.where(f"unit <> '' and toxic >= {MIN_TOXIC}").withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS)
+        counts.where(f"unit <> '' and toxic >= {least}").withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS)
         .orderBy(F.desc(F.col("odds") * F.log(F.col("toxic") + 1.0)), "unit").limit(MAX_LEXICON).collect()
     )
     counts.unpersist()
