@@ -18,6 +18,8 @@ from relload.session import scratch_root
 ROW_FILE, ROW_POS = "__llm_file", "__llm_pos"
 ROW_KEY = [ROW_FILE, ROW_POS]
 
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 500, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -89,6 +91,19 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def map_texts(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches that stay small however long the texts are.
+
+    The session's limits on rows and bytes of an Arrow batch are lowered, never raised:
+    a Python worker holds a few copies of its batch beside the executor's heap.
+    """
+    for key, most in ARROW_LIMITS.items():
+        now = df.sparkSession.conf.get(key, None)
+        if now is not None and not 0 < int(re.sub(r"\D", "", now) or 0) <= most:
+            df.sparkSession.conf.set(key, str(most))
+    return df.mapInArrow(function, schema)
+
+
 def texts_of(column) -> list:
     """The values of an Arrow string column as UTF-8 bytes (None for null)."""
     import pyarrow as pa

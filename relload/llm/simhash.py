@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relload.llm.common import ROW_FILE, ROW_KEY, ROW_POS, texts_of, with_row_key, write_table
+from relload.llm.common import ROW_FILE, ROW_KEY, ROW_POS, map_texts, texts_of, with_row_key, write_table
 from relload.llm.components import connected_components
 
 SEED = 42
 GOLAY_BITS, GOLAY_RADIUS, GOLAY_POLY = 23, 3, 0xC75
 BLOCKS = (0, 23)  # first bit of each Golay block
 _CHUNK = 1 << 15
+_GUESTS = 2000  # fingerprints replicated at a time
 
 
 def simhash64(data: bytes | None, shingle: int) -> int:
@@ -64,7 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(fp)], names=[ROW_FILE, ROW_POS, "doc_id", "fp"])
 
     schema = T.StructType([*rows.schema.fields[:3], T.StructField("fp", T.LongType())])
-    return rows.mapInArrow(run, schema)
+    return map_texts(rows, run, schema)
 
 
 def close_pairs(fps: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -80,7 +81,7 @@ def close_pairs(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     def guests(batches):
         import pyarrow as pa
 
-        for b in batches:
+        for b in (b.slice(at, _GUESTS) for b in batches for at in range(0, b.num_rows, _GUESTS)):
             anchor, fp, home = anchors_within(b.column(0).to_numpy(), max_bits)
             yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(fp), pa.array(home)], names=["anchor", "fp", "home"])
 
@@ -121,7 +122,7 @@ def anchors_within(fps, max_bits: int):
     tables = _patterns()
     value = fps.view(np.uint64)
     block = [((value >> np.uint64(s)) & np.uint64((1 << GOLAY_BITS) - 1)).astype(np.int64) for s in BLOCKS]
-    syndrome = [_syndromes()[v] for v in block]
+    syndrome = [_syndrome(v) for v in block]
     anchor, row, home = [], [], []
     for over in itertools.product(range(max_bits + 1), repeat=len(BLOCKS)):
         if sum(over) > max_bits:
@@ -135,15 +136,23 @@ def anchors_within(fps, max_bits: int):
     return np.concatenate(anchor), fps[np.concatenate(row)], np.concatenate(home)
 
 
+def _syndrome(words):
+    """The remainder of each 23-bit word modulo the generator polynomial; linear, so the halves are looked up."""
+    high, low = _remainders()
+    return high[words >> 12] ^ low[words & 0xFFF]
+
+
 @lru_cache(maxsize=1)
-def _syndromes():
-    """The remainder modulo the generator polynomial of every 23-bit word."""
+def _remainders():
     import numpy as np
 
-    s = np.arange(1 << GOLAY_BITS, dtype=np.int64)
-    for bit in range(GOLAY_BITS - 1, 10, -1):
-        s = np.where(s >> bit & 1, s ^ (GOLAY_POLY << (bit - 11)), s)
-    return s.astype(np.int16)
+    out = []
+    for shift, bits in ((12, 11), (0, 12)):
+        s = np.arange(1 << bits, dtype=np.int64) << shift
+        for bit in range(GOLAY_BITS - 1, 10, -1):
+            s = np.where(s >> bit & 1, s ^ (GOLAY_POLY << (bit - 11)), s)
+        out.append(s)
+    return out
 
 
 @lru_cache(maxsize=1)
@@ -151,7 +160,7 @@ def _patterns():
     """Per excess x of 0, 1, 2 over the radius: by syndrome, the error patterns that reach an anchor."""
     import numpy as np
 
-    unit = _syndromes()[1 << np.arange(GOLAY_BITS)].astype(np.int64)
+    unit = _syndrome(1 << np.arange(GOLAY_BITS))
     found = [[[] for _ in range(1 << 11)] for _ in range(3)]
     for weight in range(GOLAY_RADIUS + 3):
         for bits in itertools.combinations(range(GOLAY_BITS), weight):
