@@ -17,8 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relload.llm.common import map_texts
+
 BUCKETS = 4096
 MAX_PER_LANG = 300  # labelled texts the centroids of a language are fitted on, at most
+MAX_SAMPLE = 4000  # labelled texts of all languages together, at most
 CENTROIDS = 4
 UNKNOWN = "und"
 
@@ -87,7 +90,7 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str =
         hit = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(hit, -1)), pa.array(np.append(df[hit], n))], names=["bucket", "n"])
 
-    counted = rows.select("text").mapInArrow(document_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counted = map_texts(rows.select("text"), document_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     df = {r["bucket"]: r["n"] for r in counted.collect()}  # one row a bucket
     total = df.pop(-1, 0)
     idf = np.zeros(BUCKETS)
@@ -96,8 +99,9 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str =
 
     hashed = rows.select("lang", F.xxhash64("text").alias("h"))
     nth = Window.partitionBy("lang").orderBy("h")
-    picked = hashed.distinct().withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= MAX_PER_LANG).drop("nth")
-    sample = rows.withColumn("h", F.xxhash64("text")).join(picked, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("text").alias("text"))
+    picked = hashed.distinct().withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= MAX_PER_LANG)
+    picked = picked.orderBy("nth", "lang").limit(MAX_SAMPLE).drop("nth")  # small enough for every task
+    sample = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(picked), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("text").alias("text"))
 
     def vectors(batches):
         for b in batches:
@@ -106,7 +110,7 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str =
                 [b.column(0), pa.array([None if x is None else _unit(x, idf).astype(np.float32).tobytes() for x in v], pa.binary())], names=["lang", "v"]
             )
 
-    fitted = sample.select("lang", "text").mapInArrow(vectors, "lang string, v binary").where("v is not null").toPandas()
+    fitted = map_texts(sample.select("lang", "text"), vectors, "lang string, v binary").where("v is not null").toPandas()
     langs = fitted["lang"].to_numpy(object)
     if not len(fitted):
         return Model(idf, np.zeros((0, BUCKETS)), [], 0.0)
@@ -173,4 +177,4 @@ def predict(docs: DataFrame, model: Model, text_col: str, lang_out: str, score_o
                 lang.append(best), score.append(cos), rejected.append(best == UNKNOWN or cos < model.threshold)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, run, schema)
