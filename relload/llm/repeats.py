@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relload.llm.common import ROW_FILE, ROW_KEY, ROW_POS, release_shuffles, texts_of, with_row_key, write_table
+from relload.llm.common import ROW_FILE, ROW_KEY, ROW_POS, map_texts, release_shuffles, texts_of, with_row_key, write_table
 
 GRAM = 40
 CROWD = 4000
@@ -74,7 +74,7 @@ def repeat_trees(rows: DataFrame, length: int = 200, gram: int = GRAM, crowd: in
                     names=[ROW_FILE, ROW_POS, "kh", "sh", "n"],
                 )
 
-    filed = texts.select(*ROW_KEY, "text").mapInArrow(file_anchors, f"{ROW_FILE} long, {ROW_POS} long, kh long, sh long, n int")
+    filed = map_texts(texts.select(*ROW_KEY, "text"), file_anchors, f"{ROW_FILE} long, {ROW_POS} long, kh long, sh long, n int")
     shared = filed.groupBy("kh").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("kh")
     filed = write_table(filed.join(shared, "kh", "left_semi"), "anchors")
     release_shuffles(rows.sparkSession)
@@ -120,7 +120,7 @@ def repeat_trees(rows: DataFrame, length: int = 200, gram: int = GRAM, crowd: in
 
     arrow = pa.schema([("file", pa.int64()), ("pos", pa.int64()), ("kh", pa.int64()), ("start", pa.int32()), ("copies", pa.int64()), ("before", pa.int16()), ("part", pa.bool_()), ("data", pa.binary())])
     pieces = write_table(
-        cut.mapInArrow(cut_segments, "file long, pos long, kh long, start int, copies long, before short, part boolean, data binary"), "pieces"
+        map_texts(cut, cut_segments, "file long, pos long, kh long, start int, copies long, before short, part boolean, data binary"), "pieces"
     )
     release_shuffles(rows.sparkSession)
 
@@ -184,7 +184,7 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     span = T.StructType().add("start", T.LongType()).add("end", T.LongType())
     schema = T.StructType([joined.schema["doc_id"]]).add("n_bytes", T.LongType()).add("spans", T.ArrayType(span)).add("kept", T.BinaryType())
-    return joined.mapInArrow(apply, schema)
+    return map_texts(joined, apply, schema)
 
 
 def _content(window: bytes, offset: int) -> int:

@@ -17,7 +17,6 @@ reported ones included.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -26,10 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relload.llm.common import map_texts
+
 MAX_LABELLED = 40_000  # labelled rows the model is fitted on, at most
 MAX_LEXICON = 5_000  # insult words and stems kept, at most
 MIN_TOXIC = 3  # toxic sampled texts an entry of the lexicon must occur in, at least
-MIN_LOG_ODDS = 2.5
+MIN_LOG_ODDS = 1.5
 STEMS = (4, 5, 6)  # prefix lengths tried beside whole words
 SCOPE = 3  # words a negator or a target reaches
 
@@ -154,54 +155,65 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     # at most MAX_LABELLED rows of two numbers: small enough for every task
     rows = docs.select(key.alias("id"), F.col(text_col).alias("text")).where("text is not null").join(F.broadcast(sample), "id")
 
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(2)).cast("int"))
+
     def count_units(batches):
-        toxic, seen = Counter(), Counter()
-        n = [0, 0]
+        n = {}  # by fold and class, the texts that hold each unit; "" counts the texts
         for b in batches:
-            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                u = units(text)
-                n[y > 0] += 1
-                (toxic if y > 0 else seen).update(u)
-        names = list(toxic) + [u for u in seen if u not in toxic] + [""]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names), pa.array([toxic[u] for u in names[:-1]] + [n[1]], pa.int64()), pa.array([seen[u] for u in names[:-1]] + [n[0]], pa.int64())],
-            names=["unit", "toxic", "clean"],
-        )
-
-    counts = rows.select("text", "y").mapInArrow(count_units, "unit string, toxic long, clean long")
-    counts = counts.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).persist()
+            for text, y, fold in zip(*(c.to_pylist() for c in b.columns)):
+                seen = n.setdefault((fold, y > 0), Counter())
+                seen.update(units(text))
+                seen[""] += 1
+        names = sorted(set().union(*n.values()))
+        columns = [pa.array([n.get(k, {}).get(u, 0) for u in names], pa.int64()) for k in _CLASSES]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], names=["unit", *_COUNTS])
+
+    counted = map_texts(rows.select("text", "y", "fold"), count_units, "unit string, " + ", ".join(f"{c} long" for c in _COUNTS))
+    counts = counted.groupBy("unit").agg(*[F.sum(c).alias(c) for c in _COUNTS]).persist()
     total = counts.where("unit = ''").first()
     empty = Model({}, {}, [0.0] * len(FEATURES), -20.0)
-    if total is None or not total["toxic"] or not total["clean"]:
+    if total is None or not total["t0"] + total["t1"] or not total["c0"] + total["c1"]:
         counts.unpersist()
         return empty
-    # so many toxic texts, and no other, that fewer than one of all entries would get there by chance
-    chance = math.log((total["toxic"] + total["clean"]) / total["toxic"])
-    least = max(MIN_TOXIC, math.ceil(math.log(counts.count()) / chance))
-    odds = F.log((F.col("toxic") + 0.5) / (total["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (total["clean"] + 1))
-    lexicon = (
-        counts.where(f"unit <> '' and toxic >= {least}").withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS)
-        .orderBy(F.desc(F.col("odds") * F.log(F.col("toxic") + 1.0)), "unit").limit(MAX_LEXICON).collect()
-    )
+    # a half's patterns are matched with the other half's lexicon, so that the regression
+    # sees what an entry is worth on texts it was not learned from
+    other = [_lexicon(counts, total, [1]), _lexicon(counts, total, [0])]
+    model = _lexicon(counts, total, [0, 1])
     counts.unpersist()
-    words = {r["unit"][1:]: r["odds"] for r in lexicon if r["unit"].startswith("=")}
-    stems = {r["unit"]: r["odds"] for r in lexicon if not r["unit"].startswith("=")}
-    model = Model(words, stems, empty.weights, empty.bias)
 
     def vectors(batches):
-        memo: dict = {}
+        memo: list = [{}, {}]
         for b in batches:
-            x = [features(t, model, memo).tolist() for t in b.column(1).to_pylist()]
+            x = [features(t, other[f], memo[f]).tolist() for t, f in zip(b.column(1).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(x, pa.list_(pa.float64()))], names=["id", "y", "x"])
 
     schema = T.StructType([rows.schema["id"]]).add("y", T.IntegerType()).add("x", T.ArrayType(T.DoubleType()))
-    one = rows.select("id", "text", "y").mapInArrow(vectors, schema).groupBy("id", "y").agg(F.max("x").alias("x"))
+    one = map_texts(rows.select("id", "text", "y", "fold"), vectors, schema).groupBy("id", "y").agg(F.max("x").alias("x"))
     fitted = one.orderBy("id").toPandas()  # at most one row a sampled id
     x, y = np.stack(fitted["x"]), (fitted["y"].to_numpy() > 0).astype(float)
     model.weights, model.bias = _regression(x, y)
     return model
 
 
+_COUNTS = ["c0", "c1", "t0", "t1"]  # clean and toxic texts of either half
+_CLASSES = [(0, False), (1, False), (0, True), (1, True)]
+
+
+def _lexicon(counts: DataFrame, total, folds: list[int]) -> Model:
+    """The ``MAX_LEXICON`` strongest entries of some halves; an entry weighs its log odds less their standard error."""
+    toxic, clean = (sum((F.col(f"{c}{f}") for f in folds), F.lit(0)) for c in "tc")
+    t, c = (sum(total[f"{x}{f}"] for f in folds) for x in "tc")
+    odds = F.log((F.col("t") + 0.5) / F.lit(t + 1.0)) - F.log((F.col("c") + 0.5) / F.lit(c + 1.0))
+    sure = odds - F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
+    rows = (
+        counts.where("unit <> ''").select("unit", toxic.alias("t"), clean.alias("c")).where(F.col("t") >= MIN_TOXIC)
+        .withColumn("sure", sure).where(F.col("sure") >= MIN_LOG_ODDS)
+        .orderBy(F.desc(F.col("sure") * F.log(F.col("t") + 1.0)), "unit").limit(MAX_LEXICON).collect()
+    )
+    words = {r["unit"][1:]: r["sure"] for r in rows if r["unit"].startswith("=")}
+    return Model(words, {r["unit"]: r["sure"] for r in rows if not r["unit"].startswith("=")}, [0.0] * len(FEATURES), -20.0)
+
+
 def _regression(x, y):
     """Ridge logistic regression by Newton steps."""
     import numpy as np
@@ -241,4 +253,4 @@ def score(docs: DataFrame, model: Model, text_col: str, score_out: str, patterns
             n = [[(s, int(round(float(np.expm1(v[2 * i]))))) for i, s in enumerate(SYMBOLS) if v[2 * i]] for v in x]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64()), pa.array(n, pa.map_(pa.string(), pa.int32()))], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, run, schema)

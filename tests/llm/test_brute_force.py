@@ -101,14 +101,17 @@ def test_op4_held_out_accuracy(spark, sf, table):
     assert sum(r.lang_pred == docs[r.doc_id].lang for r in test) / len(test) > 0.9
 
 
-def test_op9_held_out_accuracy(spark, sf, table):
+def test_op9_held_out_accuracy(spark):
+    """At sf0.1: the smaller tables label too few toxic texts of each language."""
+    sf = "/root/testdata/sf0.1"
+    table = lambda name: spark.read.parquet(f"{sf}/{name}.parquet")
     labels = {r.doc_id: r.toxic for r in table("labels").collect()}
     out = queries.op9_toxicity(spark, sf).collect()
     assert len(out) == table("documents").count() and all(0 <= r.score <= 1 for r in out)
     assert all(r.predicted == (r.score >= 0.3) for r in out)
     test = [(labels[r.doc_id], r.predicted) for r in out if r.held_out and r.doc_id in labels]
     hit = sum(1 for y, p in test if y and p)
-    assert hit >= 0.7 * sum(y for y, _ in test)
+    assert hit >= 0.9 * sum(y for y, _ in test)
     assert sum(1 for y, p in test if p and not y) <= 0.03 * len(test)
 
 
