@@ -63,17 +63,19 @@ def contaminated(
     hits = theirs.join(seeds, "seed").select(*ROW_KEY, "item", (F.col("text_at") - F.col("item_at")).alias("shift"))
     hits = write_table(hits.distinct(), "seed-hits")
 
-    wanted = hits.select(*ROW_KEY).distinct()
-    words = rows.join(wanted, ROW_KEY).select(*ROW_KEY, "doc_id", tokens(F.col("text")).alias("words"))
-    met = hits.join(words, ROW_KEY).join(items, "item")
-    low = F.greatest(F.lit(0), -F.col("shift"))
-    high = F.least(F.size("item_words"), F.size("words") - F.col("shift"))
-    window = F.least(F.lit(WINDOW), F.size("item_words"))
-    met = met.withColumn("window", window).withColumn("low", low).withColumn("high", high).where("high - low >= window")
-    same = F.transform(
-        F.sequence(F.col("low"), F.col("high") - 1),
-        lambda i: (F.get("item_words", i) == F.get("words", i + F.col("shift"))).cast("int"),
-    )
+    # a text is cut around all of its hits in one row: only the cuts are copied, not the text
+    sized = items.select("item", F.size("item_words").alias("of"))
+    wanted = hits.join(sized, "item").groupBy(*ROW_KEY).agg(F.collect_list(F.struct("item", "shift", "of")).alias("hits"))
+    cuts = rows.join(wanted, ROW_KEY).select(*ROW_KEY, "doc_id", "hits", tokens(F.col("text")).alias("words"))
+
+    def cut(h):
+        low = F.greatest(F.lit(0), -h["shift"])
+        high = F.least(h["of"], F.size("words") - h["shift"])
+        return F.struct(h["item"].alias("item"), h["shift"].alias("shift"), low.alias("low"), F.slice("words", h["shift"] + low + 1, F.greatest(high - low, F.lit(0))).alias("words"))
+
+    met = cuts.select(*ROW_KEY, "doc_id", F.explode(F.transform("hits", cut)).alias("cut")).select(*ROW_KEY, "doc_id", "cut.*").join(items, "item")
+    met = met.withColumn("window", F.least(F.lit(WINDOW), F.size("item_words"))).where(F.size("words") >= F.col("window"))
+    same = F.transform("words", lambda w, i: (w == F.get("item_words", F.col("low") + i)).cast("int"))
     run = lambda s: F.aggregate(F.slice("same", s, F.col("window")), F.lit(0), lambda x, y: x + y)
     best = F.array_max(F.transform(F.sequence(F.lit(1), F.size("same") - F.col("window") + 1), run))
     return (

@@ -4,7 +4,9 @@ A text is a vector of hashed letter n-grams (pairs and triples, words bounded by
 space), weighted by log term frequency and inverse document frequency and normalised.
 Each language has several centroids, clustered from a bounded sample of its labelled
 texts; a text gets the language of the centroid with the largest cosine.  Texts whose
-best cosine lies under a distance threshold learned from the sample are rejected.
+best cosine lies under a distance threshold learned from the sample are rejected; the
+threshold falls with the square root of the distinct n-grams, since few n-grams cannot
+lie close to any centroid.
 """
 
 from __future__ import annotations
@@ -13,22 +15,25 @@ import sys
 from dataclasses import dataclass
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relload.llm.common import map_texts
 
 BUCKETS = 4096
-MAX_PER_LANG = 300  # labelled texts the centroids of a language are fitted on, at most
+MAX_PER_LANG = 300  # labelled rows the centroids of a language are fitted on, about
+MAX_LANGS = 1000  # languages learned, the most frequent first, at most
 MAX_SAMPLE = 4000  # labelled texts of all languages together, at most
 CENTROIDS = 4
+FAR = 5.0  # so many times less similar than all but 0.5 % of the sample is too far
+FULL_GRAMS = 500  # distinct n-grams from which on the cosine no longer grows with the text
 UNKNOWN = "und"
 
 
 @dataclass
 class Model:
-    """Inverse document frequencies, unit centroids with their languages, and the smallest cosine not rejected."""
+    """Inverse document frequencies, unit centroids with their languages, and the cosine under which a full text is rejected."""
 
     idf: object
     centroids: object
@@ -66,12 +71,20 @@ def _unit(counts, idf):
     return v / max(float(np.linalg.norm(v)), 1e-12)
 
 
+def _reach(distinct):
+    """How much of a full text's cosine one with so many distinct n-grams can have."""
+    import numpy as np
+
+    return np.sqrt(np.clip(np.asarray(distinct, float) / FULL_GRAMS, 1e-9, 1.0))
+
+
 def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str = "text", seed: int = 11) -> Model:
     """Learn from the rows of ``docs`` where ``learn`` holds and text and language are not null.
 
     Document frequencies count all of those rows.  The centroids are fitted on the
-    ``MAX_PER_LANG`` texts of each language with the smallest text hash (equal texts
-    count once), so the sample does not depend on how the rows are dealt out.
+    texts of each language with the smallest hashes, ``MAX_PER_LANG`` rows of it or so
+    (equal texts then count once) and ``MAX_SAMPLE`` texts in all at most, so the sample
+    does not depend on how the rows are dealt out.
     Centroids nearest to which most sampled texts belong to another language are
     dropped.  With no labelled rows the model knows no language.
     """
@@ -97,10 +110,12 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str =
     for bucket, n in df.items():
         idf[bucket] = np.log((1 + total) / n)
 
+    # each language keeps the share of its texts, by hash, that makes MAX_PER_LANG of its rows
     hashed = rows.select("lang", F.xxhash64("text").alias("h"))
-    nth = Window.partitionBy("lang").orderBy("h")
-    picked = hashed.distinct().withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= MAX_PER_LANG)
-    picked = picked.orderBy("nth", "lang").limit(MAX_SAMPLE).drop("nth")  # small enough for every task
+    share = F.lit(float(MAX_PER_LANG)) / F.col("n")
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    picked = hashed.join(F.broadcast(sizes), "lang").where(F.col("h").cast("double") / float(2**64) + 0.5 < share)
+    picked = picked.select("lang", "h").distinct().orderBy("h", "lang").limit(MAX_SAMPLE)  # small enough for every task
     sample = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(picked), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("text").alias("text"))
 
     def vectors(batches):
@@ -129,7 +144,8 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str =
         if pure[worst] >= 0.5 or (name == name[worst]).sum() == 1:
             break
         centre, name = np.delete(centre, worst, 0), np.delete(name, worst)
-    threshold = float(np.quantile((v @ centre.T).max(axis=1), 0.005)) / 2
+    near = (v @ centre.T).max(axis=1) / _reach((v > 0).sum(axis=1))
+    threshold = float(np.quantile(near, 0.005)) / FAR
     return Model(idf, centre, name.tolist(), threshold)
 
 
@@ -174,7 +190,7 @@ def predict(docs: DataFrame, model: Model, text_col: str, lang_out: str, score_o
                 else:
                     near = model.centroids @ _unit(counts, model.idf)
                     best, cos = model.langs[int(near.argmax())], float(np.clip(near.max(), 0.0, 1.0))
-                lang.append(best), score.append(cos), rejected.append(best == UNKNOWN or cos < model.threshold)
+                lang.append(best), score.append(cos), rejected.append(counts is None or cos < model.threshold * float(_reach((counts > 0).sum())))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], names=schema.names)
 
     return map_texts(docs, run, schema)

@@ -66,6 +66,7 @@ _WORD = re.compile(r"[0-9a-z]+(?:[.-][0-9a-z]+)*")
 LEVEL = 3
 CONFIRMED = 0.8  # share of the template's words, in order, that the block must hold
 FOUND = ("start", "block_chars", "license", "reduction", "share", "missing", "extra", "exact")
+SHORT = 12  # templates of fewer words must be held in full: each word may name the license
 BEST = 3  # templates whose wording is compared: more cannot change the winner's rank
 
 
@@ -111,7 +112,7 @@ def match_block(block: str) -> dict | None:
         share = same / len(own)
         # a number or a license name that differs makes another license
         telling = [w for w in lacks + extra if any(ch.isdigit() for ch in w) or w in {"nc", "sa", "nd", "lesser", "affero", "by-nc", "by-sa", "by"}]
-        if share >= CONFIRMED and not telling and (best is None or (share, reduction) > (best["share"], best["reduction"])):
+        if share >= (CONFIRMED if len(own) >= SHORT else 1.0) and not telling and (best is None or (share, reduction) > (best["share"], best["reduction"])):
             best = {"license": name, "reduction": reduction, "share": share, "missing": missing, "extra": len(extra), "exact": not lacks and not extra}
     return best
 

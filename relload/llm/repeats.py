@@ -283,10 +283,11 @@ def interval_tree(pieces: list[dict], length: int) -> dict:
     """
     import numpy as np
 
-    text = b"".join(p["data"] for p in pieces)
+    text = b"\0".join(p["data"] for p in pieces)
     size = np.array([len(p["data"]) for p in pieces])
-    first = np.cumsum(size) - size
-    a = np.frombuffer(text, np.uint8)
+    first = np.cumsum(size + 1) - size - 1
+    a = np.frombuffer(text, np.uint8).astype(np.uint16) + np.uint16(1)
+    a[first[1:] - 1] = 0  # the end of a segment sorts before every byte
     count = size - length + 1
     owner = np.repeat(np.arange(len(pieces)), count)
     suffix = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + first[owner]
@@ -296,7 +297,7 @@ def interval_tree(pieces: list[dict], length: int) -> dict:
     common = np.minimum(_common_prefix(a, levels, suffix[:-1], suffix[1:]), np.minimum(left[:-1], left[1:]))
     lcp = np.concatenate(([0], common, [0]))  # lcp[i]: of suffixes i - 1 and i
     at_start = suffix == first[owner]
-    before = np.where(at_start, np.array([p["before"] for p in pieces])[owner], a[np.maximum(suffix - 1, 0)].astype(np.int64))
+    before = np.where(at_start, np.array([p["before"] for p in pieces])[owner], a[np.maximum(suffix - 1, 0)].astype(np.int64) - 1)
     before = np.where(before < 0, -1 - np.arange(len(before)), before)  # a text's start is unlike any other
     begins = np.flatnonzero(lcp[:-1] < length)
     ends = np.concatenate((begins[1:], [len(suffix)]))
@@ -346,15 +347,15 @@ def _scan(out: dict, text: bytes, pieces, suffix, owner, lcp, before, first) ->
 
 
 def _sorted_suffixes(a, suffix, depth: int):
-    """Order of the suffixes by their first ``depth`` bytes or more, and ranks by prefixes of 8, 16, 32, ... bytes."""
+    """Order of the suffixes by their first ``depth`` bytes or more, and ranks by prefixes of 7, 14, 28, ... bytes."""
     import numpy as np
 
     n = len(a)
-    padded = np.concatenate((a, np.zeros(8, np.uint8))).astype(np.uint64)
+    padded = np.concatenate((a, np.zeros(7, a.dtype))).astype(np.uint64)
     key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = (key << np.uint64(8)) | padded[i : n + i]
-    levels, width = [], 8
+    for i in range(7):  # seven symbols of nine bits
+        key = (key << np.uint64(9)) | padded[i : n + i]
+    levels, width = [], 7
     while True:
         by = np.argsort(key)
         fresh = key[by[1:]] != key[by[:-1]]
@@ -380,7 +381,7 @@ def _common_prefix(a, levels, x, y):
         i, j = np.minimum(x + got, n - 1), np.minimum(y + got, n - 1)
         got += np.where((rank[i] == rank[j]) & (np.maximum(x, y) + got + width <= n), width, 0)
     more = np.ones(len(x), bool)
-    for _ in range(7):
+    for _ in range(6):
         i, j = x + got, y + got
         more &= (np.maximum(i, j) < n) & (a[np.minimum(i, n - 1)] == a[np.minimum(j, n - 1)])
         got += more

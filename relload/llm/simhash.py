@@ -112,6 +112,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = low.join(linked, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("group"), F.coalesce("merged", "low").alias("component_id")
     )
+    named = write_table(named, "components")  # so that the join below is a plain one, whose hot fingerprints can be split
     return rows.join(named, "fp").select(*ROW_KEY, "doc_id", "fp", "group", "component_id")
 
 
