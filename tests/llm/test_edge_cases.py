@@ -118,9 +118,10 @@ def test_mixing(odd, none):
     assert all(r.block >= 0 for r in got)
     every = mixing.mix(odd, max_repeat=1e9, budget_share=None).collect()
     assert {r.doc_id for r in every} == {r.doc_id for r in odd.collect()}
-    for block in {(r.source, r.block) for r in every}:
-        place = sorted(r.place for r in every if (r.source, r.block) == block)
-        assert place == list(range(len(place)))
+    places = {}
+    for r in every:
+        places.setdefault((r.source, r.block), []).append(r.place)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
     assert mixing.mix(none, entropy_share=0.9).count() == 0
 
 
