@@ -18,12 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Private-use sentinels standing in for escaped characters while splitting.
-# Input containing them is rejected by validation (see ``has_sentinel``).
-MARK = "\ue000"
-SENT_QUOTE = "\ue001"
-SENT_COMMA = "\ue002"
-SENTINELS = MARK + SENT_QUOTE + SENT_COMMA
+# Private-use characters stand in for escaped ones while T and E split.  Input that
+# holds them is escaped first (``KEEP`` and a digit) and restored in every field, so
+# no text is out of bounds.
+KEEP, SENT_QUOTE, SENT_COMMA, MARK = "\ue000", "\ue001", "\ue002", "\ue003"
+RESERVED = KEEP + SENT_QUOTE + SENT_COMMA + MARK
 
 # L: one field after a leading comma: unquoted prefix, then an optional quoted part.
 _L_FIELD = r'(?s),((?:\\"|[^",])*+(?:"(?:\\"|""|"(?!,|\z)|[^"])*+(?:"|\z))?)'
@@ -67,20 +66,35 @@ def _toggle_core(line: Column) -> Column:
     return F.transform(fields, decode)
 
 
+def _reserve(line: Column) -> Column:
+    kept = line
+    for digit, c in enumerate(RESERVED):  # KEEP first: later replacements bring new ones
+        kept = F.replace(kept, F.lit(c), F.lit(f"{KEEP}{digit}"))
+    return F.when(line.rlike(f"[{RESERVED}]"), kept).otherwise(line)
+
+
+def _restore(field: Column) -> Column:
+    plain = F.translate(field, SENT_QUOTE + SENT_COMMA, '",')
+    kept = plain
+    for digit in reversed(range(len(RESERVED))):  # KEEP last
+        kept = F.replace(kept, F.lit(f"{KEEP}{digit}"), F.lit(RESERVED[digit]))
+    return F.when(F.contains(plain, F.lit(KEEP)), kept).otherwise(plain)
+
+
 def split_toggle(line: Column) -> Column:
     """PRJ-2: ARRAY<STRING> of the fields of ``line`` in dialect T."""
-    protected = F.regexp_replace(F.coalesce(line, F.lit("")), r'\\"', SENT_QUOTE)
-    return F.transform(_toggle_core(protected), lambda f: F.translate(f, SENT_QUOTE, '"'))
+    protected = F.regexp_replace(_reserve(F.coalesce(line, F.lit(""))), r'\\"', SENT_QUOTE)
+    return F.transform(_toggle_core(protected), _restore)
 
 
 def split_escape_all(line: Column) -> Column:
     """PRJ-3: ARRAY<STRING> of the fields of ``line`` in dialect E."""
-    s = F.regexp_replace(F.coalesce(line, F.lit("")), r"(?s)\\(.)", MARK + "$1")
+    s = F.regexp_replace(_reserve(F.coalesce(line, F.lit(""))), r"(?s)\\(.)", MARK + "$1")
     s = F.regexp_replace(s, "(?<!" + MARK + r")\\\z", "")
     s = F.replace(s, F.lit(MARK + '"'), F.lit(SENT_QUOTE))
     s = F.replace(s, F.lit(MARK + ","), F.lit(SENT_COMMA))
     s = F.replace(s, F.lit(MARK), F.lit(""))
-    return F.transform(_toggle_core(s), lambda f: F.translate(f, SENT_QUOTE + SENT_COMMA, '",'))
+    return F.transform(_toggle_core(s), _restore)
 
 
 SPLITTERS = {"L": split_lenient, "T": split_toggle, "E": split_escape_all}
@@ -90,7 +104,3 @@ def split_fields(line: Column, dialect: str) -> Column:
     """Dispatch on the dialect letter (L, T or E)."""
     return SPLITTERS[dialect](line)
 
-
-def has_sentinel(line: Column) -> Column:
-    """True when the raw text holds one of the private-use sentinels."""
-    return F.coalesce(line.rlike("[" + SENTINELS + "]"), F.lit(False))

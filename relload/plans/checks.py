@@ -17,6 +17,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -66,6 +67,12 @@ def _li_om() -> Column:
     return F.col("l_partkey") * 1048576 + F.col("l_suppkey") + 1
 
 
+def _li_nth() -> Column:
+    """Place of a lineitem row among those of one order line; with ``_li_ob`` unique at any scale."""
+    same_line = Window.partitionBy("l_orderkey", "l_linenumber")
+    return F.row_number().over(same_line.orderBy("l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"))
+
+
 LI_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 LI_SORT = LI_KEYS + ["l_extendedprice", "l_quantity"]  # file order of rendered lineitem dumps
 LI_ORD_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -422,7 +429,7 @@ def _li_varcols() -> Column:
 
 def _li_varcount_rows(spark, sf) -> DataFrame:
     li = _t(spark, sf, "lineitem")
-    dump = frame_dump(li, _li_varcols(), "id,date_created,a,b,c", _li_ob(), _li_om(), "lineitem", carry=LI_KEYS)
+    dump = frame_dump(li, _li_varcols(), "id,date_created,a,b,c", _li_ob(), _li_nth(), "lineitem", carry=LI_KEYS)
     return parse_records(dump, ROW5)
 
 
@@ -431,7 +438,7 @@ def record_diagnostics_mismatch(spark, sf):
     from ..operators.project import diagnose_mismatches
 
     li = _t(spark, sf, "lineitem")
-    dump = frame_dump(li, _li_varcols(), "id,date_created,a,b,c", _li_ob(), _li_om(), "lineitem", carry=LI_KEYS)
+    dump = frame_dump(li, _li_varcols(), "id,date_created,a,b,c", _li_ob(), _li_nth(), "lineitem", carry=LI_KEYS)
     d = diagnose_mismatches(parse_records(dump, ROW5), 5, keep=tuple(LI_KEYS))
     return d.select(*LI_KEYS, "record_length", "quote_count", "newline_count", "column_count")
 
@@ -454,7 +461,7 @@ def validate_key(spark, sf):
     raw = F.when(drop_id, F.concat_ws(",", _s("l_partkey"), _s("l_suppkey"), F.col("l_returnflag"))).otherwise(
         F.concat_ws(",", _s("l_partkey"), _s("l_suppkey"), F.col("l_returnflag"), id_txt)
     )
-    dump = frame_dump(li, raw, "person_id,opinioncluster_id,extra,id", _li_ob(), _li_om(), "lineitem", carry=LI_KEYS)
+    dump = frame_dump(li, raw, "person_id,opinioncluster_id,extra,id", _li_ob(), _li_nth(), "lineitem", carry=LI_KEYS)
     spec = TableSpec(
         name="panel_keys", columns=PANEL.columns, dialect="T", assembly="single", upsert="natural",
         min_columns=3, key_rule="eq0", required=PANEL.required,
@@ -668,7 +675,7 @@ def _panel_reject_load(spark, sf):
     bad = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     id_txt = F.when(bad, F.lit("0")).otherwise(_s(_li_ob()))
     raw = F.concat_ws(",", id_txt, _s("l_orderkey"), _s("l_linenumber"))
-    dump = frame_dump(li, raw, "id,opinioncluster_id,person_id", _li_ob(), _li_om(), "lineitem")
+    dump = frame_dump(li, raw, "id,opinioncluster_id,person_id", _li_ob(), _li_nth(), "lineitem")
     return load(spark, PANEL, dump, parents={"search_opinioncluster": _orders_f(spark, sf)}, on_missing_parent="reject")
 
 

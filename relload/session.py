@@ -56,6 +56,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = sc.master if sc is not None else ""
+        if not master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="relload-scratch-")
         if sc is not None:
             sc.setCheckpointDir(root)

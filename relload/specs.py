@@ -98,7 +98,7 @@ OPINION = TableSpec(
         Col("main_version_id", "int_opt", not_null=False),
     ),
     dialect="L",
-    assembly="pattern",
+    assembly="parity_pattern",  # body lines inside quotes are no records
     upsert="ignore",
     required=("id", "date_created"),
     fks=(FK("cluster_id", "search_opinioncluster", "T1"), FK("author_id", "people_db_person")),
