@@ -54,23 +54,19 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def with_row_key(df: DataFrame, *cols) -> DataFrame:
-    """``cols`` of ``df`` plus the row key; a frame that is no file scan is written first."""
-    def keyed(frame: DataFrame) -> DataFrame:
-        return frame.select(
-            F.xxhash64(F.col("_metadata.file_path")).alias(ROW_FILE),
-            F.col("_metadata.row_index").alias(ROW_POS),
-            *cols,
-        )
-
+def as_files(df: DataFrame) -> DataFrame:
+    """``df`` itself if it is a Parquet scan whose rows have places in files, else a written copy."""
     try:
-        out = keyed(df)
-        # A frame whose scan hides below another node may resolve but lose the column
-        # names it was given; only a plain resolution counts.
-        out.schema
-        return out
+        df.select("_metadata.file_path", "_metadata.row_index").schema
+        return df
     except AnalysisException:
-        return keyed(write_table(df, "input"))
+        return write_table(df, "input")
+
+
+def with_row_key(df: DataFrame, *cols) -> DataFrame:
+    """``cols`` of ``df`` plus the row key; a frame that is no file scan is written first."""
+    place = F.xxhash64(F.col("_metadata.file_path")).alias(ROW_FILE), F.col("_metadata.row_index").alias(ROW_POS)
+    return as_files(df).select(*place, *cols)
 
 
 def free_name(df: DataFrame, base: str) -> str:
