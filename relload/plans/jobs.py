@@ -31,7 +31,7 @@ from ..operators import placeholders as PH
 from ..operators.fk import distinct_missing, parent_keys, with_presence
 from ..operators.project import ORDINAL, parse_records
 from ..operators.upsert import Upserted, upsert_ignore, upsert_last, upsert_natural, upsert_partial
-from ..sources.assemble import DEFAULT_LOOKAHEAD, Dump, read_dump
+from ..sources.assemble import Dump, read_dump
 from ..specs import CLUSTER, OPINION, TableSpec
 
 DEFAULT_AS_OF = dt.datetime(2026, 1, 1, 0, 0, 0)
@@ -220,7 +220,6 @@ def load(
     create_docket: bool = False,
     strict: bool = True,
     assembly: str | None = None,
-    lookahead: int = DEFAULT_LOOKAHEAD,
     score_precision: int | None = 6,
 ) -> LoadResult:
     """Load one dump into the new state of ``spec``'s table.
@@ -235,7 +234,7 @@ def load(
     """
     if on_missing_parent not in ("placeholder", "reject"):
         raise ValueError(on_missing_parent)
-    dump = source if isinstance(source, Dump) else read_dump(spark, source, assembly or spec.assembly, lookahead)
+    dump = source if isinstance(source, Dump) else read_dump(spark, source, assembly or spec.assembly)
     P = _Parents(parents, create_docket)
     parsed = parse_records(dump, spec, strict=strict)
     # The raw text is only needed for rows that fail parsing (SNK-3); dropping it

@@ -16,9 +16,10 @@ cut into records by many tasks at once:
    ``parity``          quote parity before the line is even (SRC-2)
    ``pattern``         the line looks like ``<digits>,<yyyy-mm-dd>`` (SRC-3)
    ``parity_pattern``  both (SRC-4)
+   ``resync``          as before, but a stray quote harms its own record only:
+                       see :func:`_resync_starts`
    ``skip3``           ``<id>,`` then three CSV fields then a date (SRC-5);
-                       the fields may run over following lines, so the rule
-                       reads ahead ``lookahead`` lines, across split edges.
+                       the fields may run over any number of lines
    ``single``          every non-blank line is a record (SRC-6)
 
    The header is the first record of every file; in the pattern modes it is
@@ -46,7 +47,7 @@ from ..functions.scalars import C_SPACE, ctrim
 from ..plans.joins import bounded_broadcast
 from .lines import read_lines
 
-MODES = ("single", "parity", "pattern", "parity_pattern", "skip3")
+MODES = ("single", "parity", "pattern", "parity_pattern", "resync", "skip3")
 
 # Fixed record-start patterns of the original scanners.
 # SRC-3: digits/quotes up to the first comma, then an optionally quoted date.
@@ -57,11 +58,6 @@ START_ID_TS_WS = r'^[ \t\r]*(?:"[0-9]+"|[0-9]+)[ \t]*,["\t ]*[0-9]{4}-[0-9]{2}-[
 # SRC-5: optionally quoted id, comma, three CSV fields (quote-aware, may cross
 # lines), then an optionally quoted date.
 _FIELD = r'(?:[^",]|"(?:""|[^"])*+")*+,'
-START_ID_SKIP3_DATE = r'(?s)^(?:"[0-9]+"|[0-9]+),' + _FIELD * 3 + r'"?[0-9]{4}-[0-9]{2}-[0-9]{2}'
-SKIP3_CANDIDATE = r'^"?[0-9]'
-
-DEFAULT_LOOKAHEAD = 0  # kept for API compatibility: the skip-3 rule is exact, no look-ahead window
-
 # commas per parity are located through buckets of this many commas (bounded join fan-out)
 COMMA_BUCKET = 1 << 20
 _ID_PREFIX = r'^(?:"[0-9]+"|[0-9]+),'
@@ -133,6 +129,26 @@ def _date_after_comma(value: Column, line_parity: Column, target_parity: Column,
     return F.coalesce(upto.isNotNull() & after.rlike(_DATE_AHEAD), F.lit(False))
 
 
+def _with_comma_counts(y: DataFrame, text: Column) -> tuple[DataFrame, DataFrame]:
+    """Commas of the file up to and with each line, per quote parity, and the offsets per split.
+
+    ``_lpar`` is the quote parity before the line; ``_a0``/``_a1`` are its commas at
+    even and odd parity, ``_inc0``/``_inc1`` the running counts over the file.
+    """
+    w = _split_window()
+    y = y.withColumn("_lpar", ((F.col("_q0") + F.col("_qc") - F.col("_q")) % 2).cast("int"))
+    even = _commas_by_segment_parity(text, 0)
+    odd = _commas_by_segment_parity(text, 1)
+    y = y.withColumn("_a0", F.when(F.col("_lpar") == 0, even).otherwise(odd)).withColumn(
+        "_a1", F.when(F.col("_lpar") == 0, odd).otherwise(even)
+    )
+    y = y.withColumn("_a0c", F.sum("_a0").over(_running(w))).withColumn("_a1c", F.sum("_a1").over(_running(w)))
+    per_split = y.groupBy("_p", "_b").agg(F.sum("_a0").alias("_t0"), F.sum("_a1").alias("_t1"))
+    off = _file_offsets(per_split, {"_t0": "_off0", "_t1": "_off1"})
+    y = y.join(off.select("_p", "_b", "_off0", "_off1"), ["_p", "_b"])
+    return y.withColumn("_inc0", F.col("_off0") + F.col("_a0c")).withColumn("_inc1", F.col("_off1") + F.col("_a1c")), off
+
+
 def _skip3_starts(y: DataFrame) -> DataFrame:
     """SRC-5 exactly: ``<id>,`` then three fields (quote-aware, crossing lines) then a date.
 
@@ -146,19 +162,7 @@ def _skip3_starts(y: DataFrame) -> DataFrame:
     it from a broadcast of the (few) pending targets.  No window of lines, no
     cap on how far the fields run.
     """
-    w = _split_window()
-    par = ((F.col("_q0") + F.col("_qc") - F.col("_q")) % 2).cast("int")
-    y = y.withColumn("_lpar", par)
-    even = _commas_by_segment_parity(F.col("value"), 0)
-    odd = _commas_by_segment_parity(F.col("value"), 1)
-    y = y.withColumn("_a0", F.when(F.col("_lpar") == 0, even).otherwise(odd)).withColumn(
-        "_a1", F.when(F.col("_lpar") == 0, odd).otherwise(even)
-    )
-    y = y.withColumn("_a0c", F.sum("_a0").over(_running(w))).withColumn("_a1c", F.sum("_a1").over(_running(w)))
-    per_split = y.groupBy("_p", "_b").agg(F.sum("_a0").alias("_t0"), F.sum("_a1").alias("_t1"))
-    off = _file_offsets(per_split, {"_t0": "_off0", "_t1": "_off1"})
-    y = y.join(off.select("_p", "_b", "_off0", "_off1"), ["_p", "_b"])
-    y = y.withColumn("_inc0", F.col("_off0") + F.col("_a0c")).withColumn("_inc1", F.col("_off1") + F.col("_a1c"))
+    y, off = _with_comma_counts(y, F.col("value"))
     y = y.persist(StorageLevel.MEMORY_AND_DISK)  # read by the pending targets, the lookup and the result
 
     cand = F.col("value").rlike(_ID_PREFIX)
@@ -206,14 +210,104 @@ def _skip3_starts(y: DataFrame) -> DataFrame:
     return y.withColumn("_skip3", F.col("_cand") & (F.col("_inline") | F.coalesce(F.col("_far"), F.lit(False))))
 
 
+# the next set value of a column, strictly after the row: in its split, and over the splits of its file
+_NEXT_IN_SPLIT = "lead({}) IGNORE NULLS OVER (PARTITION BY _p, _b ORDER BY _m)"
+_NEXT_IN_FILE = "lead({}) IGNORE NULLS OVER (PARTITION BY _p ORDER BY _b)"
+
+
+def _fields_between(start: Column, end: Column) -> Column:
+    """Fields of the text between two places, read as if its quotes opened at ``start``."""
+    return F.when(start["par"] == 0, end["c0"] - start["c0"]).otherwise(end["c1"] - start["c1"]) + 1
+
+
+def _resync_starts(y: DataFrame) -> DataFrame:
+    """Record starts that keep quoted body lines and recover from a stray quote.
+
+    The text is cut at every line that looks like a record start.  A segment with an
+    odd quote count opens or closes a quoted run; a segment with an even count and
+    the header's number of fields is *full*: it reads as a record of its own.  A
+    line starts a record when no quote is open before it.  A full segment inside
+    an open run ends that run and starts a record as well, unless the run, taken
+    whole from its opening to its closing segment, has the header's number of
+    fields: then its lines are the body of one record.  (So a stray quote whose run
+    happens to have exactly that number of fields is taken for a long record; the
+    more columns a table has, the less likely that is.)
+
+    All of it is prefix sums and neighbour lookups, first inside each split, then
+    over a table with one row per split; no window spans a file.
+    """
+    y, _ = _with_comma_counts(y, F.regexp_replace("value", r'\\"', ""))
+    state = lambda par, c0, c1: F.struct(par.cast("int").alias("par"), c0.alias("c0"), c1.alias("c1"))
+    first_line = F.col("line_no") == 1
+    y = y.select(
+        "value", "_p", "_b", "_m", "_i", "line_no",
+        ((F.col("line_no") == 2) | ((F.col("line_no") > 2) & F.col("value").rlike(START_ID_TS_WS))).alias("_cand"),
+        state(F.col("_lpar"), F.col("_inc0") - F.col("_a0"), F.col("_inc1") - F.col("_a1")).alias("_s"),
+        state((F.col("_lpar") + F.col("_q")) % 2, F.col("_inc0"), F.col("_inc1")).alias("_e"),
+        F.when(first_line, F.col("_a0") + 1).alias("_hn"),
+    ).persist(StorageLevel.MEMORY_AND_DISK)  # read by three tables per split and the result
+
+    w = _split_window()
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    files = Window.partitionBy("_p").orderBy("_b")
+    earlier = files.rowsBetween(Window.unboundedPreceding, -1)
+    whole_file = files.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    # where the segment of each candidate ends, and whether it is odd or full
+    y = y.withColumn("_cs", F.when(F.col("_cand"), F.col("_s")))
+    ends = y.groupBy("_p", "_b").agg(
+        F.min(F.when(F.col("_cand"), F.struct("_m", "_s")))["_s"].alias("_first"),
+        F.max(F.struct("_m", "_e"))["_e"].alias("_eof"),
+        F.max("_hn").alias("_hn"),
+    )
+    ends = ends.select(
+        "_p", "_b", F.max("_hn").over(whole_file).alias("_n"),
+        F.coalesce(F.expr(_NEXT_IN_FILE.format("_first")), F.last("_eof").over(whole_file)).alias("_beyond"),
+    )
+    y = y.drop("_hn").join(ends, ["_p", "_b"])
+    y = y.withColumn("_end", F.when(F.col("_cand"), F.coalesce(F.expr(_NEXT_IN_SPLIT.format("_cs")), F.col("_beyond"))))
+    odd = F.col("_cand") & (F.col("_end.par") != F.col("_s.par"))
+    y = y.withColumn("_odd", odd).withColumn(
+        "_full", F.col("_cand") & ~odd & (_fields_between(F.col("_s"), F.col("_end")) == F.col("_n"))
+    )
+
+    # the odd segments around each full one: do they and all between make one record?
+    y = y.withColumn("_os", F.when(F.col("_odd"), F.col("_s"))).withColumn("_oe", F.when(F.col("_odd"), F.col("_end")))
+    odds = y.groupBy("_p", "_b").agg(
+        F.max(F.when(F.col("_odd"), F.struct("_m", "_s")))["_s"].alias("_lo"),
+        F.min(F.when(F.col("_odd"), F.struct("_m", "_end")))["_end"].alias("_fo"),
+    )
+    odds = odds.select(
+        "_p", "_b", F.last("_lo", ignorenulls=True).over(earlier).alias("_open"), F.expr(_NEXT_IN_FILE.format("_fo")).alias("_close")
+    )
+    y = y.join(odds, ["_p", "_b"])
+    y = y.withColumn("_open", F.coalesce(F.last("_os", ignorenulls=True).over(before), F.col("_open")))
+    y = y.withColumn("_close", F.coalesce(F.expr(_NEXT_IN_SPLIT.format("_oe")), F.col("_close")))
+    one = F.coalesce(_fields_between(F.col("_open"), F.col("_close")) == F.col("_n"), F.lit(False))
+    y = y.withColumn("_reset", F.col("_full") & ~one)
+
+    # open or closed before each candidate: odd segments since the last reset
+    y = y.withColumn("_odds", F.coalesce(F.sum(F.col("_odd").cast("long")).over(before), F.lit(0)))
+    y = y.withColumn("_at", F.last(F.when(F.col("_reset"), F.col("_odds")), ignorenulls=True).over(before))
+    sums = y.groupBy("_p", "_b").agg(
+        F.sum(F.col("_odd").cast("long")).alias("_to"), F.max(F.when(F.col("_reset"), F.col("_odds"))).alias("_ta")
+    )
+    sums = _file_offsets(sums, {"_to": "_so"})
+    base = F.last(F.when(F.col("_ta").isNotNull(), F.col("_so") + F.col("_ta")), ignorenulls=True).over(earlier)
+    sums = sums.select("_p", "_b", (F.col("_so") - F.coalesce(base, F.lit(0))).alias("_in"))
+    y = y.join(sums, ["_p", "_b"])
+    since = F.when(F.col("_at").isNotNull(), F.col("_odds") - F.col("_at")).otherwise(F.col("_in") + F.col("_odds"))
+    return y.withColumn("_resync", F.col("_cand") & ((since % 2 == 0) | F.col("_reset")))
+
+
 def _start_flags(lines: DataFrame, mode: str) -> DataFrame:
     """Lines with ``line_no`` (in file) and ``_start`` (begins a record)."""
     w = _split_window()
     x = lines.withColumn("_i", F.row_number().over(w))
     first_line = (F.col("_b") == 0) & (F.col("_i") == 1)
-    if mode in ("parity", "parity_pattern"):
+    if mode in ("parity", "parity_pattern", "resync"):
         q = quote_parity(F.col("value"))
-        if mode == "parity_pattern":  # the header is one physical line here
+        if mode != "parity":  # the header is one physical line here
             q = F.when(first_line, F.lit(0)).otherwise(q)
     elif mode == "skip3":  # the original field skipper counts every quote
         q = F.when(first_line, F.lit(0)).otherwise(quote_parity(F.col("value"), literal_escaped=False))
@@ -233,6 +327,9 @@ def _start_flags(lines: DataFrame, mode: str) -> DataFrame:
         start = head2 | F.col("value").rlike(START_ID_TS)
     elif mode == "parity_pattern":
         start = head2 | (closed & F.col("value").rlike(START_ID_TS_WS))
+    elif mode == "resync":
+        y = _resync_starts(y)
+        start = head2 | F.col("_resync")
     elif mode == "skip3":
         y = _skip3_starts(y)
         start = head2 | F.col("_skip3")
@@ -309,7 +406,7 @@ def _headers_from_flags(flagged: DataFrame) -> DataFrame:
     )
 
 
-def assemble_lines(lines: DataFrame, mode: str, lookahead: int = DEFAULT_LOOKAHEAD) -> Dump:
+def assemble_lines(lines: DataFrame, mode: str) -> Dump:
     """Cut physical lines (from :func:`read_lines`) into records."""
     if mode not in MODES:
         raise ValueError(f"unknown assembly mode {mode!r}; expected one of {MODES}")
@@ -336,7 +433,7 @@ def assemble_lines(lines: DataFrame, mode: str, lookahead: int = DEFAULT_LOOKAHE
         return Dump(records, headers)
 
     flagged = _start_flags(lines, mode)
-    if mode != "skip3":  # skip-3 already caches its lines (plus a small join) inside
+    if mode not in ("skip3", "resync"):  # these cache their lines inside
         flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     headers = _headers_from_flags(flagged)
     recs = _group_records(_number_records(flagged))
@@ -348,11 +445,9 @@ def assemble_lines(lines: DataFrame, mode: str, lookahead: int = DEFAULT_LOOKAHE
     return Dump(records, headers)
 
 
-def read_dump(
-    spark: SparkSession, paths: str | Sequence[str], mode: str, lookahead: int = DEFAULT_LOOKAHEAD
-) -> Dump:
+def read_dump(spark: SparkSession, paths: str | Sequence[str], mode: str) -> Dump:
     """Read dump files and assemble records (``records`` ordinal = ``_p``, ``_ob``, ``_om``)."""
-    return assemble_lines(read_lines(spark, paths), mode, lookahead)
+    return assemble_lines(read_lines(spark, paths), mode)
 
 
 # ---------------------------------------------------------------- header (SRC-1/7)

@@ -44,7 +44,7 @@ class TableSpec:
     name: str
     columns: tuple[Col, ...]
     dialect: str  # L, T or E
-    assembly: str  # single, parity, pattern, parity_pattern, skip3
+    assembly: str  # single, parity, pattern, parity_pattern, resync, skip3
     upsert: str  # ignore, partial, last, natural
     min_columns: int = 0  # VAL-3 (0 = no check)
     key_rule: str | None = None  # VAL-4: 'le0' rejects id <= 0, 'eq0' rejects id == 0
@@ -98,7 +98,7 @@ OPINION = TableSpec(
         Col("main_version_id", "int_opt", not_null=False),
     ),
     dialect="L",
-    assembly="parity_pattern",  # body lines inside quotes are no records
+    assembly="resync",  # body lines inside quotes are no records, a stray quote stays in its own
     upsert="ignore",
     required=("id", "date_created"),
     fks=(FK("cluster_id", "search_opinioncluster", "T1"), FK("author_id", "people_db_person")),

@@ -34,7 +34,7 @@ def make_dump(rnd, n, cluster_like=False):
     return lines[1:], "\n".join(lines) + ("\n" if rnd.random() < 0.5 else "")
 
 
-@pytest.mark.parametrize("mode", ["parity", "parity_pattern", "skip3"])
+@pytest.mark.parametrize("mode", ["parity", "parity_pattern", "resync", "skip3"])
 def test_written_records_come_back_across_tiny_splits(spark, tmpdir_path, mode):
     rnd = random.Random(mode)
     texts = []
@@ -114,3 +114,28 @@ def test_skip3_fields_spanning_many_lines(spark, tmpdir_path):
         "4,2020-01-01,2020-01-02,J,1999-01-01,b",
     ]
     assert [g.split(",", 1)[0] for g in got] == ["1", "2", "4"]  # "3,\"x" never closes its quote
+
+
+@pytest.mark.parametrize("size", ["700", "134217728"])
+def test_resync_keeps_body_lines_and_confines_stray_quotes(spark, tmpdir_path, size):
+    rnd = random.Random("resync")
+    records = []
+    for i in range(1, 200):
+        ts = f"2020-01-{(i % 28) + 1:02d} 10:00:00"
+        stray = '"x" and "y' if i % 23 == 2 else "plain"  # one quote too many: it stays in its own record
+        body = _text_field(rnd)
+        if i % 7 == 0:  # a body that quotes a whole record
+            body = f'"see\n{i},2013-01-01,a,b,5,6,7,8\n{i},2013-01-02,c,d\nend"'
+        # the harmed record has no dated body line (there it may be cut), and the next reads as one by itself
+        if i % 23 in (2, 3):
+            body = "short"
+        records.append(f"{i},{ts},{stray},{body},5,6,7,8")
+    text = "id,date_created,note,text,e,f,g,h\n" + "\n".join(records) + "\n"
+    write(os.path.join(tmpdir_path, "d.csv"), text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        got = [r.raw for r in read_dump(spark, tmpdir_path, "resync").records.orderBy("_ob").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == records
