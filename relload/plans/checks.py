@@ -29,7 +29,7 @@ from ..operators.project import parse_records
 from ..operators.upsert import upsert_ignore, upsert_last, upsert_natural, upsert_partial
 from ..sinks import bad_records_raw, bad_records_typed, write_csv
 from ..session import scratch_path
-from ..sources.assemble import Dump, preview, read_dump
+from ..sources.assemble import Dump, assemble_lines, preview, read_dump
 from ..specs import CITED, JOINED_BY, OPINION, PANEL, PARENTHETICAL, SEARCH_CITATION, Col, TableSpec
 from .jobs import load
 from .render import frame_dump, render_csv, render_lines
@@ -251,6 +251,37 @@ def scan_header_order(spark, sf):
     return _cust_rows(spark, sf, ["c_mktsegment", "c_acctbal", "c_name", "c_custkey", "c_nationkey"], "permuted")
 
 
+def assemble_resync(spark, sf):
+    """SRC-4 for opinions: private-use characters, dated body lines in quoted text, and a stray quote in each 50th row."""
+    d = _t(spark, sf, "documents")
+    fill = [F.lit("").alias(f"c{i}") for i in range(16)]
+    src = d.select(
+        F.col("doc_id").alias("id"),
+        _ts_text(F.col("doc_id")).alias("date_created"),
+        F.when(F.col("doc_id") % 50 == 7, F.lit(None))
+        .when(F.col("doc_id") % 50 > 20, F.concat(F.lit("12,2013-01-01 entry\n\ue000\n13,2014-01-01\n"), "text"))
+        .otherwise(F.concat(F.lit("\ue000"), "text")).alias("body"),
+        *fill,
+        F.lit("end").alias("last"),
+    )
+    line = F.concat_ws(
+        ",", _s("id"), F.col("date_created"), F.coalesce(_q(F.col("body")), F.lit('5" tall')), *[f"c{i}" for i in range(16)], "last"
+    )
+    # 50 documents make a file of five splits; physical lines go straight to the assembly
+    header = F.lit(",".join(["id", "date_created", "body", *[f"c{i}" for i in range(16)], "last"]))
+    file, split = F.floor(F.col("id") / 50), F.floor(F.col("id") % 50 / 10)
+    lines = src.select(
+        file.cast("string").alias("_p"), split.alias("_b"), "id", F.posexplode(F.split(line, "\n", -1)).alias("_l", "value")
+    ).select("value", "_p", "_b", (F.col("id") * F.lit(1 << 32) + F.col("_l") + 1).alias("_m"))
+    heads = lines.select("_p").distinct().select(header.alias("value"), "_p", F.lit(0).cast("long").alias("_b"), F.lit(0).cast("long").alias("_m"))
+    dump = assemble_lines(heads.unionByName(lines), "resync")
+    rows = dump.records.withColumn("_f", split_lenient(F.col("raw")))
+    return rows.select(
+        S.parse_int(F.get("_f", 0)).cast("long").alias("doc_id"),
+        F.when(F.col("raw").rlike('^[^"]*"[^"]*$'), F.lit("stray")).otherwise(F.get("_f", 2)).alias("body"),
+    )
+
+
 def preview_limit(spark, sf):
     """SRC-9: the first 10 records in file order (the limit is the feature)."""
     dump = read_dump(spark, _doc_dump_path(spark, sf), "parity")
@@ -582,6 +613,21 @@ def placeholder_base(spark, sf):
     return r.placeholder_ids.filter(F.col("id") == 1)
 
 
+def placeholder_base_trio(spark, sf):
+    """FKR-6: opinion 1 and group 1 are missing parents, so the base trio comes with the first group placeholder."""
+    li, raw = _paren_lines(spark, sf)
+    path = render_lines(spark, li, raw, PAREN_HEADER, (sf, "lineitem", "parentheticals"), sort=LI_SORT)
+    without_one = lambda df: df.filter(F.col("id") != 1)
+    parents = {
+        "search_opinion": without_one(_part_big(spark, sf)),
+        "search_parentheticalgroup": without_one(_orders_f(spark, sf)),
+        "search_opinioncluster": _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("id")),  # holds the cluster of the placeholders
+    }
+    r = load(spark, PARENTHETICAL, path, parents=parents, as_of=AS_OF)
+    base = r.target.filter((F.col("id") == 1) & (F.col("text") == "PLACEHOLDER")).select(F.lit(PARENTHETICAL.name).alias("parent"), "id")
+    return r.placeholder_ids.unionByName(base)
+
+
 def _jb_load(spark, sf, create_docket: bool = True):
     li = _t(spark, sf, "lineitem")
     raw = F.concat_ws(",", _s(_li_ob()), _s("l_orderkey"), _s("l_linenumber"))
@@ -667,6 +713,22 @@ def upsert_natural_dirty(spark, sf):
     return up.target
 
 
+def upsert_natural_claims(spark, sf):
+    """UPS-4 where all lines of an order claim one id: the first key keeps it, later keys are rejected."""
+    r = _nat_rows(spark, sf).withColumn("id", F.col("l_orderkey"))
+    cols = ["id", "l_orderkey", "l_linenumber", "type"]
+    return upsert_natural(r, None, cols, ["l_orderkey", "l_linenumber"], ["id", "type"]).target
+
+
+def upsert_natural_moves(spark, sf):
+    """UPS-5 where every row brings an id of its own: the key takes the last one."""
+    r = _nat_rows(spark, sf).withColumn("id", F.col("id") * 64 + F.row_number().over(
+        Window.partitionBy("l_orderkey", "l_linenumber").orderBy("_ord")
+    ))
+    cols = ["id", "l_orderkey", "l_linenumber", "type"]
+    return upsert_natural(r, None, cols, ["l_orderkey", "l_linenumber"], ["id", "type"]).target
+
+
 # ------------------------------------------------------------------ AGG / SNK: report and outputs
 
 
@@ -906,6 +968,9 @@ ORACLES: dict[str, str] = {
     "assemble_parity_pattern": "SELECT doc_id, text FROM documents",
     "assemble_pattern_id_ts": "SELECT page_id, url, html FROM pages",
     "assemble_skip3_date": "SELECT doc_id, text FROM documents",
+    "assemble_resync": """SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN 'stray'
+        WHEN doc_id % 50 <= 20 THEN chr(57344) || text
+        ELSE '12,2013-01-01 entry' || chr(10) || chr(57344) || chr(10) || '13,2014-01-01' || chr(10) || text END AS body FROM documents""",
     "scan_single_line": CUST_SQL,
     "scan_header_order": CUST_SQL,
     "preview_limit": "SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 10",
@@ -1008,6 +1073,13 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 'search_opinion', k FROM base WHERE 1 NOT IN {PART_BIG_SQL}
           UNION ALL SELECT 'search_parentheticalgroup', k FROM gr WHERE k = 1
           UNION ALL SELECT 'search_parentheticalgroup', k FROM base)""",
+    "placeholder_base_trio": f"""
+        WITH op AS (SELECT k FROM (SELECT l_partkey AS k FROM lineitem UNION SELECT l_suppkey FROM lineitem UNION SELECT 1)
+                    WHERE k = 1 OR k NOT IN {PART_BIG_SQL}),
+             gr AS (SELECT k FROM (SELECT l_orderkey AS k FROM lineitem UNION SELECT 1) WHERE k = 1 OR k NOT IN {ORDERS_F_SQL})
+        SELECT 'search_opinion' AS parent, CAST(k AS INTEGER) AS id FROM op
+        UNION ALL SELECT 'search_parentheticalgroup', CAST(k AS INTEGER) FROM gr
+        UNION ALL SELECT 'search_parenthetical', 1 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey * 8 + l_linenumber = 1)""",
     "placeholder_chain": f"""
         WITH op AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_orderkey NOT IN {ORDERS_F_SQL})
         SELECT parent, CAST(k AS INTEGER) AS id FROM (
@@ -1046,6 +1118,20 @@ ORACLES: dict[str, str] = {
                row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_returnflag, l_linestatus
                                   ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn
         FROM lineitem) WHERE rn = 1""",
+    "upsert_natural_claims": """
+        WITH r AS (SELECT l_orderkey, l_linenumber, l_suppkey,
+                          row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                             ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn,
+                          min(l_linenumber) OVER (PARTITION BY l_orderkey) AS first_line
+                   FROM lineitem)
+        SELECT l_orderkey AS id, l_orderkey, l_linenumber, l_suppkey AS type FROM r WHERE rn = 1 AND l_linenumber = first_line""",
+    "upsert_natural_moves": """
+        WITH r AS (SELECT l_orderkey, l_linenumber, l_suppkey,
+                          row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                             ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity) AS rn,
+                          count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n
+                   FROM lineitem)
+        SELECT (l_orderkey * 8 + l_linenumber) * 64 + rn AS id, l_orderkey, l_linenumber, l_suppkey AS type FROM r WHERE rn = n""",
     "load_report": f"""SELECT CAST(floor(pos / 5000) AS BIGINT) AS batch, {_COUNTS_SQL},
         min(pos) AS first_pos, max(pos) AS last_pos FROM ({_PANEL_OUTCOMES}) GROUP BY 1""",
     "load_totals": f"SELECT {_COUNTS_SQL} FROM ({_PANEL_OUTCOMES})",
@@ -1113,6 +1199,7 @@ QUERIES: dict[str, Query] = {
     "assemble_parity_pattern": assemble_parity_pattern,
     "assemble_pattern_id_ts": assemble_pattern_id_ts,
     "assemble_skip3_date": assemble_skip3_date,
+    "assemble_resync": assemble_resync,
     "scan_single_line": scan_single_line,
     "scan_header_order": scan_header_order,
     "preview_limit": preview_limit,
@@ -1147,6 +1234,7 @@ QUERIES: dict[str, Query] = {
     "placeholder_two_fk": placeholder_two_fk,
     "placeholder_three_fk": placeholder_three_fk,
     "placeholder_base": placeholder_base,
+    "placeholder_base_trio": placeholder_base_trio,
     "placeholder_chain": placeholder_chain,
     "placeholder_ids_csv": placeholder_ids_csv,
     "upsert_ignore": upsert_ignore_q,
@@ -1156,6 +1244,8 @@ QUERIES: dict[str, Query] = {
     "upsert_natural_key": upsert_natural_key,
     "upsert_natural_key4": upsert_natural_key4,
     "upsert_natural_dirty": upsert_natural_dirty,
+    "upsert_natural_claims": upsert_natural_claims,
+    "upsert_natural_moves": upsert_natural_moves,
     "load_report": load_report,
     "load_totals": load_totals,
     "failure_categories": failure_categories_q,

@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from ..functions.dialects import split_fields
 from ..functions.scalars import C_SPACE, ctrim
 from ..plans.joins import bounded_broadcast
+from ..session import scratch_path
 from .lines import read_lines
 
 MODES = ("single", "parity", "pattern", "parity_pattern", "resync", "skip3")
@@ -95,14 +96,8 @@ def _file_offsets(per_split: DataFrame, sums: dict[str, str]) -> DataFrame:
     return per_split.select(*cols, *[c for c in per_split.columns if c not in ("_p", "_b")])
 
 
-def _commas_by_segment_parity(value: Column, parity: int) -> Column:
-    """Commas inside the quote-delimited segments of a line whose index has the given parity."""
-    segs = F.split(value, '"', -1)
-    counts = F.transform(
-        segs,
-        lambda seg, i: F.when(i % 2 == parity, F.length(seg) - F.length(F.replace(seg, F.lit(","), F.lit("")))).otherwise(0),
-    )
-    return F.aggregate(counts, F.lit(0), lambda acc, c: acc + c)
+def _commas(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
 
 
 def _date_after_comma(value: Column, line_parity: Column, target_parity: Column, rank: Column) -> Column:
@@ -137,8 +132,9 @@ def _with_comma_counts(y: DataFrame, text: Column) -> tuple[DataFrame, DataFrame
     """
     w = _split_window()
     y = y.withColumn("_lpar", ((F.col("_q0") + F.col("_qc") - F.col("_q")) % 2).cast("int"))
-    even = _commas_by_segment_parity(text, 0)
-    odd = _commas_by_segment_parity(text, 1)
+    # commas before an odd number of the line's own quotes go with the quoted runs
+    y = y.withColumn("_even", _commas(F.regexp_replace(text, r'"[^"]*+(?:"|\z)', ""))).withColumn("_odd", _commas(text) - F.col("_even"))
+    even, odd = F.col("_even"), F.col("_odd")
     y = y.withColumn("_a0", F.when(F.col("_lpar") == 0, even).otherwise(odd)).withColumn(
         "_a1", F.when(F.col("_lpar") == 0, odd).otherwise(even)
     )
@@ -146,7 +142,8 @@ def _with_comma_counts(y: DataFrame, text: Column) -> tuple[DataFrame, DataFrame
     per_split = y.groupBy("_p", "_b").agg(F.sum("_a0").alias("_t0"), F.sum("_a1").alias("_t1"))
     off = _file_offsets(per_split, {"_t0": "_off0", "_t1": "_off1"})
     y = y.join(off.select("_p", "_b", "_off0", "_off1"), ["_p", "_b"])
-    return y.withColumn("_inc0", F.col("_off0") + F.col("_a0c")).withColumn("_inc1", F.col("_off1") + F.col("_a1c")), off
+    y = y.withColumn("_inc0", F.col("_off0") + F.col("_a0c")).withColumn("_inc1", F.col("_off1") + F.col("_a1c"))
+    return y.drop("_even", "_odd"), off
 
 
 def _skip3_starts(y: DataFrame) -> DataFrame:
@@ -215,6 +212,13 @@ _NEXT_IN_SPLIT = "lead({}) IGNORE NULLS OVER (PARTITION BY _p, _b ORDER BY _m)"
 _NEXT_IN_FILE = "lead({}) IGNORE NULLS OVER (PARTITION BY _p ORDER BY _b)"
 
 
+def _written(narrow: DataFrame, name: str) -> DataFrame:
+    """A bookkeeping table written to the shared folder and read back: later plans stay short."""
+    path = scratch_path(narrow.sparkSession, name)
+    narrow.write.parquet(path)
+    return narrow.sparkSession.read.schema(narrow.schema).parquet(path)
+
+
 def _fields_between(start: Column, end: Column) -> Column:
     """Fields of the text between two places, read as if its quotes opened at ``start``."""
     return F.when(start["par"] == 0, end["c0"] - start["c0"]).otherwise(end["c1"] - start["c1"]) + 1
@@ -239,22 +243,22 @@ def _resync_starts(y: DataFrame) -> DataFrame:
     y, _ = _with_comma_counts(y, F.regexp_replace("value", r'\\"', ""))
     state = lambda par, c0, c1: F.struct(par.cast("int").alias("par"), c0.alias("c0"), c1.alias("c1"))
     first_line = F.col("line_no") == 1
+    w = _split_window()
     y = y.select(
         "value", "_p", "_b", "_m", "_i", "line_no",
         ((F.col("line_no") == 2) | ((F.col("line_no") > 2) & F.col("value").rlike(START_ID_TS_WS))).alias("_cand"),
         state(F.col("_lpar"), F.col("_inc0") - F.col("_a0"), F.col("_inc1") - F.col("_a1")).alias("_s"),
         state((F.col("_lpar") + F.col("_q")) % 2, F.col("_inc0"), F.col("_inc1")).alias("_e"),
         F.when(first_line, F.col("_a0") + 1).alias("_hn"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)  # read by three tables per split and the result
+    ).persist(StorageLevel.MEMORY_AND_DISK)  # read by the candidates, a table per split and the result
+    y = y.withColumn("_k", F.sum(F.col("_cand").cast("int")).over(_running(w)))
 
-    w = _split_window()
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     files = Window.partitionBy("_p").orderBy("_b")
     earlier = files.rowsBetween(Window.unboundedPreceding, -1)
     whole_file = files.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     # where the segment of each candidate ends, and whether it is odd or full
-    y = y.withColumn("_cs", F.when(F.col("_cand"), F.col("_s")))
     ends = y.groupBy("_p", "_b").agg(
         F.min(F.when(F.col("_cand"), F.struct("_m", "_s")))["_s"].alias("_first"),
         F.max(F.struct("_m", "_e"))["_e"].alias("_eof"),
@@ -264,40 +268,46 @@ def _resync_starts(y: DataFrame) -> DataFrame:
         "_p", "_b", F.max("_hn").over(whole_file).alias("_n"),
         F.coalesce(F.expr(_NEXT_IN_FILE.format("_first")), F.last("_eof").over(whole_file)).alias("_beyond"),
     )
-    y = y.drop("_hn").join(ends, ["_p", "_b"])
-    y = y.withColumn("_end", F.when(F.col("_cand"), F.coalesce(F.expr(_NEXT_IN_SPLIT.format("_cs")), F.col("_beyond"))))
-    odd = F.col("_cand") & (F.col("_end.par") != F.col("_s.par"))
-    y = y.withColumn("_odd", odd).withColumn(
-        "_full", F.col("_cand") & ~odd & (_fields_between(F.col("_s"), F.col("_end")) == F.col("_n"))
-    )
+    c = y.filter("_cand").select("_p", "_b", "_m", "_s").join(ends, ["_p", "_b"])  # narrow: no text
+    c = c.withColumn("_end", F.coalesce(F.expr(_NEXT_IN_SPLIT.format("_s")), F.col("_beyond")))
+    odd = F.col("_end.par") != F.col("_s.par")
+    full = ~odd & (_fields_between(F.col("_s"), F.col("_end")) == F.col("_n"))
+    c = c.select("_p", "_b", "_m", "_s", "_end", "_n", odd.alias("_odd"), full.alias("_full"))
+    c = _written(c, "segments")
 
     # the odd segments around each full one: do they and all between make one record?
-    y = y.withColumn("_os", F.when(F.col("_odd"), F.col("_s"))).withColumn("_oe", F.when(F.col("_odd"), F.col("_end")))
-    odds = y.groupBy("_p", "_b").agg(
+    odds = c.groupBy("_p", "_b").agg(
         F.max(F.when(F.col("_odd"), F.struct("_m", "_s")))["_s"].alias("_lo"),
         F.min(F.when(F.col("_odd"), F.struct("_m", "_end")))["_end"].alias("_fo"),
     )
     odds = odds.select(
         "_p", "_b", F.last("_lo", ignorenulls=True).over(earlier).alias("_open"), F.expr(_NEXT_IN_FILE.format("_fo")).alias("_close")
     )
-    y = y.join(odds, ["_p", "_b"])
-    y = y.withColumn("_open", F.coalesce(F.last("_os", ignorenulls=True).over(before), F.col("_open")))
-    y = y.withColumn("_close", F.coalesce(F.expr(_NEXT_IN_SPLIT.format("_oe")), F.col("_close")))
-    one = F.coalesce(_fields_between(F.col("_open"), F.col("_close")) == F.col("_n"), F.lit(False))
-    y = y.withColumn("_reset", F.col("_full") & ~one)
+    c = c.withColumn("_os", F.when(F.col("_odd"), F.col("_s"))).withColumn("_oe", F.when(F.col("_odd"), F.col("_end")))
+    c = c.join(odds, ["_p", "_b"])
+    opened = F.coalesce(F.last("_os", ignorenulls=True).over(before), F.col("_open"))
+    closed = F.coalesce(F.expr(_NEXT_IN_SPLIT.format("_oe")), F.col("_close"))
+    one = F.coalesce(_fields_between(opened, closed) == F.col("_n"), F.lit(False))
+    before_me = F.coalesce(F.sum(F.col("_odd").cast("long")).over(before), F.lit(0))
+    c = c.select("_p", "_b", "_m", "_odd", (F.col("_full") & ~one).alias("_reset"), before_me.alias("_odds"))
+    c = _written(c, "resets")
 
     # open or closed before each candidate: odd segments since the last reset
-    y = y.withColumn("_odds", F.coalesce(F.sum(F.col("_odd").cast("long")).over(before), F.lit(0)))
-    y = y.withColumn("_at", F.last(F.when(F.col("_reset"), F.col("_odds")), ignorenulls=True).over(before))
-    sums = y.groupBy("_p", "_b").agg(
+    sums = c.groupBy("_p", "_b").agg(
         F.sum(F.col("_odd").cast("long")).alias("_to"), F.max(F.when(F.col("_reset"), F.col("_odds"))).alias("_ta")
     )
     sums = _file_offsets(sums, {"_to": "_so"})
     base = F.last(F.when(F.col("_ta").isNotNull(), F.col("_so") + F.col("_ta")), ignorenulls=True).over(earlier)
     sums = sums.select("_p", "_b", (F.col("_so") - F.coalesce(base, F.lit(0))).alias("_in"))
-    y = y.join(sums, ["_p", "_b"])
-    since = F.when(F.col("_at").isNotNull(), F.col("_odds") - F.col("_at")).otherwise(F.col("_in") + F.col("_odds"))
-    return y.withColumn("_resync", F.col("_cand") & ((since % 2 == 0) | F.col("_reset")))
+    c = c.join(sums, ["_p", "_b"])
+    at = F.last(F.when(F.col("_reset"), F.col("_odds")), ignorenulls=True).over(before)
+    c = c.withColumn("_since", F.coalesce(F.col("_odds") - at, F.col("_in") + F.col("_odds")))
+    c = c.select("_p", "_b", "_m", ((F.col("_since") % 2 == 0) | F.col("_reset")).alias("_on"))
+
+    # one row per split holds its candidates' flags in order, so the text stays where its split is
+    flags = c.groupBy("_p", "_b").agg(F.transform(F.array_sort(F.collect_list(F.struct("_m", "_on"))), lambda x: x["_on"]).alias("_flags"))
+    y = y.join(_written(flags, "starts"), ["_p", "_b"], "left")
+    return y.withColumn("_resync", F.col("_cand") & F.coalesce(F.get("_flags", F.col("_k") - 1), F.lit(False)))
 
 
 def _start_flags(lines: DataFrame, mode: str) -> DataFrame:
