@@ -55,6 +55,14 @@ class LoadResult:
     placeholders: dict[str, DataFrame] = field(default_factory=dict)  # parent table -> new rows
     placeholder_ids: DataFrame | None = None  # parent, id (FKR-7)
 
+    def parent_state(self, name: str, parent: DataFrame) -> DataFrame:
+        """SET-1: the parent table after the repair: its rows and the placeholders it lacks, columns by name."""
+        made = self.placeholders.get(name)
+        if made is None:
+            return parent
+        made = made.join(parent.select("id"), "id", "left_anti")
+        return parent.unionByName(made.select(*[c for c in parent.columns if c in made.columns]), allowMissingColumns=True)
+
 
 def _exists(keys: DataFrame | None, ident: int) -> bool:
     if keys is None:
@@ -234,6 +242,8 @@ def load(
     """
     if on_missing_parent not in ("placeholder", "reject"):
         raise ValueError(on_missing_parent)
+    if score_precision not in (None, 6):
+        raise ValueError("score_precision is 6 (the original's text form) or None (as parsed)")
     dump = source if isinstance(source, Dump) else read_dump(spark, source, assembly or spec.assembly)
     P = _Parents(parents, create_docket)
     parsed = parse_records(dump, spec, strict=strict)
