@@ -58,13 +58,41 @@ T6B_PARENTHETICAL = {
     "describing_opinion_id": 1,
     "group_id": 1,
 }
+# Fixed column names of the docket table.
 T7_DOCKET_COLUMNS = (
-    "id date_created date_modified case_name_short case_name case_name_full slug docket_number blocked "
-    "court_id cause filepath_ia filepath_local jurisdiction_type jury_demand nature_of_suit pacer_case_id "
-    "source assigned_to_str referred_to_str view_count appeal_from_str appellate_case_type_information "
-    "appellate_fee_status panel_str mdl_status filepath_ia_json docket_number_core federal_dn_case_type "
-    "federal_dn_judge_initials_assigned federal_dn_judge_initials_referred federal_dn_office_code"
-).split()
+    "id",
+    "date_created",
+    "date_modified",
+    "case_name_short",
+    "case_name",
+    "case_name_full",
+    "slug",
+    "docket_number",
+    "blocked",
+    "court_id",
+    "cause",
+    "filepath_ia",
+    "filepath_local",
+    "jurisdiction_type",
+    "jury_demand",
+    "nature_of_suit",
+    "pacer_case_id",
+    "source",
+    "assigned_to_str",
+    "referred_to_str",
+    "view_count",
+    "appeal_from_str",
+    "appellate_case_type_information",
+    "appellate_fee_status",
+    "panel_str",
+    "mdl_status",
+    "filepath_ia_json",
+    "docket_number_core",
+    "federal_dn_case_type",
+    "federal_dn_judge_initials_assigned",
+    "federal_dn_judge_initials_referred",
+    "federal_dn_office_code",
+)
 T7_DOCKET = {
     "case_name_short": "PLACEHOLDER",
     "case_name": "PLACEHOLDER",
@@ -169,8 +197,3 @@ def base_parenthetical_row(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(
         *[F.lit(T6B_PARENTHETICAL[c.name]).cast(_SQL_TYPE.get(c.kind, "string")).alias(c.name) for c in PARENTHETICAL.columns]
     )
-
-
-def fixed_ids(spark: SparkSession, *ids: int) -> DataFrame:
-    """A one-column DataFrame of the given fixed ids (the base rows of the parent DAG)."""
-    return spark.createDataFrame([(int(i),) for i in ids], "id int")
