@@ -3,10 +3,14 @@
 Each curve projects the vectors on a few random orthogonal directions, shifts and
 cuts every projection into equally likely cells and orders the vectors by the Hilbert
 key of their cell.  The orderings are range-partitioned by Spark; every run of
-``block`` neighbours on a curve forms a window.  A query meets its own window and the
-two beside it on every curve; each window reranks by the exact inner product, and the
-windows' best are merged.  Work and shuffle are linear in the rows: ``curves`` copies
-of each vector and 3 x ``curves`` of each query.
+``block`` neighbours on a curve forms a window.  A query meets its own window and those
+beside it on every curve; each window reranks by the exact inner product, and the
+windows' best are merged.
+
+How far a query looks along the curves is learned at every run: the true neighbours of
+a few queries, found by brute force, must lie within that distance on some curve for
+the asked share of them.  Vectors without clusters need a distance proportional to the
+rows, so their work grows with rows x queries; clustered ones need little.
 """
 
 from __future__ import annotations
@@ -17,14 +21,20 @@ from pyspark.sql import functions as F
 from relload.llm.common import ranked, write_table
 
 SAMPLE = 4096  # distinct vectors that the cells of the curves are fitted on, at most
+PROBES = 64  # distinct queries whose true neighbours set the width, at most
+MOST = 8192  # rows in a window, at most; beyond it a query meets more windows
+CELLS = 1 << 22  # scores held at once by a window
 
 
 def search(
     vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding",
-    k: int = 20, curves: int = 32, dims: int = 8, bits: int = 4, block: int = 512, seed: int = 7,
+    k: int = 20, curves: int = 32, dims: int = 8, bits: int = 4, block: int = 512, seed: int = 7, recall: float = 0.95,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of largest inner product found per query row.
 
+    ``block`` is the least distance that a query looks along a curve; it looks further
+    where ``recall`` of the probes' true neighbours takes that.
+
     Nearest first, ties to the smaller id.  Candidates are all rows but the query's
     own.  Vectors that are null, all zero, or hold null or non-finite components take
     no part, nor do those whose length is not the table's most common one (of equally
@@ -51,7 +61,7 @@ def search(
         ),
         "distinct-vectors",
     )
-    met = _windows(groups, width, k, curves, dims, bits, block, seed)
+    met = _windows(groups, width, k, curves, dims, bits, block, seed, recall)
     best = Window.partitionBy("q").orderBy(F.desc("score"), "first_id")
     merged = (
         met.repartition("q").groupBy("q", "c").agg(F.max("score").alias("score"), F.min("first_id").alias("first_id"))
@@ -75,7 +85,7 @@ def search(
     )
 
 
-def _windows(groups: DataFrame, width: int, k: int, curves: int, dims: int, bits: int, block: int, seed: int) -> DataFrame:
+def _windows(groups: DataFrame, width: int, k: int, curves: int, dims: int, bits: int, block: int, seed: int, recall: float) -> DataFrame:
     """(q, c, score, first_id): the best of every window for every query that meets it."""
     import numpy as np
     import pyarrow as pa
@@ -95,11 +105,15 @@ def _windows(groups: DataFrame, width: int, k: int, curves: int, dims: int, bits
             )
 
     keyed = groups.select("g", "v").mapInArrow(keys, "g long, curve int, key long")
-    at = ranked(keyed, ["curve"], ["key", "g"], "pos").select("g", "curve", F.floor(F.col("pos") / block).alias("block"))
+    placed = ranked(keyed, ["curve"], ["key", "g"], "pos").select("g", "curve", "pos")
+    far = max(block, _reach(groups, placed, width, k, recall))
+    block = min(far, max(block, MOST))
+    sides = -(-far // block)  # windows on either side that a query meets
+    at = placed.select("g", "curve", F.floor(F.col("pos") / block).alias("block"))
     places_of = at.groupBy("g").agg(F.collect_list(F.struct("curve", "block")).alias("at"))
     vec32 = F.col("v")
     rows = places_of.join(groups.select("g", vec32, F.col("ids")[0].alias("first_id"), "asked"), "g")
-    beside = F.flatten(F.transform("at", lambda p: F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: F.struct(p["curve"].alias("curve"), (p["block"] + d).alias("block")))))
+    beside = F.flatten(F.transform("at", lambda p: F.transform(F.sequence(F.lit(-sides), F.lit(sides)), lambda d: F.struct(p["curve"].alias("curve"), (p["block"] + d).alias("block")))))
     guests = rows.where("asked").select("g", "v", "first_id", F.lit(True).alias("asks"), F.explode(beside).alias("p"))
     residents = rows.select("g", "v", "first_id", F.lit(False).alias("asks"), F.explode("at").alias("p"))
     window = residents.union(guests).select("g", "v", "first_id", "asks", "p.curve", "p.block")
@@ -109,14 +123,50 @@ def _windows(groups: DataFrame, width: int, k: int, curves: int, dims: int, bits
         g = table.column("g").to_numpy()
         first = table.column("first_id").to_numpy()
         v = table.column("v").combine_chunks().flatten().to_numpy().reshape(len(g), width)
-        score = v[asks] @ v[~asks].T
-        q, c = np.nonzero(score >= (np.partition(score, -min(k + 1, score.shape[1]), axis=1)[:, -min(k + 1, score.shape[1])][:, None])) if score.size else (np.zeros(0, np.int64),) * 2
-        return pa.table({"q": g[asks][q], "c": g[~asks][c], "score": score[q, c], "first_id": first[~asks][c]})
+        asking, held = np.flatnonzero(asks), np.flatnonzero(~asks)
+        parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        best, step = min(k + 1, len(held)), max(1, CELLS // max(1, len(held)))
+        for i in range(0, len(asking) if best else 0, step):
+            score = v[asking[i : i + step]] @ v[held].T
+            q, c = np.nonzero(score >= np.partition(score, -best, axis=1)[:, -best][:, None])
+            parts.append((asking[i + q], held[c], score[q, c]))
+        q, c, score = (np.concatenate(x) for x in zip(*parts))
+        return pa.table({"q": g[q], "c": g[c], "score": score, "first_id": first[c]})
 
     schema = f"q long, c long, score double, first_id {dict(window.dtypes)['first_id']}"
     return window.groupBy("curve", "block").applyInArrow(rerank, schema)
 
 
+def _reach(groups: DataFrame, placed: DataFrame, width: int, k: int, recall: float) -> int:
+    """Distance within which, on the curve where they lie closest, ``recall`` of the probes' true neighbours lie."""
+    import numpy as np
+    import pyarrow as pa
+
+    probes = groups.where("asked").select("g", "v").orderBy(F.xxhash64("v"), "g").limit(PROBES).toPandas()
+    if not len(probes):
+        return 0
+    own, asked = probes["g"].to_numpy(), np.stack(probes["v"])
+
+    def nearest(batches):
+        for b in batches:
+            g = b.column(0).to_numpy()
+            score = asked @ b.column(1).flatten().to_numpy().reshape(b.num_rows, width).T
+            score[own[:, None] == g[None, :]] = -np.inf
+            best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            q = np.repeat(np.arange(len(own)), best.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(own[q]), pa.array(g[best.ravel()]), pa.array(score[q, best.ravel()])], names=["q", "c", "score"])
+
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "c")
+    true = groups.select("g", "v").mapInArrow(nearest, "q long, c long, score double").where("q <> c")
+    true = true.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).select("q", "c").toPandas()  # k rows a probe
+    if not len(true):
+        return 0
+    asks = groups.sparkSession.createDataFrame([(int(g),) for g in sorted({*true["q"], *true["c"]})], "g long")
+    at = placed.join(F.broadcast(asks), "g").toPandas().pivot(index="g", columns="curve", values="pos")  # a row a curve for each
+    apart = np.abs(at.loc[true["q"]].to_numpy() - at.loc[true["c"]].to_numpy()).min(axis=1)
+    return int(np.quantile(apart, recall, method="higher"))
+
+
 def _curve(width: int, curve: int, dims: int, fit, seed: int):
     """Directions, centre, scale and shift of one curve; curves of one rotation use its directions in turn."""
     import numpy as np

@@ -201,6 +201,20 @@ def test_search(spark):
     assert sorted((r.query_id, r.rank, r.vec_id) for r in few.collect()) == [(60, 1, 58), (60, 2, 59)]
 
 
+def test_search_width_follows_the_rows(spark):
+    """6,000 unclustered vectors against 8 x 3 x 32 = 768 slots of the least width: the recall must hold all the same."""
+    import numpy as np
+
+    x = np.random.default_rng(5).standard_normal((6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(rows, F.col("vec_id") % 20 == 0, curves=8, block=32).toPandas()
+    score = x[::20] @ x.T
+    score[np.arange(300), np.arange(0, 6000, 20)] = -2
+    want = {(20 * q, int(c)) for q, best in enumerate(np.argsort(-score, axis=1)[:, :20]) for c in best}
+    assert len(got) == 6000 and len(want & set(zip(got["query_id"], got["vec_id"]))) >= 0.9 * len(want)
+
+
 def test_stages(spark, odd, none, tmp_path):
     spark.createDataFrame([(1, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     for start in (odd, none):
