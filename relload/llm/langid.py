@@ -15,14 +15,14 @@ import sys
 from dataclasses import dataclass
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relload.llm.common import map_texts
+from relload.llm.common import map_texts, write_table
 
 BUCKETS = 4096
-MAX_PER_LANG = 300  # labelled rows the centroids of a language are fitted on, about
+MAX_PER_LANG = 300  # distinct labelled texts the centroids of a language are fitted on, at most
 MAX_LANGS = 1000  # languages learned, the most frequent first, at most
 MAX_SAMPLE = 4000  # labelled texts of all languages together, at most
 CENTROIDS = 4
@@ -82,9 +82,9 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str =
     """Learn from the rows of ``docs`` where ``learn`` holds and text and language are not null.
 
     Document frequencies count all of those rows.  The centroids are fitted on the
-    texts of each language with the smallest hashes, ``MAX_PER_LANG`` rows of it or so
-    (equal texts then count once) and ``MAX_SAMPLE`` texts in all at most, so the sample
-    does not depend on how the rows are dealt out.
+    distinct texts of each language with the smallest hashes: ``MAX_PER_LANG`` of them, or
+    an equal part of ``MAX_SAMPLE`` if there are many languages.  Copies do not count, and
+    the sample does not depend on how the rows are dealt out.
     Centroids nearest to which most sampled texts belong to another language are
     dropped.  With no labelled rows the model knows no language.
     """
@@ -110,12 +110,16 @@ def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str =
     for bucket, n in df.items():
         idf[bucket] = np.log((1 + total) / n)
 
-    # each language keeps the share of its texts, by hash, that makes MAX_PER_LANG of its rows
-    hashed = rows.select("lang", F.xxhash64("text").alias("h"))
-    share = F.lit(float(MAX_PER_LANG)) / F.col("n")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    picked = hashed.join(F.broadcast(sizes), "lang").where(F.col("h").cast("double") / float(2**64) + 0.5 < share)
-    picked = picked.select("lang", "h").distinct().orderBy("h", "lang").limit(MAX_SAMPLE)  # small enough for every task
+    # distinct texts by hash: each language ranks its own, after a filter by hash that leaves
+    # about twice what it needs, so that no task holds a language
+    hashed = rows.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.count("*").alias("n"))
+    hashed = write_table(hashed, "labelled-hashes")
+    sizes = hashed.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    sizes = sizes.withColumn("most", F.least(F.lit(MAX_PER_LANG), F.floor(F.lit(MAX_SAMPLE) / F.count("*").over(Window.partitionBy()))))
+    share = (2 * F.col("most") + 40) / F.col("texts")
+    nth = Window.partitionBy("lang").orderBy("h")
+    picked = hashed.select("lang", "h").join(F.broadcast(sizes), "lang").where(F.col("h").cast("double") / float(2**64) + 0.5 <= share)
+    picked = picked.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= F.col("most")).select("lang", "h")  # MAX_SAMPLE at most
     sample = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(picked), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("text").alias("text"))
 
     def vectors(batches):

@@ -57,6 +57,31 @@ def test_language(odd, none):
     assert {r.l for r in langid.predict(odd, blank, "text", "l", "s", "r").collect()} == {"und"}
 
 
+def _labelled(spark, langs):
+    """Rows of (language, distinct texts, copies of the first); each language writes with letters of its own."""
+    rows = []
+    for i, (lang, texts, copies) in enumerate(langs):
+        word = lambda n, i=i: "".join(chr(0x4E00 + 64 * i + (n >> s) % 60) for s in (0, 2, 5))
+        made = [" ".join(word(97 * t + 31 * w) for w in range(12)) for t in range(texts)]
+        rows += [(lang, t) for t in made] + [(lang, made[0])] * copies
+    return spark.createDataFrame(rows, "lang string, text string")
+
+
+def test_language_of_many_copies_is_learned(spark):
+    docs = _labelled(spark, [("aa", 40, 60000), ("bb", 400, 0)])
+    model = langid.fit(docs, F.lit(True))
+    got = langid.predict(docs.distinct(), model, "text", "l", "s", "r").collect()
+    assert set(model.langs) == {"aa", "bb"} and all(r.l == r.lang and not r.r for r in got)
+
+
+def test_language_sample_is_shared_by_all(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_SAMPLE", 100)
+    docs = _labelled(spark, [(f"big{i}", 2000, 0) for i in range(4)] + [("rare", 30, 0)])
+    model = langid.fit(docs, F.lit(True))
+    got = langid.predict(docs, model, "text", "l", "s", "r").where("lang = 'rare'").collect()
+    assert len(set(model.langs)) == 5 and all(r.l == "rare" for r in got)
+
+
 def test_shards(odd, none):
     got = shard.assign(odd, 5).collect()
     n = odd.count()
