@@ -122,6 +122,50 @@ def test_licenses(spark, odd, none):
     assert len(got) == 4
 
 
+# as their publishers print them
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+WRAPPED = {"MIT text": MIT, "BSD-3-Clause text": BSD, "MPL-2.0 header": MPL}
+
+
+def test_licenses_in_wrapped_lines():
+    for name, text in WRAPPED.items():
+        for shown in (text, "\n".join(" * " + x for x in text.split("\n")), text.replace("\n", "\n\n"), text.replace("\n", "\r\n")):
+            page = PROSE + "\n\n" + shown + "\n\n" + PROSE
+            (got,) = licenses.find(page)
+            assert (got["license"], got["exact"]) == (name, True), got
+            held = page[got["found_at"] :][: got["found_chars"]]
+            assert held.split()[0] == text.split()[0] and text.split()[-1].startswith(held.split()[-1])
+
+
+def test_every_license_of_a_block():
+    lines = ["Released under the MIT License.", "Licensed under CC BY 4.0.", "Licensed under CC BY-NC 4.0.", "Released under the MIT License."]
+    text = "\n".join(lines)
+    got = [(r["found_at"], r["license"]) for r in licenses.find(text)]
+    assert got == [(0, "MIT notice"), (32, "CC-BY-4.0 notice"), (58, "CC-BY-NC-4.0 notice"), (87, "MIT notice")]
+    every = "\n".join([*WRAPPED.values(), "Released under the Foo License of licensing."] * 40)
+    got = [r["license"] for r in licenses.find(every) if r.get("license")]
+    assert got == list(WRAPPED) * 40
+    changed = MIT.replace("free of charge", "at no charge").replace("shall be included", "must be kept")
+    (got,) = licenses.find(changed)
+    assert got["license"] == "MIT text" and not got["exact"] and 0.9 < got["share"] < 1
+
+
 def test_toxicity(spark, odd, none):
     labels = spark.createDataFrame([(1, 0), (2, 0), (None, 1), (6, None), (9, 1)], "doc_id long, toxic int")
     for model in (toxicity.fit(odd, labels, F.lit(True)), toxicity.fit(none, labels, F.lit(True)), toxicity.fit(odd, labels.limit(0), F.lit(True))):
