@@ -9,6 +9,9 @@ aliases.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +22,13 @@ from relload.llm.components import connected_components
 HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
 CANONICAL_TAG = r"(?is)<link\s[^>]*rel\s*=\s*[\"']?canonical[^>]*>"
-HREF = r"(?is)href\s*=\s*[\"']?([^\"'\s>]+)"
+HREF = r"(?is)href\s*=\s*[\"']?\s*([^\"'\s>]+)"
 REFRESH_TAG = r"(?is)<meta\s[^>]*http-equiv\s*=\s*[\"']?refresh[^>]*>"
 REFRESH_URL = r"(?is)url\s*=\s*[\"']?([^\"'\s>]+)"
+# A character reference (named ones without a semicolon only where HTML reads them in an attribute), or text between them.
+REFERENCE = r"(?s)(&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*(?:;|(?![=A-Za-z0-9;]))|[^&]+|&)"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+DOT, DOTS = r"(?i)^(\.|%2e)$", r"(?i)^(\.|%2e){2}$"
 
 
 def host_of(url: Column) -> Column:
@@ -55,25 +62,61 @@ def node_of(url: Column) -> Column:
     return F.when(host != "", F.concat(host, rest))
 
 
+def decoded(text: Column) -> Column:
+    """``text`` with its HTML character references read once; unknown names stay as they are."""
+    names = F.from_json(F.lit(json.dumps({"&" + k: v for k, v in html5.items()})), "map<string,string>")
+
+    def read(x: Column) -> Column:
+        digits = F.regexp_extract(x, r"^&#[xX]?0*([0-9a-fA-F]*);?$", 1)
+        short = F.when(F.length(digits).between(1, 7), digits).otherwise("0")
+        code = F.when(x.rlike("^&#[xX]"), F.conv(short, 16, 10)).otherwise(F.conv(short, 10, 10)).cast("bigint")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.when(x.startswith("&#") & (F.length(x) > 2), char).when(x.startswith("&"), F.coalesce(F.element_at(names, x), x)).otherwise(x)
+
+    return F.when(text.contains("&"), F.array_join(F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)), read), "")).otherwise(text)
+
+
+def without_dots(url: Column) -> Column:
+    """An absolute address whose path has no ``.`` and ``..`` segments left."""
+    steps = F.split(path_of(url), "/", -1)
+    last = F.element_at(steps, -1)
+    kept = F.aggregate(
+        steps, F.array().cast("array<string>"),
+        lambda done, s: F.when(s.rlike(DOT), done)
+        .when(s.rlike(DOTS), F.when(F.size(done) > 1, F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(done))
+        .otherwise(F.concat(done, F.array(s))),
+    )
+    kept = F.when(last.rlike(DOT) | last.rlike(DOTS), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    before, after = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1), F.regexp_extract(url, r"(?s)^.*?://[^?#]*(.*)$", 1)
+    return F.when(path_of(url).rlike(r"(?i)/(\.|%2e){1,2}(/|$)"), F.concat(before, F.array_join(kept, "/"), after)).otherwise(url)
+
+
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(a, b): node of a page and node of the address it redirects to or names as canonical."""
+    """(a, b): node of a page and node of an address it redirects to or names as canonical, for every such tag.
+
+    References to characters are read and relative addresses resolved against the
+    page's.  An address with dot segments is joined to its resolved form too, since a
+    page may bear it either way.  Addresses that cannot name a page (``mailto:`` and the
+    like) give no edge.
+    """
     url, html = F.col(url_col), F.col(html_col)
-    tags = pages.select(
-        url.alias("url"),
-        F.explode(F.array(
-            F.regexp_extract(F.regexp_extract(html, CANONICAL_TAG, 0), HREF, 1),
-            F.regexp_extract(F.regexp_extract(html, REFRESH_TAG, 0), REFRESH_URL, 1),
-        )).alias("to"),
-    ).where("to is not null and to <> ''")
-    to = F.col("to")
-    folder = F.regexp_replace(path_of(F.col("url")), r"[^/]*$", "")
+    named = lambda tag, at: F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, at, 1))
+    tags = pages.where(html.isNotNull()).select(url.alias("url"), F.explode(F.concat(named(CANONICAL_TAG, HREF), named(REFRESH_TAG, REFRESH_URL))).alias("to"))
+    tags = tags.where("to <> ''").select("url", F.trim(decoded(F.col("to"))).alias("to"))
+    to, url = F.col("to"), F.col("url")
+    site = F.concat(F.lit("http://"), host_of(url))
+    folder = F.regexp_replace(path_of(url), r"[^/]*$", "")
     full = (
-        F.when(to.contains("://"), to)
+        F.when(to.rlike(SCHEME + "//"), to)
         .when(to.startswith("//"), F.concat(F.lit("http:"), to))
-        .when(to.startswith("/"), F.concat(F.lit("http://"), host_of(F.col("url")), to))
-        .otherwise(F.concat(F.lit("http://"), host_of(F.col("url")), F.when(folder == "", "/").otherwise(folder), to))
+        .when(to.startswith("/"), F.concat(site, to))
+        .when(to.startswith("?"), F.concat(site, path_of(url), to))
+        .when(to.startswith("#") | to.rlike(SCHEME), None)
+        .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), to))
     )
-    return tags.select(node_of(F.col("url")).alias("a"), node_of(full).alias("b")).where("a <> b")
+    links = tags.where(host_of(url) != "").select(node_of(url).alias("a"), node_of(full).alias("raw"), node_of(without_dots(full)).alias("b"))
+    return links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("raw").alias("a"), "b"))).alias("e")).select("e.*").where("a <> b")
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

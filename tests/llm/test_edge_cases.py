@@ -254,6 +254,27 @@ def test_urls(spark):
     assert urls.judge(spark.createDataFrame([], PAGE), rules).count() == 0 and link("x")
 
 
+def test_aliases_of_ordinary_pages(spark):
+    link = lambda *u: "".join(f'<link rel="canonical" href="{x}">' for x in u)
+    rules = [("block", "bad.com", "/")]
+    bad = "http://bad.com/"
+    rows = [
+        page(1, "http://a.net/l?page=2&ref=x"), page(2, bad + "1", link("http://a.net/l?page=2&amp;ref=x")),
+        page(3, "http://a.net/m?p=1&q=2&copy=3"), page(4, bad + "2", link("http://a.net/m?p=1&#38;q=2&#x26;copy=3")),
+        page(5, "http://a.net/d/e/f", link("../../n/./o")), page(6, "http://a.net/n/o"), page(7, bad + "3", link("http://a.net/n/o")),
+        page(8, "http://a.net/s/p?x=1", link("?x=2")), page(9, bad + "4", link("http://a.net/s/p?x=2")),
+        page(10, "http://b.net/1"), page(11, "http://b.net/2"),
+        page(12, bad + "5", link("http://c.net/", "http://b.net/1") + '<meta http-equiv="refresh" content="5"><meta http-equiv="refresh" content="0; url=//b.net/2">'),
+        page(13, "http://d.net/x", link("/login?next=http://bad.com/1", "mailto:x@bad.com", "#top", "&unknown;&amp;amp;&#0;&#x110000;")),
+        page(14, "http://e.net/x/../y"), page(15, bad + "6", link("http://e.net/x/../y")), page(16, "http://e.net/y"), page(17, "http://d.net/?a=1&copy=2&lt"),
+        page(18, bad + "7", link("http://d.net/?a=1&copy=2&amp;lt")), page(19, "http://a.net/?p=1&q=2&copy=3"),
+    ]
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, PAGE), rules).collect() if not r.host == "bad.com"}
+    assert got == {i: "allow" if i in (13, 19) else "block" for i in got} and len(got) == 12
+    texts = spark.createDataFrame([("a&amp;amp;b&#233;&#xE9&eacute;&amp&nope;&#0;&#9999999999;&#x1F600;&&#;",)], "t string")
+    assert texts.select(urls.decoded(F.col("t"))).first()[0] == "a&amp;b\u00e9\u00e9\u00e9&&nope;\ufffd\ufffd\U0001f600&&#;"
+
+
 def test_search(spark):
     schema = "vec_id long, embedding array<float>, g int, id string"
     nan, inf = float("nan"), float("inf")
