@@ -3,8 +3,8 @@
 A seed is six of eight neighbouring tokens, chosen by a fixed mask that ignores the
 other two.  Equal seeds of a benchmark item and a text put the item on the text at some
 shift; the overlap there is verified token by token.  The two masks find every stretch
-of 13 tokens in which any two are substituted, so they miss no overlap that the check
-would accept.
+of 13 tokens in which any two are substituted, so for items of 13 tokens and more they
+miss no overlap that the check would accept.  Shorter items can be missed: see below.
 """
 
 from __future__ import annotations
@@ -46,8 +46,10 @@ def contaminated(
     the text starts inside the item).  ``window`` is 13 tokens, or the item's length if
     shorter, and ``matched`` the most equal tokens in any such window at that shift; the
     overlap counts if ``matched / window`` is ``similarity`` (a fraction) or more.  Null
-    and empty texts and items, and those of fewer than eight tokens, never match; items
-    of eight to twelve tokens may be missed if two of them are substituted.  Whole texts
+    and empty texts and items, and those of fewer than eight tokens, never match, not even
+    when copied exactly.  Items of eight to twelve tokens may be missed though the check
+    would accept them: with one token substituted at five of the eight places of an item
+    of eight and at two of the nine of one of nine, and with two substituted.  Whole texts
     are read.  Repeated texts each match; repeated items count once; null ids are kept;
     empty tables give an empty result; other columns are not read.
     """
