@@ -9,8 +9,9 @@ Small transducers rewrite the words of a clause one after another:
 * the reported-speech transducer rewrites what follows ``R`` in the clause to ``q``;
 * the target transducer marks an ``I`` or ``T`` beside a ``P`` as ``J`` or ``U``.
 
-A clause that the composition accepts (it ends with an insult or threat symbol) adds its
-weight to the feature of that symbol.  A logistic regression over the features, fitted
+Every insult or threat symbol on a rewritten clause adds its count and weight to the
+document's feature of that symbol; clauses are neither accepted nor scored as such, and an
+insult without a target is a feature by itself.  A logistic regression over the features, fitted
 on a bounded sample of labelled rows, learns what each pattern counts for, negated and
 reported ones included.
 """
