@@ -932,7 +932,8 @@ _LI_FIRST_OK = f"""
   FROM lineitem WHERE l_suppkey IN {SUPP_OK_SQL}"""
 
 _PANEL_OUTCOMES = f"""
-  SELECT l_orderkey * 8 + l_linenumber AS ob, l_partkey * 1048576 + l_suppkey + 1 AS om, l_orderkey, l_linenumber,
+  SELECT l_orderkey * 8 + l_linenumber AS ob, l_orderkey, l_linenumber,
+    row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity) AS om,
     CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'rejected'
          WHEN l_orderkey NOT IN {ORDERS_F_SQL} THEN 'rejected'
          WHEN row_number() OVER (PARTITION BY l_orderkey, l_linenumber, (l_returnflag = 'R' AND l_linestatus = 'F')

@@ -19,9 +19,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="relload-test-")
-
-
-def write(path, text):
-    with open(path, "w", newline="") as f:
-        f.write(text)
-    return path

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write
+from dump_files import write
 from relload.sources.assemble import read_dump
 
 
