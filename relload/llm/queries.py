@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relload.llm import ann, decontam, langid, licenses, mixing, repeats, shard, simhash, toxicity, urls
+from relload.llm import ann, decontam, divergence, fim, langid, licenses, mixing, repeats, shard, simhash, toxicity, urls
 from relload.llm.common import held_out
 
 URL_RULES = [
@@ -89,11 +89,23 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), entropy_share=ENTROPY_SHARE)
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every pair of sources of a language, and the ten terms that mark each source."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of every document's fill-in-the-middle output."""
+    out = fim.fill_in_middle(_table(spark, sf_dir, "documents"))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_hilbert_neighbours, op2_simhash_components, op3_url_filter, op4_language, op5_shards, op6_repeated_passages,
-        op7_licenses, op8_contamination, op9_toxicity, op10_temperature_mix,
+        op7_licenses, op8_contamination, op9_toxicity, op10_temperature_mix, op12_divergence, op13_fill_in_middle,
     )
 }
 
@@ -196,5 +208,37 @@ used AS (
   WINDOW w AS (PARTITION BY source, block ORDER BY mixed, doc_id, tokens)
 )
 SELECT doc_id, source, tokens, block::BIGINT AS block, place::BIGINT AS place FROM placed WHERE block < blocks OR used_tokens <= rest
+""",
+    "op12_divergence": r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS m FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+lt AS (SELECT lang, count(*) AS v, sum(m)::HUGEINT AS n FROM k GROUP BY lang),
+c AS (SELECT g.lang, g.source, k.term, k.m, coalesce(x.n, 0) AS n FROM g JOIN k ON k.lang = g.lang
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+gt AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY lang, source),
+p AS (SELECT c.*, 1 + 1000000000::HUGEINT * (c.n + 2) // (gt.total + 2 * lt.v) AS p, 1 + 1000000000::HUGEINT * (m + 2) // (lt.n + 2 * lt.v) AS q
+  FROM c JOIN gt USING (lang, source) JOIN lt USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+  ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM pairs
+UNION ALL SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM terms) WHERE rank <= 10
+""",
+    "op13_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT *, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+o AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1, n - b) AS suf FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM o
 """,
 }
