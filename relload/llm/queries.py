@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relload.llm import ann, decontam, divergence, fim, langid, licenses, mixing, repeats, shard, simhash, toxicity, urls
+from relload.llm import ann, decontam, divergence, fim, langid, licenses, lm, mixing, repeats, shard, simhash, toxicity, urls
 from relload.llm.common import held_out
 
 URL_RULES = [
@@ -89,6 +89,12 @@ def op10_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), entropy_share=ENTROPY_SHARE)
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and n-gram score of every document; one document in five is held out of the training."""
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    return lm.train_and_score(_table(spark, sf_dir, "documents"), held)
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of every pair of sources of a language, and the ten terms that mark each source."""
     return divergence.audit(_table(spark, sf_dir, "documents"))
@@ -105,7 +111,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_hilbert_neighbours, op2_simhash_components, op3_url_filter, op4_language, op5_shards, op6_repeated_passages,
-        op7_licenses, op8_contamination, op9_toxicity, op10_temperature_mix, op12_divergence, op13_fill_in_middle,
+        op7_licenses, op8_contamination, op9_toxicity, op10_temperature_mix, op11_language_model, op12_divergence, op13_fill_in_middle,
     )
 }
 
