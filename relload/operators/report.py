@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.caching import cached
 from ..plans.joins import bounded_broadcast
 
 DEFAULT_BATCH = 5000
@@ -31,7 +32,7 @@ def with_position(outcomes: DataFrame) -> DataFrame:
     # single-line dumps: _ob is the split's byte offset; multi-line: the record number
     blk = F.when(F.col("_om") == 0, F.floor(F.col("_ob") / BLOCK)).otherwise(F.floor(F.col("_ob") / BLOCK_BYTES))
     # narrow rows (ordinal + status), read twice: for the block counts and the numbering
-    x = outcomes.withColumn("_blk", blk.cast("long")).persist()
+    x = cached(outcomes.withColumn("_blk", blk.cast("long")))
     per_blk = x.groupBy("_p", "_blk").agg(F.count(F.lit(1)).alias("_n"))
     in_file = Window.partitionBy("_p").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     per_blk = per_blk.withColumn("_boff", F.coalesce(F.sum("_n").over(in_file), F.lit(0)))

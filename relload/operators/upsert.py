@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.caching import cached
 from ..plans.joins import bounded_broadcast
 from ..session import scratch_root
 
@@ -158,7 +159,7 @@ def _components(spark, edges: DataFrame) -> DataFrame:
     the label of its label); the new labels are materialised once (persisted,
     or checkpointed every few rounds to cut lineage) and compared with the old.
     """
-    edges = edges.persist()
+    edges = cached(edges)
     lab = edges.groupBy("_k").agg(F.min("_k").alias("_c")).persist()
     i = 0
     while True:  # converges within the component diameter
@@ -254,7 +255,7 @@ def upsert_natural(
         edges = edges.unionByName(ex.select("id", "_k"))
     edges = edges.distinct()
     dirty_ids = edges.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("id")
-    dirty_edges = edges.join(dirty_ids, "id", "left_semi").persist()
+    dirty_edges = cached(edges.join(dirty_ids, "id", "left_semi"))
     has_dirty = dirty_edges.limit(1).count() > 0
 
     if has_dirty:
@@ -334,10 +335,10 @@ def upsert_natural(
         )
     # Components are grouped into buckets of about REPLAY_BUCKET_ROWS rows so one
     # Python call replays many small components; a component is never split.
-    parts = parts.persist()
+    parts = cached(parts)
     n_buckets = max(1, -(-parts.count() // REPLAY_BUCKET_ROWS))
     parts = parts.withColumn("_bk", F.pmod(F.xxhash64("_c"), F.lit(n_buckets)))
-    replayed = parts.groupBy("_bk").applyInPandas(_replay_many, _REPLAY_SCHEMA).persist()
+    replayed = cached(parts.groupBy("_bk").applyInPandas(_replay_many, _REPLAY_SCHEMA))
     rep_status = replayed.filter(F.col("_kind") == "status")
     d_status = rep_status.join(dirty_inc.select("_src", "_ord"), "_src").select(*STATUS_COLS)
     # rows left out of the replay: their key exists after the first row of their run, or

@@ -19,10 +19,9 @@ are single-id existence checks.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +32,7 @@ from ..operators.project import ORDINAL, parse_records
 from ..operators.upsert import Upserted, upsert_ignore, upsert_last, upsert_natural, upsert_partial
 from ..sources.assemble import Dump, read_dump
 from ..specs import CLUSTER, OPINION, TableSpec
+from .caching import Caches, cached
 
 DEFAULT_AS_OF = dt.datetime(2026, 1, 1, 0, 0, 0)
 
@@ -54,6 +54,11 @@ class LoadResult:
     rejects: DataFrame  # rejected records: ordinal, raw, typed columns, reason, category
     placeholders: dict[str, DataFrame] = field(default_factory=dict)  # parent table -> new rows
     placeholder_ids: DataFrame | None = None  # parent, id (FKR-7)
+    caches: Caches = field(default_factory=Caches)
+
+    def release(self) -> None:
+        """Drop what the load cached; call it once the results are written."""
+        self.caches.release()
 
     def parent_state(self, name: str, parent: DataFrame) -> DataFrame:
         """SET-1: the parent table after the repair: its rows and the placeholders it lacks, columns by name."""
@@ -177,7 +182,7 @@ def _placeholders(
     ids_by_template: dict[str, DataFrame] = {}
     for tpl, cols in by_template.items():
         parent = _TEMPLATE_PARENT[tpl]
-        ids = distinct_missing(demand, cols, parents.get(parent)).persist()
+        ids = cached(distinct_missing(demand, cols, parents.get(parent)))
         ids_by_template[tpl] = ids
         if tpl in ("T1", "T2", "T3"):
             rows = PH.cluster_rows(ids, tpl, as_of)
@@ -221,7 +226,7 @@ def load(
     spec: TableSpec,
     source: str | Sequence[str] | Dump,
     *,
-    existing: DataFrame | None = None,
+    existing: DataFrame | Callable[[DataFrame], DataFrame | None] | None = None,
     parents: Mapping[str, DataFrame] | None = None,
     on_missing_parent: str = "placeholder",
     as_of: dt.datetime = DEFAULT_AS_OF,
@@ -232,6 +237,10 @@ def load(
 ) -> LoadResult:
     """Load one dump into the new state of ``spec``'s table.
 
+    ``existing`` is the table's state, or a function that takes the rows which passed
+    parsing and returns the part of the state that they can change or collide with;
+    ``target`` is then the new state of that part.
+
     ``source`` is a path/list of paths of dump files or an already assembled
     :class:`Dump`.  ``parents`` maps parent table names (``search_opinion``,
     ``search_opinioncluster``, ``search_docket``, ``people_db_person``,
@@ -240,6 +249,13 @@ def load(
     template parents, the implemented behaviour) or ``reject`` (the documented
     one).  Nothing is written: see :mod:`relload.sinks`.
     """
+    with Caches() as caches:
+        result = _load(spark, spec, source, existing, parents, on_missing_parent, as_of, create_docket, strict, assembly, score_precision)
+    result.caches = caches
+    return result
+
+
+def _load(spark, spec, source, existing, parents, on_missing_parent, as_of, create_docket, strict, assembly, score_precision) -> LoadResult:
     if on_missing_parent not in ("placeholder", "reject"):
         raise ValueError(on_missing_parent)
     if score_precision not in (None, 6):
@@ -252,7 +268,7 @@ def load(
     parsed = parsed.withColumn("raw", F.when(F.col("category").isNotNull(), F.col("raw")))
     if spec.name == "search_parenthetical" and score_precision == 6:
         parsed = parsed.withColumn("score", score6("score"))  # once, before the cache
-    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = cached(parsed)
     # Fill the cache in one job: every later branch (FK lookups, conflict rule,
     # rejects, outcomes) reads it, and concurrent branches would otherwise each
     # re-parse the dump while the cache is still empty.
@@ -263,7 +279,7 @@ def load(
     valid, checks, pre_rejected = _fk_stage(valid, spec, P, on_missing_parent)
 
     # base parenthetical (T6b) acts as an existing row when the base trio is created (D10)
-    ex = existing
+    ex = existing(valid.select(*cols)) if callable(existing) else existing
     base_trio = False
     if spec.name == "search_parenthetical" and on_missing_parent == "placeholder":
         group_flag = [flag for fk, flag in checks if fk.parent == "search_parentheticalgroup"]
@@ -271,9 +287,7 @@ def load(
             base_trio = valid.filter(~F.col(group_flag[0])).limit(1).count() > 0
         if base_trio:
             base = PH.base_parenthetical_row(spark)
-            ex = base if existing is None else existing.select(*cols).unionByName(
-                base.join(existing.select("id"), "id", "left_anti")
-            )
+            ex = base if ex is None else ex.select(*cols).unionByName(base.join(ex.select("id"), "id", "left_anti"))
 
     rows = valid.select(*cols, *ORDINAL, "_ord", "_ok", "_fkr", *[f for _, f in checks])
     if spec.upsert == "ignore":

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .caching import cached
+
 # Row bound under which a narrow bookkeeping table (one row per input split,
 # per file or per distinct key) is shipped to every task instead of shuffling
 # the large side.  At ~100 bytes a row this stays far below executor memory.
@@ -18,6 +20,6 @@ def bounded_broadcast(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> Dat
     cached so the join reuses it; above the bound the caller's join falls back
     to a shuffle join chosen by Catalyst/AQE.
     """
-    small = small.persist()
+    small = cached(small)
     n = small.limit(limit + 1).count()
     return F.broadcast(small) if n <= limit else small
