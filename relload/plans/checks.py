@@ -274,7 +274,7 @@ def assemble_resync(spark, sf):
         file.cast("string").alias("_p"), split.alias("_b"), "id", F.posexplode(F.split(line, "\n", -1)).alias("_l", "value")
     ).select("value", "_p", "_b", (F.col("id") * F.lit(1 << 32) + F.col("_l") + 1).alias("_m"))
     heads = lines.select("_p").distinct().select(header.alias("value"), "_p", F.lit(0).cast("long").alias("_b"), F.lit(0).cast("long").alias("_m"))
-    dump = assemble_lines(heads.unionByName(lines), "resync")
+    dump = assemble_lines(heads.unionByName(lines), "resync", in_order=False)
     rows = dump.records.withColumn("_f", split_lenient(F.col("raw")))
     return rows.select(
         S.parse_int(F.get("_f", 0)).cast("long").alias("doc_id"),

@@ -23,3 +23,8 @@ def bounded_broadcast(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> Dat
     small = cached(small)
     n = small.limit(limit + 1).count()
     return F.broadcast(small) if n <= limit else small
+
+
+def is_broadcast(df: DataFrame) -> bool:
+    """Did :func:`bounded_broadcast` find the table small enough?"""
+    return df._jdf.queryExecution().analyzed().nodeName() == "ResolvedHint"

@@ -1,36 +1,31 @@
 """Distributed record assembly (SRC-1..7, SRC-9).
 
 A dump record may span physical lines.  The original loaders find record
-starts with a single sequential scan; here every rule is re-expressed as a
-per-line ``start`` flag computed from prefix sums, so a file of any size is
-cut into records by many tasks at once:
-
-1. Lines are hash-partitioned by input split (``_p``, ``_b``) and sorted by
-   read order ``_m`` (the only full shuffle of the text before the records are
-   built).  Running sums inside a split are window functions; one row per
-   split (a tiny table) carries the split totals, and a running sum over the
-   splits of a file turns split-local counts into file-wide ones.  No window
-   ever spans a whole file, so one huge file still spreads over all tasks.
-2. A line starts a record when the rule of the mode says so:
+starts with a single sequential scan; here every rule is re-expressed so that a file
+of any size is cut into records by many tasks at once, and its text is not shuffled:
+
+1. Per line, Spark expressions find what the rule looks at (quote parity, commas, does
+   the line look like a record start).  A first pass over these narrow facts leaves one
+   row a split; running sums over the splits of a file (a tiny table) turn them into
+   the state at each split's start.
+2. A second pass joins that state to the lines (a broadcast of one row a split) and
+   cuts each split into records in the scan task itself (:mod:`relload.sources.cut`).
+   A line starts a record when the rule of the mode says so:
 
    ``parity``          quote parity before the line is even (SRC-2)
    ``pattern``         the line looks like ``<digits>,<yyyy-mm-dd>`` (SRC-3)
    ``parity_pattern``  both (SRC-4)
    ``resync``          as before, but a stray quote harms its own record only:
-                       see :func:`_resync_starts`
+                       see :func:`_resync_splits`
    ``skip3``           ``<id>,`` then three CSV fields then a date (SRC-5);
                        the fields may run over any number of lines
    ``single``          every non-blank line is a record (SRC-6)
 
    The header is the first record of every file; in the pattern modes it is
    the first physical line and the line after it always starts a record.
-3. A second running sum over the start flags numbers the records of a file.
-   Records that lie inside one split are concatenated right where the split
-   already is (grouping by split + record needs no new shuffle); only the few
-   records that cross a split edge are shuffled by (file, record).
+3. Only the records at a split's edges (at most two a split) are shuffled, by file and
+   first line, to be put together.
 
-The result carries ``_p`` (file) and ``rec`` (record number in the file,
-1 = header): together the *ordinal* every order-dependent rule needs.
 """
 
 from __future__ import annotations
@@ -38,14 +33,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dialects import split_fields
 from ..functions.scalars import C_SPACE, ctrim
-from ..plans.joins import bounded_broadcast
+from ..plans.caching import cached
+from ..plans.joins import bounded_broadcast, is_broadcast
 from ..session import scratch_path
+from . import cut
 from .lines import read_lines
 
 MODES = ("single", "parity", "pattern", "parity_pattern", "resync", "skip3")
@@ -63,7 +59,6 @@ _FIELD = r'(?:[^",]|"(?:""|[^"])*+")*+,'
 COMMA_BUCKET = 1 << 20
 _ID_PREFIX = r'^(?:"[0-9]+"|[0-9]+),'
 _FIELDS3_DATE = r"^" + _FIELD * 3 + r'"?[0-9]{4}-[0-9]{2}-[0-9]{2}'
-_DATE_AHEAD = r'^"?[0-9]{4}-[0-9]{2}-[0-9]{2}'
 
 
 @dataclass(frozen=True)
@@ -80,152 +75,109 @@ def quote_parity(value: Column, literal_escaped: bool = True) -> Column:
     return ((F.length(stripped) - F.length(F.replace(stripped, F.lit('"'), F.lit("")))) % 2).cast("int")
 
 
-def _split_window(order: str = "_m"):
-    return Window.partitionBy("_p", "_b").orderBy(order)
-
-
-def _running(w):
-    return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def _file_offsets(per_split: DataFrame, sums: dict[str, str]) -> DataFrame:
     """Exclusive running sums over the splits of each file (one row per split)."""
     wb = Window.partitionBy("_p").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cols = [F.col("_p"), F.col("_b")]
-    cols += [F.coalesce(F.sum(src).over(wb), F.lit(0)).cast("long").alias(dst) for src, dst in sums.items()]
-    return per_split.select(*cols, *[c for c in per_split.columns if c not in ("_p", "_b")])
+    cols = [F.coalesce(F.sum(src).over(wb), F.lit(0)).cast("long").alias(dst) for src, dst in sums.items()]
+    return per_split.select(*per_split.columns, *cols)
 
 
 def _commas(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
 
 
-def _date_after_comma(value: Column, line_parity: Column, target_parity: Column, rank: Column) -> Column:
-    """Does a date follow the ``rank``-th comma of this line that sits at ``target_parity``?
+def _facts(lines: DataFrame, mode: str) -> tuple[DataFrame, list[str]]:
+    """Lines with what the rule of ``mode`` looks at, and the names of those columns."""
+    v = F.col("value")
+    facts = {}
+    if mode != "pattern":  # the original field skipper counts every quote
+        facts["q"] = quote_parity(v, literal_escaped=mode != "skip3")
+    if mode != "parity":
+        facts["cand"] = v.rlike({"pattern": START_ID_TS, "skip3": _ID_PREFIX}.get(mode, START_ID_TS_WS))
+    if mode in ("resync", "skip3"):
+        text = F.regexp_replace(v, r'\\"', "") if mode == "resync" else v
+        facts["even"] = _commas(F.regexp_replace(text, r'"[^"]*+(?:"|\z)', ""))
+        facts["odd"] = _commas(text) - facts["even"]
+    if mode == "skip3":
+        rest = F.regexp_replace(v, _ID_PREFIX, "")
+        facts["inline"] = facts["cand"] & rest.rlike(_FIELDS3_DATE)
+        facts["k"] = F.size(F.regexp_extract_all(F.regexp_extract(rest, "^((?:" + _FIELD + ")*+)", 1), F.lit(_FIELD), 0))
+    split = F.xxhash64("_p", "_b").alias("_s")
+    return lines.select(v, "_p", "_b", "_m", split, *[c.alias(n) for n, c in facts.items()]), list(facts)
 
-    The line is cut at its quotes; segment ``i`` has absolute parity
-    ``line_parity + i``.  Commas of the other parity are masked (same length),
-    so a single regex finds the end of the ``rank``-th remaining comma; the text
-    right after it in the original line is tested for a date.  Linear in the
-    line length, however many quotes it holds.
-    """
-    segs = F.split(value, '"', -1)
-    masked = F.array_join(
-        F.transform(
-            segs,
-            lambda seg, i: F.when((line_parity + i) % 2 == target_parity, seg).otherwise(
-                F.replace(seg, F.lit(","), F.lit("\u0001"))
-            ),
-        ),
-        '"',
-    )
-    upto = F.regexp_substr(masked, F.concat(F.lit("^(?:[^,]*+,){"), rank.cast("string"), F.lit("}")))
-    after = F.substring(value, F.length(upto) + 1, 12)
-    return F.coalesce(upto.isNotNull() & after.rlike(_DATE_AHEAD), F.lit(False))
 
+def _written(narrow: DataFrame, name: str) -> DataFrame:
+    """A bookkeeping table written to the shared folder and read back: later plans stay short."""
+    path = scratch_path(narrow.sparkSession, name)
+    narrow.write.parquet(path)
+    return narrow.sparkSession.read.schema(narrow.schema).parquet(path)
 
-def _with_comma_counts(y: DataFrame, text: Column) -> tuple[DataFrame, DataFrame]:
-    """Commas of the file up to and with each line, per quote parity, and the offsets per split.
 
-    ``_lpar`` is the quote parity before the line; ``_a0``/``_a1`` are its commas at
-    even and odd parity, ``_inc0``/``_inc1`` the running counts over the file.
+def _with_totals(per_split: DataFrame) -> DataFrame:
+    """``_n0`` lines and ``_q0`` quote parity before each split, and whether it is the last of its file."""
+    last = F.lead("_b").over(Window.partitionBy("_p").orderBy("_b")).isNull().alias("_last")
+    x = _file_offsets(per_split, {"n": "_n0", "q": "_qs"})
+    return x.select(*per_split.columns, "_n0", (F.col("_qs") % 2).alias("_q0"), last)
+
+
+def _with_commas(splits: DataFrame) -> DataFrame:
+    """``_off0``/``_off1``: commas of the file at even and odd parity before each split."""
+    even = F.when(F.col("_q0") == 0, F.col("t0")).otherwise(F.col("t1"))
+    x = splits.withColumn("_t0", even).withColumn("_t1", F.col("t0") + F.col("t1") - even)
+    return _file_offsets(x, {"_t0": "_off0", "_t1": "_off1"})
+
+
+def _skip3_splits(facts: DataFrame, splits: DataFrame, in_order: bool) -> DataFrame:
+    """Splits with ``_far``: their lines whose three fields end, before a date, in a later split (SRC-5).
+
+    Quote state at any character is the parity of all quotes before it in the file.
+    Each field ends at a comma whose parity equals that at the field's start, so the
+    rule needs the third such comma after ``<id>,``.  Within a split the cutting pass
+    finds it.  For the few candidates whose comma lies further on, its number in the
+    file is known from running counts; the split that holds it comes from a bucketed
+    equi-join on the table with one row a split, and only the lines of such splits are
+    looked at again.  No window of lines, no cap on how far the fields run.
     """
-    w = _split_window()
-    y = y.withColumn("_lpar", ((F.col("_q0") + F.col("_qc") - F.col("_q")) % 2).cast("int"))
-    # commas before an odd number of the line's own quotes go with the quoted runs
-    y = y.withColumn("_even", _commas(F.regexp_replace(text, r'"[^"]*+(?:"|\z)', ""))).withColumn("_odd", _commas(text) - F.col("_even"))
-    even, odd = F.col("_even"), F.col("_odd")
-    y = y.withColumn("_a0", F.when(F.col("_lpar") == 0, even).otherwise(odd)).withColumn(
-        "_a1", F.when(F.col("_lpar") == 0, odd).otherwise(even)
+    splits = _written(_with_commas(splits), "splits")
+    abs_par = (F.col("_q0") + F.col("x.par")) % 2
+    off = F.when(abs_par == 0, F.col("_off0")).otherwise(F.col("_off1"))
+    pending = cached(
+        splits.select("_p", F.col("_b").alias("_cb"), "_q0", "_off0", "_off1", F.explode(F.arrays_zip("at", "par", "c0")).alias("x"))
+        .select("_p", "_cb", F.col("x.at").alias("_at"), abs_par.cast("int").alias("_tp"), (off + F.col("x.c0")).alias("_t"))
     )
-    y = y.withColumn("_a0c", F.sum("_a0").over(_running(w))).withColumn("_a1c", F.sum("_a1").over(_running(w)))
-    per_split = y.groupBy("_p", "_b").agg(F.sum("_a0").alias("_t0"), F.sum("_a1").alias("_t1"))
-    off = _file_offsets(per_split, {"_t0": "_off0", "_t1": "_off1"})
-    y = y.join(off.select("_p", "_b", "_off0", "_off1"), ["_p", "_b"])
-    y = y.withColumn("_inc0", F.col("_off0") + F.col("_a0c")).withColumn("_inc1", F.col("_off1") + F.col("_a1c"))
-    return y.drop("_even", "_odd"), off
-
-
-def _skip3_starts(y: DataFrame) -> DataFrame:
-    """SRC-5 exactly: ``<id>,`` then three fields (quote-aware, crossing lines) then a date.
-
-    Quote state at any character is the parity of all quotes before it in the
-    file.  Each field of the rule ends at a comma whose parity equals the
-    parity at the field start, so the rule needs the third such comma after
-    ``<id>,``.  Most candidate lines hold it themselves (a regex decides).  For
-    the rest, the comma is found through file-wide running counts of commas
-    per parity: its global index is known, the split holding it comes from a
-    bucketed equi-join on a table with one row per split, and the line holding
-    it from a broadcast of the (few) pending targets.  No window of lines, no
-    cap on how far the fields run.
-    """
-    y, off = _with_comma_counts(y, F.col("value"))
-    y = y.persist(StorageLevel.MEMORY_AND_DISK)  # read by the pending targets, the lookup and the result
-
-    cand = F.col("value").rlike(_ID_PREFIX)
-    rest = F.regexp_replace(F.col("value"), _ID_PREFIX, "")
-    fields = F.size(F.regexp_extract_all(F.regexp_extract(rest, "^((?:" + _FIELD + ")*+)", 1), F.lit(_FIELD), 0))
-    y = y.withColumn("_cand", cand).withColumn("_inline", cand & rest.rlike(_FIELDS3_DATE))
-    y = y.withColumn("_k", F.when(F.col("_cand") & ~F.col("_inline"), fields))
-    pending = y.filter(F.col("_cand") & ~F.col("_inline") & (F.col("_k") < 3)).select(
-        "_p",
-        F.col("_b").alias("_cb"),
-        F.col("_m").alias("_cm"),
-        F.col("_lpar").alias("_tp"),
-        (F.when(F.col("_lpar") == 0, F.col("_inc0")).otherwise(F.col("_inc1")) + 3 - F.col("_k")).alias("_t"),
-    ).persist()
     if pending.limit(1).count() == 0:
-        y = y.withColumn("_far", F.lit(False))
-    else:
-        # split holding the target comma: bucketed equi-join over one row per split and parity
-        spans = off.select(
-            "_p", "_b", F.explode(F.array(
-                F.struct(F.lit(0).alias("_tp"), (F.col("_off0") + 1).alias("_lo"), (F.col("_off0") + F.col("_t0")).alias("_hi")),
-                F.struct(F.lit(1).alias("_tp"), (F.col("_off1") + 1).alias("_lo"), (F.col("_off1") + F.col("_t1")).alias("_hi")),
-            )).alias("_s")
-        ).select("_p", "_b", "_s.*").filter(F.col("_hi") >= F.col("_lo"))
-        spans = spans.withColumn(
-            "_bk", F.explode(F.sequence(F.floor(F.col("_lo") / COMMA_BUCKET), F.floor(F.col("_hi") / COMMA_BUCKET)))
-        )
-        tgt = pending.withColumn("_bk", F.floor(F.col("_t") / COMMA_BUCKET)).join(spans, ["_p", "_tp", "_bk"]).filter(
-            (F.col("_t") >= F.col("_lo")) & (F.col("_t") <= F.col("_hi"))
-        ).select("_p", "_b", "_cb", "_cm", "_tp", "_t")
-        # line holding it: only the splits named by a target are touched
-        lines = y.select("_p", "_b", "value", "_lpar", "_a0", "_a1", "_inc0", "_inc1")
-        hit = lines.join(bounded_broadcast(tgt), ["_p", "_b"])
-        incl = F.when(F.col("_tp") == 0, F.col("_inc0")).otherwise(F.col("_inc1"))
-        own = F.when(F.col("_tp") == 0, F.col("_a0")).otherwise(F.col("_a1"))
-        hit = hit.filter((F.col("_t") <= incl) & (F.col("_t") > incl - own))
-        rank = F.col("_t") - (incl - own)
-        res = hit.select(
-            "_p",
-            F.col("_cb").alias("_b"),
-            F.col("_cm").alias("_m"),
-            _date_after_comma(F.col("value"), F.col("_lpar"), F.col("_tp"), rank).alias("_far"),
-        )
-        y = y.join(bounded_broadcast(res), ["_p", "_b", "_m"], "left")
-    return y.withColumn("_skip3", F.col("_cand") & (F.col("_inline") | F.coalesce(F.col("_far"), F.lit(False))))
+        return splits.withColumn("_far", F.lit(None).cast("array<long>"))
+    spans = splits.select(
+        "_p", "_b", F.explode(F.array(
+            F.struct(F.lit(0).alias("_tp"), (F.col("_off0") + 1).alias("_lo"), (F.col("_off0") + F.col("_t0")).alias("_hi")),
+            F.struct(F.lit(1).alias("_tp"), (F.col("_off1") + 1).alias("_lo"), (F.col("_off1") + F.col("_t1")).alias("_hi")),
+        )).alias("_s")
+    ).select("_p", "_b", "_s.*").filter(F.col("_hi") >= F.col("_lo"))
+    spans = spans.withColumn(
+        "_bk", F.explode(F.sequence(F.floor(F.col("_lo") / COMMA_BUCKET), F.floor(F.col("_hi") / COMMA_BUCKET)))
+    )
+    wanted = pending.withColumn("_bk", F.floor(F.col("_t") / COMMA_BUCKET)).join(spans, ["_p", "_tp", "_bk"]).filter(
+        (F.col("_t") >= F.col("_lo")) & (F.col("_t") <= F.col("_hi"))
+    )
+    ask = F.struct(F.col("_tp").alias("par"), (F.col("_t") - F.col("_lo") + 1).alias("goal"), F.col("_cb").alias("b"), F.col("_at").alias("at"))
+    wanted = wanted.groupBy("_p", "_b").agg(F.collect_list(ask).alias("_want")).join(splits.select("_p", "_b", "_n0", "_q0"), ["_p", "_b"])
+    looked = _in_file_order(facts, wanted, in_order).select("value", "q", "even", "odd", "_s", "_p", "_n0", "_q0", "_want")
+    found = looked.mapInArrow(cut.far_dates, "_p string, _b long, at long").groupBy("_p", "_b").agg(F.collect_list("at").alias("_far"))
+    return splits.join(_written(found, "far"), ["_p", "_b"], "left")
 
 
-# the next set value of a column, strictly after the row: in its split, and over the splits of its file
-_NEXT_IN_SPLIT = "lead({}) IGNORE NULLS OVER (PARTITION BY _p, _b ORDER BY _m)"
+# the next set value of a column, strictly after the row: among its split's candidates, and over the splits of its file
+_NEXT_IN_SPLIT = "lead({}) IGNORE NULLS OVER (PARTITION BY _p, _b ORDER BY _at)"
 _NEXT_IN_FILE = "lead({}) IGNORE NULLS OVER (PARTITION BY _p ORDER BY _b)"
 
 
-def _written(narrow: DataFrame, name: str) -> DataFrame:
-    """A bookkeeping table written to the shared folder and read back: later plans stay short."""
-    path = scratch_path(narrow.sparkSession, name)
-    narrow.write.parquet(path)
-    return narrow.sparkSession.read.schema(narrow.schema).parquet(path)
-
-
 def _fields_between(start: Column, end: Column) -> Column:
     """Fields of the text between two places, read as if its quotes opened at ``start``."""
     return F.when(start["par"] == 0, end["c0"] - start["c0"]).otherwise(end["c1"] - start["c1"]) + 1
 
 
-def _resync_starts(y: DataFrame) -> DataFrame:
-    """Record starts that keep quoted body lines and recover from a stray quote.
+def _resync_splits(splits: DataFrame) -> DataFrame:
+    """Splits with what the resync rule needs to know of the rest of the file.
 
     The text is cut at every line that looks like a record start.  A segment with an
     odd quote count opens or closes a quoted run; a segment with an even count and
@@ -237,187 +189,132 @@ def _resync_starts(y: DataFrame) -> DataFrame:
     happens to have exactly that number of fields is taken for a long record; the
     more columns a table has, the less likely that is.)
 
-    All of it is prefix sums and neighbour lookups, first inside each split, then
-    over a table with one row per split; no window spans a file.
+    A split needs the state at its first line, the one at the next candidate beyond it,
+    the odd segments around it and how many of them follow the last reset before
+    it.  All of that comes from the candidates' states (narrow rows) and from windows
+    over a table with one row a split.
     """
-    y, _ = _with_comma_counts(y, F.regexp_replace("value", r'\\"', ""))
-    state = lambda par, c0, c1: F.struct(par.cast("int").alias("par"), c0.alias("c0"), c1.alias("c1"))
-    first_line = F.col("line_no") == 1
-    w = _split_window()
-    y = y.select(
-        "value", "_p", "_b", "_m", "_i", "line_no",
-        ((F.col("line_no") == 2) | ((F.col("line_no") > 2) & F.col("value").rlike(START_ID_TS_WS))).alias("_cand"),
-        state(F.col("_lpar"), F.col("_inc0") - F.col("_a0"), F.col("_inc1") - F.col("_a1")).alias("_s"),
-        state((F.col("_lpar") + F.col("_q")) % 2, F.col("_inc0"), F.col("_inc1")).alias("_e"),
-        F.when(first_line, F.col("_a0") + 1).alias("_hn"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)  # read by the candidates, a table per split and the result
-    y = y.withColumn("_k", F.sum(F.col("_cand").cast("int")).over(_running(w)))
-
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    state = lambda par, c0, c1: F.struct(par.cast("int").alias("par"), c0.cast("long").alias("c0"), c1.cast("long").alias("c1"))
     files = Window.partitionBy("_p").orderBy("_b")
     earlier = files.rowsBetween(Window.unboundedPreceding, -1)
     whole_file = files.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = Window.partitionBy("_p", "_b").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+
+    splits = _with_commas(splits)
+    q0, off0, off1 = F.col("_q0"), F.col("_off0"), F.col("_off1")
+    swap = lambda a, b: (F.when(q0 == 0, a).otherwise(b), F.when(q0 == 0, b).otherwise(a))
+    t0, t1 = swap(F.col("t0"), F.col("t1"))
+    splits = splits.withColumn("_eof", state((q0 + F.col("q")) % 2, off0 + t0, off1 + t1))
+    splits = splits.withColumn("_n", F.max("hn").over(whole_file))
+    # the second line of a file is a candidate whatever it looks like, also as the first line of a split
+    zero = F.struct(*[F.lit(0).cast("long").alias(c) for c in ("at", "par", "c0", "c1")])
+    listed = F.arrays_zip("at", "par", "c0", "c1")
+    second = (F.col("_n0") == 1) & (F.size("at") == 0) | (F.col("_n0") == 1) & (F.get("at", 0) != 0)
+    splits = splits.withColumn("_list", F.when(second, F.concat(F.array(zero), listed)).otherwise(listed)).drop("at", "par", "c0", "c1")
+    splits = _written(splits, "splits")
+
+    c = splits.select("_p", "_b", "_q0", "_off0", "_off1", F.explode("_list").alias("x"))  # a row a candidate, no text
+    c0, c1 = swap(F.col("x.c0"), F.col("x.c1"))
+    c = c.select("_p", "_b", F.col("x.at").alias("_at"), state((q0 + F.col("x.par")) % 2, off0 + c0, off1 + c1).alias("_s"))
 
     # where the segment of each candidate ends, and whether it is odd or full
-    ends = y.groupBy("_p", "_b").agg(
-        F.min(F.when(F.col("_cand"), F.struct("_m", "_s")))["_s"].alias("_first"),
-        F.max(F.struct("_m", "_e"))["_e"].alias("_eof"),
-        F.max("_hn").alias("_hn"),
-    )
-    ends = ends.select(
-        "_p", "_b", F.max("_hn").over(whole_file).alias("_n"),
-        F.coalesce(F.expr(_NEXT_IN_FILE.format("_first")), F.last("_eof").over(whole_file)).alias("_beyond"),
+    firsts = c.groupBy("_p", "_b").agg(F.min(F.struct("_at", "_s"))["_s"].alias("_first"))
+    ends = splits.select("_p", "_b", "_n", "_eof").join(firsts, ["_p", "_b"], "left").select(
+        "_p", "_b", "_n", F.coalesce(F.expr(_NEXT_IN_FILE.format("_first")), F.last("_eof").over(whole_file)).alias("_beyond")
     )
-    c = y.filter("_cand").select("_p", "_b", "_m", "_s").join(ends, ["_p", "_b"])  # narrow: no text
-    c = c.withColumn("_end", F.coalesce(F.expr(_NEXT_IN_SPLIT.format("_s")), F.col("_beyond")))
+    ends = _written(ends, "ends")
+    c = c.join(ends, ["_p", "_b"]).withColumn("_end", F.coalesce(F.expr(_NEXT_IN_SPLIT.format("_s")), F.col("_beyond")))
     odd = F.col("_end.par") != F.col("_s.par")
     full = ~odd & (_fields_between(F.col("_s"), F.col("_end")) == F.col("_n"))
-    c = c.select("_p", "_b", "_m", "_s", "_end", "_n", odd.alias("_odd"), full.alias("_full"))
-    c = _written(c, "segments")
+    c = _written(c.select("_p", "_b", "_at", "_s", "_end", "_n", odd.alias("_odd"), full.alias("_full")), "segments")
 
     # the odd segments around each full one: do they and all between make one record?
     odds = c.groupBy("_p", "_b").agg(
-        F.max(F.when(F.col("_odd"), F.struct("_m", "_s")))["_s"].alias("_lo"),
-        F.min(F.when(F.col("_odd"), F.struct("_m", "_end")))["_end"].alias("_fo"),
+        F.max(F.when(F.col("_odd"), F.struct("_at", "_s")))["_s"].alias("_lo"),
+        F.min(F.when(F.col("_odd"), F.struct("_at", "_end")))["_end"].alias("_fo"),
     )
-    odds = odds.select(
+    odds = splits.select("_p", "_b").join(odds, ["_p", "_b"], "left").select(
         "_p", "_b", F.last("_lo", ignorenulls=True).over(earlier).alias("_open"), F.expr(_NEXT_IN_FILE.format("_fo")).alias("_close")
     )
+    odds = _written(odds, "odds")
     c = c.withColumn("_os", F.when(F.col("_odd"), F.col("_s"))).withColumn("_oe", F.when(F.col("_odd"), F.col("_end")))
     c = c.join(odds, ["_p", "_b"])
     opened = F.coalesce(F.last("_os", ignorenulls=True).over(before), F.col("_open"))
     closed = F.coalesce(F.expr(_NEXT_IN_SPLIT.format("_oe")), F.col("_close"))
     one = F.coalesce(_fields_between(opened, closed) == F.col("_n"), F.lit(False))
     before_me = F.coalesce(F.sum(F.col("_odd").cast("long")).over(before), F.lit(0))
-    c = c.select("_p", "_b", "_m", "_odd", (F.col("_full") & ~one).alias("_reset"), before_me.alias("_odds"))
-    c = _written(c, "resets")
+    c = c.select("_p", "_b", "_odd", (F.col("_full") & ~one).alias("_reset"), before_me.alias("_odds"))
 
-    # open or closed before each candidate: odd segments since the last reset
+    # odd segments between the last reset before a split and the split
     sums = c.groupBy("_p", "_b").agg(
         F.sum(F.col("_odd").cast("long")).alias("_to"), F.max(F.when(F.col("_reset"), F.col("_odds"))).alias("_ta")
     )
+    sums = splits.select("_p", "_b").join(sums, ["_p", "_b"], "left").withColumn("_to", F.coalesce(F.col("_to"), F.lit(0)))
     sums = _file_offsets(sums, {"_to": "_so"})
     base = F.last(F.when(F.col("_ta").isNotNull(), F.col("_so") + F.col("_ta")), ignorenulls=True).over(earlier)
     sums = sums.select("_p", "_b", (F.col("_so") - F.coalesce(base, F.lit(0))).alias("_in"))
-    c = c.join(sums, ["_p", "_b"])
-    at = F.last(F.when(F.col("_reset"), F.col("_odds")), ignorenulls=True).over(before)
-    c = c.withColumn("_since", F.coalesce(F.col("_odds") - at, F.col("_in") + F.col("_odds")))
-    c = c.select("_p", "_b", "_m", ((F.col("_since") % 2 == 0) | F.col("_reset")).alias("_on"))
-
-    # one row per split holds its candidates' flags in order, so the text stays where its split is
-    flags = c.groupBy("_p", "_b").agg(F.transform(F.array_sort(F.collect_list(F.struct("_m", "_on"))), lambda x: x["_on"]).alias("_flags"))
-    y = y.join(_written(flags, "starts"), ["_p", "_b"], "left")
-    return y.withColumn("_resync", F.col("_cand") & F.coalesce(F.get("_flags", F.col("_k") - 1), F.lit(False)))
-
-
-def _start_flags(lines: DataFrame, mode: str) -> DataFrame:
-    """Lines with ``line_no`` (in file) and ``_start`` (begins a record)."""
-    w = _split_window()
-    x = lines.withColumn("_i", F.row_number().over(w))
-    first_line = (F.col("_b") == 0) & (F.col("_i") == 1)
-    if mode in ("parity", "parity_pattern", "resync"):
-        q = quote_parity(F.col("value"))
-        if mode != "parity":  # the header is one physical line here
-            q = F.when(first_line, F.lit(0)).otherwise(q)
-    elif mode == "skip3":  # the original field skipper counts every quote
-        q = F.when(first_line, F.lit(0)).otherwise(quote_parity(F.col("value"), literal_escaped=False))
-    else:
-        q = F.lit(0)
-    x = x.withColumn("_q", q).withColumn("_qc", F.sum("_q").over(_running(w)))
-    per_split = x.groupBy("_p", "_b").agg(F.count(F.lit(1)).alias("_n"), F.sum("_q").alias("_qt"))
-    # The lines are already hash-partitioned and sorted by split: joining the
-    # one-row-per-split offsets on (_p, _b) moves only the small side.
-    y = x.join(_file_offsets(per_split, {"_n": "_n0", "_qt": "_q0"}), ["_p", "_b"])
-    y = y.withColumn("line_no", F.col("_n0") + F.col("_i"))
-    closed = ((F.col("_q0") + F.col("_qc") - F.col("_q")) % 2) == 0
-    head2 = F.col("line_no") <= 2
-    if mode == "parity":
-        start = closed
-    elif mode == "pattern":
-        start = head2 | F.col("value").rlike(START_ID_TS)
-    elif mode == "parity_pattern":
-        start = head2 | (closed & F.col("value").rlike(START_ID_TS_WS))
-    elif mode == "resync":
-        y = _resync_starts(y)
-        start = head2 | F.col("_resync")
-    elif mode == "skip3":
-        y = _skip3_starts(y)
-        start = head2 | F.col("_skip3")
-    else:  # pragma: no cover
-        raise ValueError(mode)
-    return y.withColumn("_start", start.cast("int")).select("value", "_p", "_b", "_m", "_i", "line_no", "_start")
-
-
-def _number_records(flagged: DataFrame) -> DataFrame:
-    """Record number per line plus whether its record crosses a split edge."""
-    w = _split_window()
-    x = flagged.withColumn("_rc", F.sum("_start").over(_running(w)))
-    per_split = x.groupBy("_p", "_b").agg(
-        F.sum("_start").alias("_ns"),
-        F.max(F.when(F.col("_i") == 1, F.col("_start"))).alias("_fs"),
-    )
-    wf = Window.partitionBy("_p").orderBy("_b")
-    offs = _file_offsets(per_split, {"_ns": "_r0"}).withColumn("_nfs", F.lead("_fs").over(wf))
-    offs = offs.select(
-        "_p",
-        "_b",
-        "_r0",
-        (F.col("_r0") + F.col("_fs")).alias("_lo"),
-        (F.col("_r0") + F.col("_ns")).alias("_hi"),
-        (F.col("_fs") == 0).alias("_shared_lo"),
-        F.coalesce(F.col("_nfs") == 0, F.lit(False)).alias("_shared_hi"),
-    )
-    y = x.join(offs, ["_p", "_b"])
-    rec = F.col("_r0") + F.col("_rc")
-    crossing = ((F.col("rec") == F.col("_lo")) & F.col("_shared_lo")) | (
-        (F.col("rec") == F.col("_hi")) & F.col("_shared_hi")
-    )
-    return y.withColumn("rec", rec).withColumn("_cross", crossing)
+    out = splits.select("_p", "_b", "_n0", "_q0", "_last", "_off0", "_off1").join(ends, ["_p", "_b"]).join(odds, ["_p", "_b"]).join(sums, ["_p", "_b"])
+    flat = [F.col(f"{c}.{f}").alias(f"_{n}{g}") for c, n in (("_beyond", "b"), ("_open", "o"), ("_close", "c")) for f, g in (("par", "p"), ("c0", "0"), ("c1", "1"))]
+    return _written(out.select("_p", "_b", "_n0", "_q0", "_last", "_off0", "_off1", F.coalesce("_n", F.lit(-1)).alias("_n"), *flat, "_in"), "states")
 
 
-def _concat_parts(parts: Column) -> Column:
-    return F.array_join(F.transform(F.array_sort(parts), lambda s: s["value"]), "\n")
+def _ordered(lines: DataFrame) -> DataFrame:
+    return lines.repartition("_p", "_b").sortWithinPartitions("_p", "_b", "_m")
 
 
-def _group_records(labeled: DataFrame) -> DataFrame:
-    local = (
-        labeled.filter(~F.col("_cross"))
-        .groupBy("_p", "_b", "rec")
-        .agg(F.collect_list(F.struct("_m", "value")).alias("_parts"), F.min("line_no").alias("line_no"))
-        .select("_p", "rec", "line_no", _concat_parts(F.col("_parts")).alias("raw"))
-    )
-    crossing = (
-        labeled.filter(F.col("_cross"))
-        .groupBy("_p", "rec")
-        .agg(F.collect_list(F.struct("_b", "_m", "value")).alias("_parts"), F.min("line_no").alias("line_no"))
-        .select("_p", "rec", "line_no", _concat_parts(F.col("_parts")).alias("raw"))
+def _in_file_order(lines: DataFrame, per_split: DataFrame, in_order: bool) -> DataFrame:
+    """Lines with their split's row of ``per_split``, in file order within their task.
+
+    The table has one row a split.  Beyond the broadcast bound (some 250 TB of text in
+    splits of 128 MB) the lines have to move to it, and are put in order again.
+    """
+    small = bounded_broadcast(per_split)
+    met = lines.join(small, ["_p", "_b"])
+    return met if in_order and is_broadcast(small) else _ordered(met)
+
+
+def _cut(lines: DataFrame, mode: str, in_order: bool) -> tuple[DataFrame, DataFrame]:
+    """The records of every split (``_s``, ``line_no``, ``raw``, ``edge``), and the file of each split (``_s``, ``_p``)."""
+    facts, names = _facts(lines, mode)
+    if mode in ("resync", "skip3"):
+        narrow = (facts if in_order else _ordered(facts.drop("value"))).select("_p", "_b", "_s", *names)
+        splits = _with_totals(_written(narrow.mapInArrow(cut.summary(mode), cut.SUMMARY), "summary"))
+        splits = _resync_splits(splits) if mode == "resync" else _skip3_splits(facts, splits, in_order)
+        numbers = [c for c in splits.columns if c.startswith("_") and c not in ("_p", "_b", "_t0", "_t1")]
+    else:
+        q = F.sum("q") if "q" in names else F.lit(0).cast("long")
+        header = F.when(F.col("_b") == 0, F.min_by("q", "_m")).otherwise(0) if mode == "parity_pattern" else F.lit(0)
+        per_split = facts.groupBy("_p", "_b").agg(F.count(F.lit(1)).alias("n"), (q - header).alias("q"))
+        splits, numbers = _with_totals(per_split), ["_n0", "_q0", "_last"]
+    splits = cached(splits.select("_p", "_b", *numbers))
+    marked = _in_file_order(facts, splits, in_order).select("value", "_s", *names, *numbers)
+    return cached(marked.mapInArrow(cut.records(mode), cut.RECORDS)), splits.select(F.xxhash64("_p", "_b").alias("_s"), "_p")
+
+
+def _whole_records(pieces: DataFrame, splits: DataFrame) -> DataFrame:
+    """``_p``, ``line_no``, ``raw`` of all records; those in pieces at split edges are put together."""
+    found = pieces.join(bounded_broadcast(splits), "_s").select("_p", "line_no", "raw", "edge")
+    edges = found.filter(F.col("edge").isNotNull())
+    order = Window.partitionBy("_p").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begin = F.last(F.when(F.col("edge"), F.col("line_no")), ignorenulls=True).over(order)
+    of = edges.select("_p", "line_no", "edge").select("_p", "line_no", begin.alias("_begin"))  # at most two narrow rows a split
+    whole = edges.join(of, ["_p", "line_no"]).groupBy("_p", F.col("_begin").alias("line_no")).agg(
+        F.collect_list(F.struct("line_no", "raw")).alias("_parts")
     )
-    return local.unionByName(crossing)
+    joined = F.array_join(F.transform(F.array_sort("_parts"), lambda s: s["raw"]), "\n").alias("raw")
+    return found.filter(F.col("edge").isNull()).select("_p", "line_no", "raw").unionByName(whole.select("_p", "line_no", joined))
 
 
 def _is_blank(c: Column) -> Column:
     return ctrim(c, C_SPACE) == F.lit("")
 
 
-def _headers_from_flags(flagged: DataFrame) -> DataFrame:
-    """Header = the lines before the first data record of each file (one line in pattern modes)."""
-    first = (
-        flagged.filter((F.col("_start") == 1) & (F.col("line_no") > 1))
-        .groupBy("_p")
-        .agg(F.min("line_no").alias("_first"))
-    )
-    hdr = flagged.join(first, "_p", "left").filter(
-        F.col("_first").isNull() | (F.col("line_no") < F.col("_first"))
-    )
-    return hdr.groupBy("_p").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("line_no", "value"))), lambda s: s["value"]), "\n"
-        ).alias("header")
-    )
+def assemble_lines(lines: DataFrame, mode: str, in_order: bool = True) -> Dump:
+    """Cut physical lines (from :func:`read_lines`) into records.
 
-
-def assemble_lines(lines: DataFrame, mode: str) -> Dump:
-    """Cut physical lines (from :func:`read_lines`) into records."""
+    The lines of a split lie together and in order, as a scan reads them; those of any
+    other frame (``in_order=False``) are brought there first.
+    """
     if mode not in MODES:
         raise ValueError(f"unknown assembly mode {mode!r}; expected one of {MODES}")
     if mode == "single":
@@ -442,15 +339,12 @@ def assemble_lines(lines: DataFrame, mode: str) -> Dump:
         )
         return Dump(records, headers)
 
-    flagged = _start_flags(lines, mode)
-    if mode not in ("skip3", "resync"):  # these cache their lines inside
-        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
-    headers = _headers_from_flags(flagged)
-    recs = _group_records(_number_records(flagged))
+    recs = _whole_records(*_cut(lines, mode, in_order))
     if mode == "pattern":  # SRC-3 trims trailing whitespace of every record
-        recs = recs.withColumn("raw", F.regexp_replace("raw", r"[ \t\n\r\x0b\x0c]+\z", ""))
-    records = recs.filter((F.col("rec") > 1) & ~_is_blank(F.col("raw"))).select(
-        "_p", F.col("rec").alias("_ob"), F.lit(0).cast("long").alias("_om"), "line_no", "raw"
+        recs = recs.withColumn("raw", F.when(F.col("line_no") > 1, F.regexp_replace("raw", r"[ \t\n\r\x0b\x0c]+\z", "")).otherwise(F.col("raw")))
+    headers = recs.filter(F.col("line_no") == 1).select("_p", F.col("raw").alias("header"))
+    records = recs.filter((F.col("line_no") > 1) & ~_is_blank(F.col("raw"))).select(
+        "_p", F.col("line_no").alias("_ob"), F.lit(0).cast("long").alias("_om"), "line_no", "raw"
     )
     return Dump(records, headers)
 

@@ -139,3 +139,36 @@ def test_resync_keeps_body_lines_and_confines_stray_quotes(spark, tmpdir_path, s
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == records
+
+
+@pytest.mark.parametrize("mode", ["parity", "pattern", "parity_pattern", "resync", "skip3"])
+def test_the_text_of_lines_is_not_shuffled(spark, tmpdir_path, mode, monkeypatch):
+    from relload.sources import assemble
+
+    _, text = make_dump(random.Random(1), 60, cluster_like=mode == "skip3")
+    write(os.path.join(tmpdir_path, "d.csv"), text)
+    monkeypatch.setattr(assemble, "cached", lambda df: df)  # the plan as one piece
+    records = read_dump(spark, tmpdir_path, mode).records
+    plan = records._jdf.queryExecution().explainString(records._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    nodes = plan.split("\n\n")
+    exchanges = [n for n in nodes if " Exchange\n" in n]
+    assert exchanges and not any("value#" in n for n in exchanges)
+    assert any("MapInArrow" in n and "value#" in n for n in nodes)
+
+
+@pytest.mark.parametrize("size", ["40", "134217728"])
+def test_a_header_alone_in_its_split_and_files_of_one_line(spark, tmpdir_path, size):
+    head = "id,date_created,date_modified,judges,date_filed,text"
+    write(os.path.join(tmpdir_path, "a.csv"), head + "\nnot,like,a,record,start,x\n7,2020-01-01,2020-01-02,J,1999-01-01,b\n")
+    write(os.path.join(tmpdir_path, "b.csv"), head)
+    write(os.path.join(tmpdir_path, "c.csv"), head + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        for mode in ("parity", "parity_pattern", "resync", "skip3"):
+            dump = read_dump(spark, tmpdir_path, mode)
+            got = [(r.line_no, r.raw) for r in dump.records.orderBy("_p", "_ob").collect()]
+            assert got == [(2, "not,like,a,record,start,x"), (3, "7,2020-01-01,2020-01-02,J,1999-01-01,b")], mode
+            assert sorted(r.header for r in dump.headers.collect()) == [head] * 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
