@@ -3,8 +3,10 @@
 The weight of a source is its share of the tokens raised to an exponent between 0 (all
 sources alike) and 1 (as they are), normalised.  The exponent is found by sections: the
 largest that meets a target entropy, or the smallest that keeps within a repetition
-limit.  The weights then become token quotas of a budget, and a quota becomes blocks:
-seeded permutations of the whole source, the last cut where the quota is used up.
+limit; with both targets the larger of the two, so no source is repeated beyond its
+limit to please the entropy.  The weights then become token quotas of a budget, and a
+quota becomes blocks: seeded permutations of the whole source, the last cut where the
+quota is used up.
 """
 
 from __future__ import annotations
@@ -19,6 +21,9 @@ from relload.llm.common import free_name, ranked, write_table
 GRID = 1_000_000  # exponents are multiples of 1 / GRID
 _CUTS = 100  # grid points tried in one pass over the sources
 
+MAX_REPEAT = 100.0  # how many times as often as another source one is repeated at most, where no limit is given
+_RUN = 1_000  # blocks in one array
+
 TOKEN = r"[^\x20\x09-\x0D]+"
 
 
@@ -47,20 +52,26 @@ def _measures(shares: DataFrame, grid: list[int]) -> dict:
 
 def exponent(shares: DataFrame, entropy_share: float | None = None, max_repeat: float | None = None) -> int:
     """Exponent times ``GRID``: the largest whose entropy is ``entropy_share`` of the largest possible or
-    more, or else the smallest that repeats no source over ``max_repeat`` times as often as another.
+    more, the smallest that repeats no source over ``max_repeat`` times as often as another, or the larger of both.
 
     Entropy falls and the repetition falls as the exponent grows, so sections of the
     grid find it; the sources are summed by Spark in every pass and never collected.
     """
-    if (entropy_share is None) == (max_repeat is None):
-        raise ValueError("give either entropy_share or max_repeat")
+    if entropy_share is None and max_repeat is None:
+        raise ValueError("give entropy_share, max_repeat or both")
     n = shares.where("share > 0").count()
     if n < 2:
         return GRID
-    target = entropy_share * math.log(n) if entropy_share is not None else None
-    # the last point that fits (entropy) or the first (repetition): `held` fits, `out` does not
-    fits = (lambda m: m[0] >= target) if target is not None else (lambda m: m[1] <= max_repeat)
-    held, out = (0, GRID) if target is not None else (GRID, 0)
+    found = []
+    if entropy_share is not None:  # the last point that fits
+        found.append(_section(shares, lambda m: m[0] >= entropy_share * math.log(n), 0, GRID))
+    if max_repeat is not None:  # the first point that fits
+        found.append(_section(shares, lambda m: m[1] <= max_repeat, GRID, 0))
+    return max(found)
+
+
+def _section(shares: DataFrame, fits, held: int, out: int) -> int:
+    """The grid point that fits and is nearest to ``out``; ``held`` fits, and whatever lies between it and a point that fits."""
     if fits(_measures(shares, [out])[out]):
         return out
     while abs(out - held) > 1:
@@ -74,22 +85,27 @@ def exponent(shares: DataFrame, entropy_share: float | None = None, max_repeat:
     return held
 
 
+def _floor(x: Column) -> Column:
+    """Whole tokens of a product of doubles: one that misses an integer by the doubles' own error counts as it."""
+    return F.floor(x * F.lit(1 + 1e-12) + F.lit(1e-6)).cast("long")
+
+
 def plan(shares: DataFrame, grid_exponent: int, budget: int | None) -> DataFrame:
     """(source, tokens, weight, quota, blocks, rest): whole blocks of a source, and tokens of the cut one.
 
-    Weights are rounded to nine digits.  Without a budget the quotas are the least that
-    give every source one whole block.  A source without tokens gets one block.
+    A quota is the floor of weight times budget, from the weight as it is, so a small
+    source keeps its share beside any large one.  Without a budget the quotas are the
+    least that give every source one whole block.  A source without tokens gets one block.
     """
     a = grid_exponent / GRID
     power = F.when(F.col("share") > 0, F.exp(F.lit(a) * F.log("share"))).otherwise(0.0)
     z = shares.agg(F.sum(power)).first()[0] or 1.0
-    weighted = shares.withColumn("weight", F.round(power / F.lit(z), 9))
+    weighted = shares.withColumn("weight", power / F.lit(z))
     if budget is None:
         need = weighted.where("weight > 0").agg(F.max(F.ceil(F.col("tokens") / F.col("weight")))).first()[0] or 0
-        # a token more than a share's rounding can take away
-        quota = F.greatest(F.floor(F.col("weight") * F.lit(float(need))).cast("long"), F.col("tokens"))
+        quota = F.greatest(_floor(F.col("weight") * F.lit(float(need))), F.col("tokens"))
     else:
-        quota = F.floor(F.col("weight") * F.lit(float(budget))).cast("long")
+        quota = _floor(F.col("weight") * F.lit(float(budget)))
     some = F.col("tokens") > 0
     return weighted.withColumn("quota", quota).select(
         "source", "tokens", "weight", "quota",
@@ -112,7 +128,10 @@ def draw(docs: DataFrame, quotas: DataFrame, row: list[str], source_col: str, te
     last = F.col("blocks") - F.when(F.col("rest") > 0, 0).otherwise(1)
     used = (
         write_table(narrow, "mix-rows").join(of, F.col("source").eqNullSafe(F.col("of")))
-        .where(last >= 0).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .where(last >= 0).withColumn("last", last)
+        # in two steps, so no row ever holds an array of more than a thousand blocks or runs of blocks
+        .withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"last div {_RUN}L"))))
+        .withColumn("block", F.explode(F.sequence(F.col("run") * _RUN, F.least(F.col("last"), F.col("run") * _RUN + (_RUN - 1)))))
         .withColumn("mixed", F.md5(F.concat_ws(":", F.lit(seed), F.col("block").cast("string"), F.coalesce(F.col(row[0]).cast("string"), F.lit("")))))
         .select(*row, "source", "tokens", "block", "blocks", "rest", "mixed")
     )
@@ -122,10 +141,12 @@ def draw(docs: DataFrame, quotas: DataFrame, row: list[str], source_col: str, te
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-    entropy_share: float | None = None, max_repeat: float | None = None, budget_share: float | None = 1.0, seed: str = "mix",
+    entropy_share: float | None = None, max_repeat: float | None = MAX_REPEAT, budget_share: float | None = 1.0, seed: str = "mix",
 ) -> DataFrame:
     """(doc_id, source, tokens, block, place): the uses of every row under the mixture.
 
+    ``entropy_share`` of the largest entropy is met as far as no source is repeated over
+    ``max_repeat`` times as often as another (None: however often).
     The budget is ``budget_share`` of the table's tokens, or with None the least that
     uses every row.  Tokens are runs of other than ASCII white space; null and empty
     texts have none and are drawn with the block of their source.  Null ids and sources

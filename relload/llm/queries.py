@@ -202,9 +202,10 @@ cut(lo, hi) AS (  -- the largest grid point that holds the entropy; 1000001 stan
     SELECT lo, hi, mid, ln(z) - mid / 1000000.0::DOUBLE * s / z >= 0.95::DOUBLE * ln(n) AS fits FROM (
       SELECT lo, hi, (lo + hi) // 2 AS mid, n, list_sum(list_transform(l, lambda x: exp(((lo + hi) // 2) / 1000000.0::DOUBLE * x))) AS z,
         list_sum(list_transform(l, lambda x: x * exp(((lo + hi) // 2) / 1000000.0::DOUBLE * x))) AS s FROM cut, lp WHERE hi - lo > 1))
-), expo AS (SELECT CASE WHEN (SELECT n FROM lp) < 2 THEN 1.0 ELSE max(lo) / 1000000.0 END::DOUBLE AS a FROM cut),
+), most AS (SELECT CASE WHEN list_max(l) > list_min(l) THEN greatest(0, ceil(1000000 * (1 - ln(100) / (list_max(l) - list_min(l)))))::BIGINT ELSE 0 END AS g FROM lp),
+expo AS (SELECT CASE WHEN (SELECT n FROM lp) < 2 THEN 1.0 ELSE greatest(max(lo), (SELECT g FROM most)) / 1000000.0 END::DOUBLE AS a FROM cut),
 power AS (SELECT *, CASE WHEN share > 0 THEN exp(a * ln(share)) ELSE 0 END AS p FROM share, expo),
-quota AS (SELECT source, tokens AS t, floor(round(p / (SELECT sum(p) FROM power), 9) * (SELECT sum(tokens) FROM src)::DOUBLE)::BIGINT AS q FROM power),
+quota AS (SELECT source, tokens AS t, floor(p / (SELECT sum(p) FROM power) * (SELECT sum(tokens) FROM src)::DOUBLE * (1 + 1e-12::DOUBLE) + 1e-6::DOUBLE)::BIGINT AS q FROM power),
 plan AS (SELECT source, t, CASE WHEN t > 0 THEN q // greatest(t, 1) ELSE 1 END AS blocks, CASE WHEN t > 0 THEN q % greatest(t, 1) ELSE 0 END AS rest FROM quota),
 used AS (
   SELECT doc_id, source, tokens, blocks, rest, block, md5('mix:' || block || ':' || coalesce(doc_id::VARCHAR, '')) AS mixed FROM (

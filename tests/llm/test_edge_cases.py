@@ -206,6 +206,35 @@ def test_mixing_meets_its_targets(spark):
     assert entropy(g) >= 0.9 * math.log(3) > entropy(g + 1)
 
 
+def _shares(spark, sizes):
+    total = float(sum(sizes.values()))
+    return spark.createDataFrame([(s, n, n / total) for s, n in sizes.items()], "source string, tokens long, share double")
+
+
+def test_small_sources_keep_their_quota_beside_a_huge_one(spark):
+    shares = _shares(spark, {"big": 10**12} | {f"s{i}": 300 for i in range(20_000)})
+    total = 10**12 + 300 * 20_000
+    as_they_are = mixing.plan(shares, mixing.GRID, total)
+    assert [tuple(r) for r in as_they_are.where("source <> 'big'").select("quota", "blocks", "rest").distinct().collect()] == [(300, 1, 0)]
+    quota = {r.source: r.quota for r in mixing.plan(shares, mixing.exponent(shares, entropy_share=0.0), total).collect()}
+    assert min(quota.values()) >= 300 and sum(quota.values()) <= total + 1
+
+
+def test_entropy_repeats_no_source_beyond_the_limit(spark):
+    shares = _shares(spark, {"big": 10**12, "tiny": 100})
+    free = mixing.exponent(shares, entropy_share=0.95)
+    bound = mixing.exponent(shares, entropy_share=0.95, max_repeat=100.0)
+    assert free < bound == mixing.exponent(shares, max_repeat=100.0)
+    blocks = {r.source: r.blocks for r in mixing.plan(shares, bound, 10**12).collect()}
+    assert blocks["tiny"] <= 100 and blocks["big"] <= 1
+
+
+def test_many_blocks_of_one_row(spark):
+    docs = spark.createDataFrame([(1, "a", "x y"), (2, "b", "z " * 6001)], "doc_id long, source string, text string")
+    got = mixing.mix(docs, max_repeat=1e9, entropy_share=1.0, budget_share=1.0).where("source = 'a'").collect()
+    assert sorted(r.block for r in got) == list(range(1500))  # 6003 tokens in halves: 3001 for two tokens
+
+
 def test_contamination(spark, odd, none):
     item = PROSE.upper() + "!"
     bench = spark.createDataFrame([(1, item, 3), (2, None, 3), (3, "too short", 3), (None, "w1 w2 w3 w4 w5 w6 w7 w8 w9", 3), (1, item, 3)], "item_id long, text string, doc_id int")
