@@ -4,13 +4,14 @@ Rows are applied in file order in the original loaders.  Each rule below is
 its set-based equivalent over the ordinal ``_ord`` (a struct: file, record,
 line) with existing target rows first.  Inputs carry:
 
-``_ord``  ordinal struct        ``_ok``  the row passes (or repairs) every FK
-``_fkr``  FK reason when not ok
-
-Per key the work is an aggregation (partial, map-side) followed by a join
-back; a key holding a large share of the rows is pre-aggregated before the
-shuffle and AQE splits its partition in the join.  Every function returns the
-new target state and a per-row status.
+``_ord``  ordinal: a long (a record's place in the dump) or a struct
+``_ok``   the row passes (or repairs) every FK      ``_fkr``  FK reason when not ok
+
+Per key the work is an aggregation of ordinals (partial, map-side; a hash aggregate
+where the ordinal is a long) followed by a join back, which tells each row its fate and
+finds the winners' columns; no payload goes through an aggregate.  A key holding a large
+share of the rows is pre-aggregated before the shuffle and AQE splits its partition in
+the join.  Every function returns the new target state and a per-row status.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from ..plans.joins import bounded_broadcast
 from ..session import scratch_root
 
 _log = logging.getLogger("relload.upsert")
-STATUS_COLS = ("_ord", "status", "reason", "category")
+PLACE = ("_p", "_ob", "_om")  # a record's place in its file; rides along to the status where rows have it
 REPLAY_BUCKET_ROWS = 200_000  # rows of dirty components replayed per Python call
 LARGE_COMPONENT_KEYS = 1_000_000  # a component above this replays slowly in one task: warn
 
@@ -41,8 +42,12 @@ class Upserted:
     status: DataFrame  # _ord, status, reason, category (one row per incoming row)
 
 
+def _place(df: DataFrame) -> list[str]:
+    return [c for c in PLACE if c in df.columns]
+
+
 def _status(df: DataFrame, status, reason, category) -> DataFrame:
-    return df.select("_ord", status.alias("status"), reason.alias("reason"), category.alias("category"))
+    return df.select("_ord", *_place(df), status.alias("status"), reason.alias("reason"), category.alias("category"))
 
 
 def _existing_keys(existing: DataFrame | None, keys: Sequence[str]) -> DataFrame | None:
@@ -92,12 +97,9 @@ def upsert_partial(
     first row, ``update`` of the last.
     """
     keep = [c for c in cols if c != key and c not in update]
-    agg = rows.groupBy(key).agg(
-        F.min(F.when(F.col("_ok"), F.struct(F.col("_ord").alias("o"), *[F.col(c) for c in keep]))).alias("_first"),
-        F.max(F.struct(F.col("_ord").alias("o"), *[F.col(c) for c in update])).alias("_last"),
-    )
+    agg = rows.groupBy(key).agg(F.min(F.when(F.col("_ok"), F.col("_ord"))).alias("_win"), F.max("_ord").alias("_last"))
     agg = _with_existing(agg, existing, [key])
-    r = rows.join(agg.select(key, F.col("_first.o").alias("_win"), "_ex"), key)
+    r = rows.join(agg, key)
     st = (
         F.when(F.col("_ex"), F.lit("updated"))
         .when(F.col("_win").isNull() | (F.col("_ord") < F.col("_win")), F.lit("rejected"))
@@ -107,28 +109,22 @@ def upsert_partial(
     r = r.withColumn("_st", st)
     rej = F.col("_st") == "rejected"
     status = _status(r, F.col("_st"), F.when(rej, F.col("_fkr")), F.when(rej, F.lit("fk")))
-    new = agg.filter(~F.col("_ex") & F.col("_first").isNotNull()).select(
-        key, *[F.col(f"_first.{c}").alias(c) for c in keep], *[F.col(f"_last.{c}").alias(c) for c in update]
-    )
+    last = r.filter((F.col("_ord") == F.col("_last")) & (F.col("_ex") | F.col("_win").isNotNull()))
+    upd = last.select(key, "_ex", *[F.col(c).alias(f"_u_{c}") for c in update])
+    new = r.filter(F.col("_st") == "inserted").select(key, *keep).join(upd.drop("_ex"), key)
+    new = new.select(key, *keep, *[F.col(f"_u_{c}").alias(c) for c in update]).select(*cols)
     if existing is None:
-        return Upserted(new.select(*cols), status)
-    upd = agg.filter(F.col("_ex")).select(key, *[F.col(f"_last.{c}").alias(f"_u_{c}") for c in update])
-    old = existing.select(*cols).join(upd, key, "left")
-    old = old.select(
-        *[F.coalesce(F.col(f"_u_{c}"), F.col(c)).alias(c) if c in update else F.col(c) for c in cols]
-    )
-    return Upserted(old.unionByName(new.select(*cols)), status)
+        return Upserted(new, status)
+    old = existing.select(*cols).join(upd.filter(F.col("_ex")).drop("_ex").withColumn("_hit", F.lit(True)), key, "left")
+    old = old.select(*[F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c) for c in cols])
+    return Upserted(old.unionByName(new), status)
 
 
 def upsert_last(rows: DataFrame, existing: DataFrame | None, cols: Sequence[str], key: str = "id") -> Upserted:
     """UPS-3 ``ON CONFLICT (id) DO UPDATE SET <all>``: the last row passing its FK checks wins."""
-    payload = [c for c in cols if c != key]
-    agg = rows.groupBy(key).agg(
-        F.max(F.when(F.col("_ok"), F.struct(F.col("_ord").alias("o"), *[F.col(c) for c in payload]))).alias("_last"),
-        F.min(F.when(F.col("_ok"), F.col("_ord"))).alias("_first"),
-    )
-    agg = _with_existing(agg, existing, [key])
-    r = rows.join(agg.select(key, "_first", "_ex"), key)
+    mine = F.when(F.col("_ok"), F.col("_ord"))
+    agg = _with_existing(rows.groupBy(key).agg(F.max(mine).alias("_last"), F.min(mine).alias("_first")), existing, [key])
+    r = rows.join(agg, key)
     st = (
         F.when(~F.col("_ok"), F.lit("rejected"))
         .when(~F.col("_ex") & (F.col("_ord") == F.col("_first")), F.lit("inserted"))
@@ -137,18 +133,18 @@ def upsert_last(rows: DataFrame, existing: DataFrame | None, cols: Sequence[str]
     r = r.withColumn("_st", st)
     rej = F.col("_st") == "rejected"
     status = _status(r, F.col("_st"), F.when(rej, F.col("_fkr")), F.when(rej, F.lit("fk")))
-    won = agg.filter(F.col("_last").isNotNull()).select(key, *[F.col(f"_last.{c}").alias(c) for c in payload])
+    won = r.filter(F.col("_ord") == F.col("_last")).select(*cols)
     if existing is None:
-        return Upserted(won.select(*cols), status)
+        return Upserted(won, status)
     kept = existing.select(*cols).join(won.select(key), key, "left_anti")
-    return Upserted(kept.unionByName(won.select(*cols)), status)
+    return Upserted(kept.unionByName(won), status)
 
 
 # ---------------------------------------------------------------- UPS-4 / UPS-5
 
 
-def _key_json(nkey: Sequence[str]):
-    return F.to_json(F.struct(*[F.col(c) for c in nkey]))
+def _key(nkey: Sequence[str]):
+    return F.struct(*[F.col(c) for c in nkey])
 
 
 def _components(spark, edges: DataFrame) -> DataFrame:
@@ -248,8 +244,8 @@ def upsert_natural(
     other keys take the last row (an aggregation), which is exact there.
     """
     spark = rows.sparkSession
-    inc = rows.withColumn("_k", _key_json(nkey))
-    ex = existing.withColumn("_k", _key_json(nkey)) if existing is not None else None
+    inc = rows.withColumn("_k", _key(nkey))
+    ex = existing.withColumn("_k", _key(nkey)) if existing is not None else None
     edges = inc.select("id", "_k")
     if ex is not None:
         edges = edges.unionByName(ex.select("id", "_k"))
@@ -271,22 +267,21 @@ def upsert_natural(
         if ex is not None:
             ex = ex.join(comp_b, "_k", "left")
     else:
-        inc = inc.withColumn("_c", F.lit(None).cast("string"))
+        none = F.lit(None).cast(inc.schema["_k"].dataType)
+        inc = inc.withColumn("_c", none)
         if ex is not None:
-            ex = ex.withColumn("_c", F.lit(None).cast("string"))
+            ex = ex.withColumn("_c", none)
 
     # ---- clean keys: last row wins; first row inserts unless the key exists.
     clean = inc.filter(F.col("_c").isNull())
     agg = clean.groupBy("_k").agg(
-        F.max(F.struct(F.col("_ord").alias("o"), *[F.col(c) for c in cols])).alias("_last"),
-        F.min("_ord").alias("_first"),
-        F.min("_ok").alias("_kok"),
+        F.max("_ord").alias("_last"), F.min("_ord").alias("_first"), F.min("_ok").alias("_kok")
     )
     ex_keys = None if ex is None else ex.filter(F.col("_c").isNull()).select("_k").distinct().withColumn("_ex", F.lit(True))
     agg = agg.withColumn("_ex", F.lit(False)) if ex_keys is None else agg.join(ex_keys, "_k", "left").withColumn(
         "_ex", F.coalesce(F.col("_ex"), F.lit(False))
     )
-    r = clean.join(agg.select("_k", "_first", "_ex", "_kok"), "_k")
+    r = clean.join(agg, "_k")
     st = (
         F.when(F.col("_ex"), F.lit("updated"))
         .when(~F.col("_kok"), F.lit("rejected"))
@@ -296,7 +291,7 @@ def upsert_natural(
     r = r.withColumn("_st", st)
     rej = F.col("_st") == "rejected"
     status = _status(r, F.col("_st"), F.when(rej, F.col("_fkr")), F.when(rej, F.lit("fk")))
-    won = agg.filter(F.col("_ex") | F.col("_kok")).select("_k", "_ex", *[F.col(f"_last.{c}").alias(c) for c in cols])
+    won = r.filter((F.col("_ord") == F.col("_last")) & (F.col("_ex") | F.col("_kok"))).select("_k", "_ex", *cols)
     if ex is None:
         target = won.select(*cols)
     else:
@@ -322,13 +317,13 @@ def upsert_natural(
     kept, middle = _compress_clean_runs(dirty_inc)
     seq = F.row_number().over(Window.partitionBy("_c").orderBy("_ord"))
     parts = kept.select(
-        "_c", "_k", F.col("id").cast("long").alias("id"), F.lit(True).alias("_new"), "_ok", "_fkr", "_src",
+        F.to_json("_c").alias("_c"), F.to_json("_k").alias("_k"), F.col("id").cast("long").alias("id"), F.lit(True).alias("_new"), "_ok", "_fkr", "_src",
         seq.cast("long").alias("_seq"),
     )
     if ex is not None:
         parts = parts.unionByName(
             ex.filter(F.col("_c").isNotNull()).select(
-                "_c", "_k", F.col("id").cast("long").alias("id"), F.lit(False).alias("_new"), F.lit(True).alias("_ok"),
+                F.to_json("_c").alias("_c"), F.to_json("_k").alias("_k"), F.col("id").cast("long").alias("id"), F.lit(False).alias("_new"), F.lit(True).alias("_ok"),
                 F.lit(None).cast("string").alias("_fkr"), F.lit(-1).cast("long").alias("_src"),
                 F.lit(0).cast("long").alias("_seq"),
             )
@@ -340,10 +335,11 @@ def upsert_natural(
     parts = parts.withColumn("_bk", F.pmod(F.xxhash64("_c"), F.lit(n_buckets)))
     replayed = cached(parts.groupBy("_bk").applyInPandas(_replay_many, _REPLAY_SCHEMA))
     rep_status = replayed.filter(F.col("_kind") == "status")
-    d_status = rep_status.join(dirty_inc.select("_src", "_ord"), "_src").select(*STATUS_COLS)
+    d_status = rep_status.join(dirty_inc.select("_src", "_ord", *_place(dirty_inc)), "_src")
+    d_status = d_status.select("_ord", *_place(dirty_inc), "status", "reason", "category")
     # rows left out of the replay: their key exists after the first row of their run, or
     # that first row failed its FK check (the key is new) and so do they
-    first_st = rep_status.join(kept.filter(F.col("_runfirst")).select("_src", "_k", "_run"), ["_src", "_k"]).select(
+    first_st = rep_status.select("_src", "status").join(kept.filter(F.col("_runfirst")).select("_src", "_k", "_run"), "_src").select(
         "_k", "_run", F.col("status").alias("_fst")
     )
     m = middle.join(first_st, ["_k", "_run"])
@@ -363,7 +359,7 @@ def upsert_natural(
     d_target = from_new
     if ex is not None:
         from_old = final.filter(F.col("_src") < 0).select("_k", "id").join(
-            ex.filter(F.col("_c").isNotNull()).select("_k", *[c for c in cols if c != "id"]), "_k"
+            ex.filter(F.col("_c").isNotNull()).select(F.to_json("_k").alias("_k"), *[c for c in cols if c != "id"]), "_k"
         ).select(*cols)
         d_target = d_target.unionByName(from_old)
     return Upserted(target.unionByName(d_target), status.unionByName(d_status).unionByName(m_status))

@@ -109,8 +109,9 @@ class _Parents:
         raise ValueError(template)
 
 
-def _ordinal() -> Column:
-    return F.struct(*[F.col(c) for c in ORDINAL])
+def _ordinal(parsed: DataFrame) -> Column:
+    """The place in the dump where assembly gave one number, else file, record and line."""
+    return F.col("_pos") if "_pos" in parsed.columns else F.struct(*[F.col(c) for c in ORDINAL])
 
 
 def _fk_stage(valid: DataFrame, spec: TableSpec, parents: _Parents, on_missing: str):
@@ -166,8 +167,8 @@ def _demand(rows: DataFrame, status: DataFrame, spec: TableSpec) -> DataFrame:
     st = ["inserted"] if spec.upsert in ("ignore", "partial") else ["inserted", "updated"]
     reached = status.filter(
         F.col("status").isin(*st) | ((F.col("status") == "rejected") & (F.col("category") == "fk"))
-    ).select(*ORDINAL)
-    return rows.join(reached, list(ORDINAL), "left_semi")
+    ).select("_ord")
+    return rows.join(reached, "_ord", "left_semi")
 
 
 def _placeholders(
@@ -268,14 +269,14 @@ def _load(spark, spec, source, existing, parents, on_missing_parent, as_of, crea
     parsed = parsed.withColumn("raw", F.when(F.col("category").isNotNull(), F.col("raw")))
     if spec.name == "search_parenthetical" and score_precision == 6:
         parsed = parsed.withColumn("score", score6("score"))  # once, before the cache
-    parsed = cached(parsed)
+    parsed = cached(parsed.withColumn("_ord", _ordinal(parsed)).drop("_pos"))
     # Fill the cache in one job: every later branch (FK lookups, conflict rule,
     # rejects, outcomes) reads it, and concurrent branches would otherwise each
     # re-parse the dump while the cache is still empty.
     parsed.count()
     cols = spec.names
     bad = parsed.filter(F.col("category").isNotNull())
-    valid = parsed.filter(F.col("category").isNull()).withColumn("_ord", _ordinal())
+    valid = parsed.filter(F.col("category").isNull())
     valid, checks, pre_rejected = _fk_stage(valid, spec, P, on_missing_parent)
 
     # base parenthetical (T6b) acts as an existing row when the base trio is created (D10)
@@ -301,11 +302,12 @@ def _load(spark, spec, source, existing, parents, on_missing_parent, as_of, crea
     else:  # pragma: no cover
         raise ValueError(spec.upsert)
 
-    status = up.status.select(*[F.col(f"_ord.{c}").alias(c) for c in ORDINAL], "status", "reason", "category")
-    parse_status = bad.select(*ORDINAL, F.lit("rejected").alias("status"), "reason", "category")
-    outcomes = status.unionByName(parse_status)
+    status = up.status
+    kept = ["_ord", *ORDINAL, F.lit("rejected").alias("status"), "reason", "category"]
+    every = status.unionByName(bad.select(*kept))
     if pre_rejected is not None:
-        outcomes = outcomes.unionByName(pre_rejected.select(*ORDINAL, F.lit("rejected").alias("status"), "reason", "category"))
+        every = every.unionByName(pre_rejected.select(*kept))
+    outcomes = every.drop("_ord")
 
     placeholders = {}
     if on_missing_parent == "placeholder":
@@ -318,6 +320,6 @@ def _load(spark, spec, source, existing, parents, on_missing_parent, as_of, crea
     target = up.target
     if spec.name == OPINION.name:
         target = target.withColumn("download_url", null_to_empty("download_url"))  # SCL-8
-    rej_status = outcomes.filter(F.col("status") == "rejected")
-    rejects = parsed.drop("reason", "category", "reasons").join(rej_status.drop("status"), list(ORDINAL))
+    why = every.filter(F.col("status") == "rejected").select("_ord", "reason", "category")
+    rejects = parsed.drop("reason", "category", "reasons").join(why, "_ord").drop("_ord")
     return LoadResult(target, outcomes, rejects, placeholders, ids)

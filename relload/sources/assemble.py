@@ -65,7 +65,7 @@ _FIELDS3_DATE = r"^" + _FIELD * 3 + r'"?[0-9]{4}-[0-9]{2}-[0-9]{2}'
 class Dump:
     """Assembled records plus the per-file header records."""
 
-    records: DataFrame  # _p, _ob, _om, line_no, raw  (data records only)
+    records: DataFrame  # _p, _ob, _om, line_no, raw, _pos  (data records only)
     headers: DataFrame  # _p, header (raw header text)
 
 
@@ -120,6 +120,14 @@ def _with_totals(per_split: DataFrame) -> DataFrame:
     return x.select(*per_split.columns, "_n0", (F.col("_qs") % 2).alias("_q0"), last)
 
 
+def _with_file_places(splits: DataFrame) -> DataFrame:
+    """``_f0``: lines in the files before each split's file, in the order of their paths (a row a file)."""
+    files = splits.groupBy("_p").agg(F.sum("n").alias("_fn"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_p", F.coalesce(F.sum("_fn").over(before), F.lit(0)).cast("long").alias("_f0"))
+    return splits.join(files, "_p")
+
+
 def _with_commas(splits: DataFrame) -> DataFrame:
     """``_off0``/``_off1``: commas of the file at even and odd parity before each split."""
     even = F.when(F.col("_q0") == 0, F.col("t0")).otherwise(F.col("t1"))
@@ -253,9 +261,9 @@ def _resync_splits(splits: DataFrame) -> DataFrame:
     sums = _file_offsets(sums, {"_to": "_so"})
     base = F.last(F.when(F.col("_ta").isNotNull(), F.col("_so") + F.col("_ta")), ignorenulls=True).over(earlier)
     sums = sums.select("_p", "_b", (F.col("_so") - F.coalesce(base, F.lit(0))).alias("_in"))
-    out = splits.select("_p", "_b", "_n0", "_q0", "_last", "_off0", "_off1").join(ends, ["_p", "_b"]).join(odds, ["_p", "_b"]).join(sums, ["_p", "_b"])
+    out = splits.select("_p", "_b", "n", "_n0", "_q0", "_last", "_off0", "_off1").join(ends, ["_p", "_b"]).join(odds, ["_p", "_b"]).join(sums, ["_p", "_b"])
     flat = [F.col(f"{c}.{f}").alias(f"_{n}{g}") for c, n in (("_beyond", "b"), ("_open", "o"), ("_close", "c")) for f, g in (("par", "p"), ("c0", "0"), ("c1", "1"))]
-    return _written(out.select("_p", "_b", "_n0", "_q0", "_last", "_off0", "_off1", F.coalesce("_n", F.lit(-1)).alias("_n"), *flat, "_in"), "states")
+    return _written(out.select("_p", "_b", "n", "_n0", "_q0", "_last", "_off0", "_off1", F.coalesce("_n", F.lit(-1)).alias("_n"), *flat, "_in"), "states")
 
 
 def _ordered(lines: DataFrame) -> DataFrame:
@@ -286,23 +294,24 @@ def _cut(lines: DataFrame, mode: str, in_order: bool) -> tuple[DataFrame, DataFr
         header = F.when(F.col("_b") == 0, F.min_by("q", "_m")).otherwise(0) if mode == "parity_pattern" else F.lit(0)
         per_split = facts.groupBy("_p", "_b").agg(F.count(F.lit(1)).alias("n"), (q - header).alias("q"))
         splits, numbers = _with_totals(per_split), ["_n0", "_q0", "_last"]
-    splits = cached(splits.select("_p", "_b", *numbers))
+    splits = cached(splits.select("_p", "_b", "n", *numbers))
     marked = _in_file_order(facts, splits, in_order).select("value", "_s", *names, *numbers)
-    return cached(marked.mapInArrow(cut.records(mode), cut.RECORDS)), splits.select(F.xxhash64("_p", "_b").alias("_s"), "_p")
+    places = _with_file_places(splits.select("_p", "_b", "n")).select(F.xxhash64("_p", "_b").alias("_s"), "_p", "_f0")
+    return cached(marked.mapInArrow(cut.records(mode), cut.RECORDS)), places
 
 
 def _whole_records(pieces: DataFrame, splits: DataFrame) -> DataFrame:
-    """``_p``, ``line_no``, ``raw`` of all records; those in pieces at split edges are put together."""
-    found = pieces.join(bounded_broadcast(splits), "_s").select("_p", "line_no", "raw", "edge")
+    """``_p``, ``line_no``, ``raw``, ``_f0`` of all records; those in pieces at split edges are put together."""
+    found = pieces.join(bounded_broadcast(splits), "_s").select("_p", "line_no", "raw", "edge", "_f0")
     edges = found.filter(F.col("edge").isNotNull())
     order = Window.partitionBy("_p").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     begin = F.last(F.when(F.col("edge"), F.col("line_no")), ignorenulls=True).over(order)
     of = edges.select("_p", "line_no", "edge").select("_p", "line_no", begin.alias("_begin"))  # at most two narrow rows a split
-    whole = edges.join(of, ["_p", "line_no"]).groupBy("_p", F.col("_begin").alias("line_no")).agg(
+    whole = edges.join(of, ["_p", "line_no"]).groupBy("_p", F.col("_begin").alias("line_no"), "_f0").agg(
         F.collect_list(F.struct("line_no", "raw")).alias("_parts")
     )
     joined = F.array_join(F.transform(F.array_sort("_parts"), lambda s: s["raw"]), "\n").alias("raw")
-    return found.filter(F.col("edge").isNull()).select("_p", "line_no", "raw").unionByName(whole.select("_p", "line_no", joined))
+    return found.filter(F.col("edge").isNull()).select("_p", "line_no", "raw", "_f0").unionByName(whole.select("_p", "line_no", joined, "_f0"))
 
 
 def _is_blank(c: Column) -> Column:
@@ -318,24 +327,25 @@ def assemble_lines(lines: DataFrame, mode: str, in_order: bool = True) -> Dump:
     if mode not in MODES:
         raise ValueError(f"unknown assembly mode {mode!r}; expected one of {MODES}")
     if mode == "single":
-        # First line of a file = first line read by the split at offset 0.  One
-        # aggregate (one row per file, cached) yields both the header text and
-        # its read id, so the text is scanned once for headers and once for data.
-        firsts = (
-            lines.filter(F.col("_b") == 0)
-            .groupBy("_p")
-            .agg(F.min("_m").alias("_hm"), F.min_by("value", "_m").alias("header"))
-        )
-        firsts = bounded_broadcast(firsts)
-        headers = firsts.select("_p", "header")
-        x = lines.join(firsts.select("_p", "_hm"), "_p", "left")
-        is_header = (F.col("_b") == 0) & (F.col("_m") == F.col("_hm"))
+        # One pass leaves a row a split: how many lines it has, the read id of the first
+        # and, at a file's start, the header.  Running sums make of it the place of every
+        # line in the whole dump, one number that orders all records.
+        if not in_order:
+            lines = _ordered(lines)
+        split = F.xxhash64("_p", "_b").alias("_s")
+        narrow = lines.select(F.when(F.col("_b") == 0, F.col("value")).alias("value"), "_p", "_b", "_m", split)
+        splits = cached(narrow.mapInArrow(cut.sizes, cut.SIZES))
+        headers = splits.filter(F.col("_b") == 0).select("_p", "header")
+        places = _with_file_places(_file_offsets(splits.select("_p", "_b", "n", "_m0"), {"n": "_n0"}))
+        x = lines.join(bounded_broadcast(places.select("_p", "_b", "_m0", (F.col("_f0") + F.col("_n0")).alias("_n0"))), ["_p", "_b"])
+        is_header = (F.col("_b") == 0) & (F.col("_m") == F.col("_m0"))
         records = x.filter(~is_header & ~_is_blank(F.col("value"))).select(
             "_p",
             F.col("_b").alias("_ob"),
             (F.col("_m") + 1).alias("_om"),  # > 0 marks single-line ordinals
             F.lit(None).cast("long").alias("line_no"),
             F.col("value").alias("raw"),
+            (F.col("_n0") + F.col("_m") - F.col("_m0")).alias("_pos"),
         )
         return Dump(records, headers)
 
@@ -344,7 +354,7 @@ def assemble_lines(lines: DataFrame, mode: str, in_order: bool = True) -> Dump:
         recs = recs.withColumn("raw", F.when(F.col("line_no") > 1, F.regexp_replace("raw", r"[ \t\n\r\x0b\x0c]+\z", "")).otherwise(F.col("raw")))
     headers = recs.filter(F.col("line_no") == 1).select("_p", F.col("raw").alias("header"))
     records = recs.filter((F.col("line_no") > 1) & ~_is_blank(F.col("raw"))).select(
-        "_p", F.col("line_no").alias("_ob"), F.lit(0).cast("long").alias("_om"), "line_no", "raw"
+        "_p", F.col("line_no").alias("_ob"), F.lit(0).cast("long").alias("_om"), "line_no", "raw", (F.col("_f0") + F.col("line_no") - 1).alias("_pos")
     )
     return Dump(records, headers)
 

@@ -213,6 +213,18 @@ def summary(mode: str):
     return run
 
 
+def sizes(batches):
+    """One row a split: its lines, the read id of the first, and, where it begins a file, that line."""
+    import pyarrow as pa
+
+    for x in by_split(batches, ["_s", "_p", "_b"]):
+        header = x["value"][0].as_py() if x["_b"] == 0 else None
+        row = [x["_p"], x["_b"], len(x["_m"]), int(x["_m"][0]), header]
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.string(), *[pa.int64()] * 3, pa.string()))], names=["_p", "_b", "n", "_m0", "header"])
+
+
+SIZES = "_p string, _b long, n long, _m0 long, header string"
+
 SUMMARY = "_p string, _b long, n long, q long, t0 long, t1 long, hn long, at array<long>, par array<long>, c0 array<long>, c1 array<long>"
 
 

@@ -86,3 +86,26 @@ def test_partial_matches_sequential_with_existing(spark):
     up = upsert_partial(r, ex, ["id", "ep", "depth"], ["depth"])
     assert {x.id: [x.ep, x.depth] for x in up.target.collect()} == state
     assert _statuses(up) == st
+
+
+def test_no_payload_goes_through_an_aggregate(spark, tmpdir_path):
+    """UPS-1 to 5 over real dumps: ordinals are one number, so every aggregate is a hash aggregate."""
+    import os
+
+    from dump_files import write
+    from relload import CITED, CLUSTER, PANEL, PARENTHETICAL, SEARCH_CITATION, load
+
+    dumps = {
+        CITED: "id,depth,cited_opinion_id,citing_opinion_id\n1,2,3,4\n1,5,6,7\n",
+        PANEL: "id,opinioncluster_id,person_id\n1,2,3\n4,2,3\n",
+        SEARCH_CITATION: "id,volume,reporter,page,type,cluster_id\n1,2,U.S.,3,1,5\n",
+        PARENTHETICAL: "id,text,score,described_opinion_id,describing_opinion_id,group_id\n1,a,0.5,1,1,1\n1,b,0.5,1,1,1\n",
+        CLUSTER: ",".join(CLUSTER.names) + "\n" + ",".join(["1", "j", "2020-01-01", "2020-01-01", "2020-01-01", *["x"] * 31]) + "\n",
+    }
+    mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    for spec, text in dumps.items():
+        path = write(os.path.join(tmpdir_path, f"{spec.name}.csv"), text)
+        target = load(spark, spec, path).target
+        plan = target._jdf.queryExecution().explainString(mode)
+        assert "HashAggregate" in plan and "SortAggregate" not in plan, spec.name
+        assert target.count() == (0 if spec is CLUSTER else 1), spec.name  # the cluster row has no dates
