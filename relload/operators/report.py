@@ -65,10 +65,18 @@ def _counts():
     ]
 
 
-def batch_report(outcomes: DataFrame, batch_size: int = DEFAULT_BATCH) -> DataFrame:
-    """AGG-1: per-batch counters and the position range of the batch."""
+def batch_report(outcomes: DataFrame, batch_size: int = DEFAULT_BATCH, demands: DataFrame | None = None) -> DataFrame:
+    """AGG-1: per-batch counters and the position range of the batch.
+
+    With ``demands`` (missing parents and the first record that needs each), also how
+    many placeholders each batch made necessary.
+    """
     b = with_batch(outcomes, batch_size)
-    return b.groupBy("batch").agg(*_counts(), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+    out = b.groupBy("batch").agg(*_counts(), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
+    if demands is None:
+        return out
+    made = demands.join(b.select("_p", "_ob", "_om", "batch"), ["_p", "_ob", "_om"]).groupBy("batch").agg(F.count(F.lit(1)).alias("placeholders"))
+    return out.join(made, "batch", "left").withColumn("placeholders", F.coalesce(F.col("placeholders"), F.lit(0).cast("long")))
 
 
 def failure_categories(outcomes: DataFrame) -> DataFrame:
@@ -76,9 +84,12 @@ def failure_categories(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(F.col("status") == "rejected").groupBy("category").agg(F.count(F.lit(1)).alias("n"))
 
 
-def totals(outcomes: DataFrame) -> DataFrame:
-    """AGG-3: run totals."""
-    return outcomes.agg(*_counts())
+def totals(outcomes: DataFrame, placeholder_ids: DataFrame | None = None) -> DataFrame:
+    """AGG-3: run totals; with the created ids (parent, id), also how many there are."""
+    out = outcomes.agg(*_counts())
+    if placeholder_ids is None:
+        return out
+    return out.crossJoin(placeholder_ids.agg(F.count(F.lit(1)).alias("placeholders")))  # one row each
 
 
 def sample_failures(outcomes: DataFrame, per_batch: int = 5, batch_size: int = DEFAULT_BATCH) -> DataFrame:

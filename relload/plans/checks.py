@@ -745,6 +745,25 @@ def load_report(spark, sf):
     return R.batch_report(_panel_reject_load(spark, sf).outcomes)
 
 
+def _panel_repair_load(spark, sf):
+    """The same dump in placeholder mode: unknown clusters are created."""
+    li = _t(spark, sf, "lineitem")
+    bad = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+    raw = F.concat_ws(",", F.when(bad, F.lit("0")).otherwise(_s(_li_ob())), _s("l_orderkey"), _s("l_linenumber"))
+    dump = frame_dump(li, raw, "id,opinioncluster_id,person_id", _li_ob(), _li_nth(), "lineitem")
+    return load(spark, PANEL, dump, parents={"search_opinioncluster": _orders_f(spark, sf)}, as_of=AS_OF)
+
+
+def load_report_placeholders(spark, sf):
+    """AGG-1: placeholders by the batch that first needed them."""
+    return _panel_repair_load(spark, sf).batch_report().select("batch", "attempted", "rejected", "placeholders")
+
+
+def load_totals_placeholders(spark, sf):
+    """AGG-3: run totals with the placeholders created."""
+    return _panel_repair_load(spark, sf).totals().select("attempted", "inserted", "updated", "rejected", "placeholders")
+
+
 def load_totals(spark, sf):
     return R.totals(_panel_reject_load(spark, sf).outcomes)
 
@@ -1191,6 +1210,19 @@ ORACLES: dict[str, str] = {
         SELECT 1, 'PLACEHOLDER', 0.0, 1, 1, 1
         WHERE EXISTS (SELECT 1 FROM gr) AND 1 NOT IN {ORDERS_F_SQL} AND NOT EXISTS (SELECT 1 FROM r WHERE id = 1)""",
 }
+_PANEL_REPAIRS = f"""
+  SELECT row_number() OVER (ORDER BY ob, om) - 1 AS pos, l_orderkey, bad, NOT bad AND l_orderkey NOT IN {ORDERS_F_SQL} AS lacks,
+    NOT bad AND row_number() OVER (PARTITION BY l_orderkey, l_linenumber, bad ORDER BY om) = 1 AS first
+  FROM (SELECT l_orderkey, l_linenumber, l_orderkey * 8 + l_linenumber AS ob, l_returnflag = 'R' AND l_linestatus = 'F' AS bad,
+    row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity) AS om FROM lineitem)"""
+ORACLES["load_report_placeholders"] = f"""
+  WITH r AS ({_PANEL_REPAIRS}), m AS (SELECT min(pos) // 5000 AS batch FROM r WHERE lacks GROUP BY l_orderkey)
+  SELECT b.batch, attempted, rejected, coalesce(n, 0) AS placeholders
+  FROM (SELECT pos // 5000 AS batch, count(*) AS attempted, count(*) FILTER (bad) AS rejected FROM r GROUP BY 1) b
+  LEFT JOIN (SELECT batch, count(*) AS n FROM m GROUP BY 1) c ON b.batch = c.batch"""
+ORACLES["load_totals_placeholders"] = f"""
+  SELECT count(*) AS attempted, count(*) FILTER (first) AS inserted, count(*) FILTER (NOT bad AND NOT first) AS updated,
+    count(*) FILTER (bad) AS rejected, count(DISTINCT l_orderkey) FILTER (lacks) AS placeholders FROM ({_PANEL_REPAIRS})"""
 ORACLES["stream_equals_batch"] = ORACLES["load_panels"]
 ORACLES["load_panels_written"] = ORACLES["load_panels"]
 ORACLES["placeholder_ids_csv"] = ORACLES["placeholder_chain"]
@@ -1249,6 +1281,8 @@ QUERIES: dict[str, Query] = {
     "upsert_natural_moves": upsert_natural_moves,
     "load_report": load_report,
     "load_totals": load_totals,
+    "load_report_placeholders": load_report_placeholders,
+    "load_totals_placeholders": load_totals_placeholders,
     "failure_categories": failure_categories_q,
     "sample_failures": sample_failures_q,
     "first_bad_records": first_bad_records_q,

@@ -30,7 +30,9 @@ from ..operators import placeholders as PH
 from ..operators.fk import distinct_missing, parent_keys, with_presence
 from ..operators.project import ORDINAL, parse_records
 from ..operators.upsert import Upserted, upsert_ignore, upsert_last, upsert_natural, upsert_partial
-from ..sources.assemble import Dump, read_dump
+from ..operators import report as R
+from ..sinks import bad_records_raw, bad_records_typed, write_csv
+from ..sources.assemble import Dump, check_files, preview, read_dump, read_first
 from ..specs import CLUSTER, OPINION, TableSpec
 from .caching import Caches, cached
 
@@ -54,8 +56,18 @@ class LoadResult:
     rejects: DataFrame  # rejected records: ordinal, raw, typed columns, reason, category
     placeholders: dict[str, DataFrame] = field(default_factory=dict)  # parent table -> new rows
     placeholder_ids: DataFrame | None = None  # parent, id (FKR-7)
+    demands: DataFrame | None = None  # parent, id, and the first record that made it necessary
+    batch: int = R.DEFAULT_BATCH
     caches: Caches = field(default_factory=Caches)
 
+    def batch_report(self) -> DataFrame:
+        """AGG-1: counters of each batch, with the placeholders that its records were the first to need."""
+        return R.batch_report(self.outcomes, self.batch, self.demands)
+
+    def totals(self) -> DataFrame:
+        """AGG-3: run totals, with all placeholders created."""
+        return R.totals(self.outcomes, self.placeholder_ids)
+
     def release(self) -> None:
         """Drop what the load cached; call it once the results are written."""
         self.caches.release()
@@ -171,6 +183,24 @@ def _demand(rows: DataFrame, status: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.join(reached, "_ord", "left_semi")
 
 
+def _first_demands(demand: DataFrame, spec: TableSpec, parents: _Parents) -> DataFrame | None:
+    """Parent, missing id, and the place of the first record that needs it (AGG-1): a minimum per id, then one join back."""
+    by_parent: dict[str, list[str]] = {}
+    for fk in spec.fks:
+        if fk.repair is not None and parents.get(fk.parent) is not None and parents.creatable(fk.repair):
+            by_parent.setdefault(fk.parent, []).append(fk.column)
+    out = None
+    for parent, cols in by_parent.items():
+        ids = None
+        for c in cols:
+            part = demand.select(F.col(c).cast("int").alias("id"), "_ord").filter(F.col("id").isNotNull())
+            ids = part if ids is None else ids.unionByName(part)
+        first = ids.groupBy("id").agg(F.min("_ord").alias("_ord")).join(parents.get(parent), "id", "left_anti")
+        part = first.join(demand.select("_ord", *ORDINAL), "_ord").select(F.lit(parent).alias("parent"), "id", *ORDINAL)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _placeholders(
     spark: SparkSession, spec: TableSpec, demand: DataFrame, checks, parents: _Parents, as_of: dt.datetime
 ) -> dict[str, DataFrame]:
@@ -235,6 +265,10 @@ def load(
     strict: bool = True,
     assembly: str | None = None,
     score_precision: int | None = 6,
+    limit: int | None = None,
+    parse_only: bool = False,
+    batch: int = R.DEFAULT_BATCH,
+    bad_records: str | None = None,
 ) -> LoadResult:
     """Load one dump into the new state of ``spec``'s table.
 
@@ -248,22 +282,36 @@ def load(
     ``search_parentheticalgroup``) to DataFrames with an ``id`` column; a parent
     not given is not checked.  ``on_missing_parent`` is ``placeholder`` (create
     template parents, the implemented behaviour) or ``reject`` (the documented
-    one).  Nothing is written: see :mod:`relload.sinks`.
+    one).  Nothing is written (see :mod:`relload.sinks`) but the rejected records, as CSV
+    to the folder ``bad_records`` if one is given.
+
+    ``limit`` loads the first records in file order only, reading little more of the
+    files than they take; ``parse_only`` stops after parsing and validation: ``target``
+    is then the rows that passed (status ``parsed``).  ``batch`` is the size of the
+    report's batches.
     """
     with Caches() as caches:
-        result = _load(spark, spec, source, existing, parents, on_missing_parent, as_of, create_docket, strict, assembly, score_precision)
-    result.caches = caches
+        mode = assembly or spec.assembly
+        if not isinstance(source, Dump):
+            check_files(spark, source, spec.name)
+            source = read_dump(spark, source, mode) if limit is None else read_first(spark, source, mode, limit)
+        elif limit is not None:
+            source = Dump(preview(source.records, limit), source.headers)
+        result = _load(spark, spec, source, existing, parents, on_missing_parent, as_of, create_docket, strict, score_precision, parse_only)
+        if bad_records is not None:  # the original writes raw records for clusters, typed ones for all others
+            rows = bad_records_raw(result.rejects) if spec.name == CLUSTER.name else bad_records_typed(result.rejects, spec.names)
+            write_csv(rows, bad_records)
+    result.batch, result.caches = batch, caches
     return result
 
 
-def _load(spark, spec, source, existing, parents, on_missing_parent, as_of, create_docket, strict, assembly, score_precision) -> LoadResult:
+def _load(spark, spec, source, existing, parents, on_missing_parent, as_of, create_docket, strict, score_precision, parse_only) -> LoadResult:
     if on_missing_parent not in ("placeholder", "reject"):
         raise ValueError(on_missing_parent)
     if score_precision not in (None, 6):
         raise ValueError("score_precision is 6 (the original's text form) or None (as parsed)")
-    dump = source if isinstance(source, Dump) else read_dump(spark, source, assembly or spec.assembly)
     P = _Parents(parents, create_docket)
-    parsed = parse_records(dump, spec, strict=strict)
+    parsed = parse_records(source, spec, strict=strict)
     # The raw text is only needed for rows that fail parsing (SNK-3); dropping it
     # elsewhere halves what is cached for wide dumps.
     parsed = parsed.withColumn("raw", F.when(F.col("category").isNotNull(), F.col("raw")))
@@ -276,6 +324,10 @@ def _load(spark, spec, source, existing, parents, on_missing_parent, as_of, crea
     parsed.count()
     cols = spec.names
     bad = parsed.filter(F.col("category").isNotNull())
+    if parse_only:
+        status = F.when(F.col("category").isNull(), F.lit("parsed")).otherwise(F.lit("rejected")).alias("status")
+        outcomes = parsed.select(*ORDINAL, status, "reason", "category")
+        return LoadResult(parsed.filter(F.col("category").isNull()).select(*cols), outcomes, bad.drop("reasons", "_ord"))
     valid = parsed.filter(F.col("category").isNull())
     valid, checks, pre_rejected = _fk_stage(valid, spec, P, on_missing_parent)
 
@@ -309,9 +361,11 @@ def _load(spark, spec, source, existing, parents, on_missing_parent, as_of, crea
         every = every.unionByName(pre_rejected.select(*kept))
     outcomes = every.drop("_ord")
 
-    placeholders = {}
+    placeholders, demands = {}, None
     if on_missing_parent == "placeholder":
-        placeholders = _placeholders(spark, spec, _demand(rows, status, spec), checks, P, as_of)
+        demand = _demand(rows, status, spec)
+        placeholders = _placeholders(spark, spec, demand, checks, P, as_of)
+        demands = _first_demands(demand, spec, P)
     ids = None
     for parent, df in placeholders.items():
         part = df.select(F.lit(parent).alias("parent"), F.col("id"))
@@ -322,4 +376,4 @@ def _load(spark, spec, source, existing, parents, on_missing_parent, as_of, crea
         target = target.withColumn("download_url", null_to_empty("download_url"))  # SCL-8
     why = every.filter(F.col("status") == "rejected").select("_ord", "reason", "category")
     rejects = parsed.drop("reason", "category", "reasons").join(why, "_ord").drop("_ord")
-    return LoadResult(target, outcomes, rejects, placeholders, ids)
+    return LoadResult(target, outcomes, rejects, placeholders, ids, demands)

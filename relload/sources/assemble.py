@@ -364,9 +364,53 @@ def read_dump(spark: SparkSession, paths: str | Sequence[str], mode: str) -> Dum
     return assemble_lines(read_lines(spark, paths), mode)
 
 
+def read_head(spark: SparkSession, file: str, lines: int) -> DataFrame:
+    """The first ``lines`` physical lines of one file; collecting it reads no more of the file than that."""
+    return read_lines(spark, file).limit(lines)
+
+
+def read_first(spark: SparkSession, paths: str | Sequence[str], mode: str, n: int) -> Dump:
+    """SRC-9: a dump of the first ``n`` records in file order, from the leading lines of the leading files.
+
+    Files are taken in the order of their paths.  Of each, twice as many lines are read
+    as before until ``n`` records are closed (another one begins behind them) or the
+    file ends; what comes back through the driver is bounded by the preview's size.
+    """
+    found: Dump | None = None
+    left = n
+    for file in sorted(read_lines(spark, paths).select("_p").inputFiles()):
+        k = 2 * left + 2
+        while True:
+            rows = read_head(spark, file, k).collect()
+            dump = assemble_lines(spark.createDataFrame(rows, "value string, _p string, _b long, _m long"), mode, in_order=False)
+            closed = dump.records.count() - (1 if mode != "single" and len(rows) == k else 0)
+            if closed >= left or len(rows) < k:
+                break
+            k *= 2
+        some = Dump(dump.records.orderBy("_ob", "_om").limit(left).drop("_pos"), dump.headers)
+        found = some if found is None else Dump(found.records.unionByName(some.records), found.headers.unionByName(some.headers))
+        left -= min(closed, left) if len(rows) == k else min(dump.records.count(), left)
+        if left <= 0:
+            break
+    if found is None:
+        raise ValueError("no dump files")
+    return found
+
+
 # ---------------------------------------------------------------- header (SRC-1/7)
 
 
+def check_files(spark: SparkSession, paths: str | Sequence[str], table: str) -> None:
+    """SRC-7: fail before any load work when a file is empty, also one among many."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    files = spark.read.format("binaryFile").load(paths)  # only names are read, no content; a file without bytes gives no row
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").select(plain("path").alias("path"))
+    empty = listed.join(files.select(plain("path").alias("path")), "path", "left_anti").limit(10).collect()
+    if empty:
+        raise ValueError(f"{table}: dump file is empty (no header line): {', '.join(sorted(r['path'] for r in empty))}")
+
+
 def header_names(headers: DataFrame, dialect: str) -> DataFrame:
     """``_p``, ``_hdr`` = trimmed column names of each file's header."""
     return headers.select("_p", F.transform(split_fields(F.col("header"), dialect), lambda c: ctrim(c)).alias("_hdr"))
