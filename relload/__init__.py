@@ -10,10 +10,11 @@ except Exception:  # pragma: no cover - older cloudpickle
     pass
 
 from .plans.jobs import LoadResult, load  # noqa: E402
+from .plans.load_all import Loaded, load_all  # noqa: E402
 from .sources.assemble import Dump, read_dump  # noqa: E402
 from .specs import CITED, CLUSTER, JOINED_BY, OPINION, PANEL, PARENTHETICAL, SEARCH_CITATION, SPECS  # noqa: E402
 
 __all__ = [
     "CITED", "CLUSTER", "JOINED_BY", "OPINION", "PANEL", "PARENTHETICAL", "SEARCH_CITATION", "SPECS",
-    "Dump", "LoadResult", "load", "read_dump",
+    "Dump", "LoadResult", "Loaded", "load", "load_all", "read_dump",
 ]

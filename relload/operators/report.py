@@ -4,8 +4,8 @@
 ``status`` (inserted / updated / duplicate_noop / rejected), ``reason``,
 ``category``.  The batch of a record is its position in file order divided by
 the batch size (5,000 by default); the position is computed with the same
-two-level running sums as record assembly, over bounded blocks, so no window
-spans a whole file.
+two-level running sums as record assembly, over bounded blocks, so no window over
+records spans a split or a file.
 """
 
 from __future__ import annotations
@@ -17,34 +17,43 @@ from ..plans.caching import cached
 from ..plans.joins import bounded_broadcast
 
 DEFAULT_BATCH = 5000
-BLOCK = 100_000  # records per numbering block in multi-line dumps
-BLOCK_BYTES = 1 << 20  # bytes of a single-line dump per numbering block
+BLOCK = 1 << 16  # records numbered in one window
+
+
+def numbering_blocks(outcomes: DataFrame) -> DataFrame:
+    """Add ``_blk`` and ``_sub``: bounded blocks of records, in file order within a file.
+
+    A record of a multi-line dump is known by the number of its first line; one of a
+    single-line dump by its split's place and its line's read id, which counts up by one
+    within the split.  Either way a block spans ``BLOCK`` numbers at most.
+    """
+    many = F.col("_om") == 0
+    return outcomes.withColumn("_blk", F.when(many, F.floor(F.col("_ob") / BLOCK)).otherwise(F.col("_ob"))).withColumn(
+        "_sub", F.when(many, F.lit(0)).otherwise(F.floor(F.col("_om") / BLOCK)).cast("long")
+    )
 
 
 def with_position(outcomes: DataFrame) -> DataFrame:
     """Add ``pos``: 0-based position of the record over all files in file order.
 
-    Records are numbered inside bounded blocks (about 1 MiB of a single-line
-    dump, or 100,000 records of a multi-line one); block offsets come from a
-    running sum over the blocks of each file and one over the files, both on
-    tables with one row per block or per file.
+    Records are numbered inside bounded blocks; block offsets come from a running sum
+    over the blocks of each file and one over the files, both on tables with one row
+    per block or per file.
     """
-    # single-line dumps: _ob is the split's byte offset; multi-line: the record number
-    blk = F.when(F.col("_om") == 0, F.floor(F.col("_ob") / BLOCK)).otherwise(F.floor(F.col("_ob") / BLOCK_BYTES))
     # narrow rows (ordinal + status), read twice: for the block counts and the numbering
-    x = cached(outcomes.withColumn("_blk", blk.cast("long")))
-    per_blk = x.groupBy("_p", "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    in_file = Window.partitionBy("_p").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    x = cached(numbering_blocks(outcomes))
+    per_blk = x.groupBy("_p", "_blk", "_sub").agg(F.count(F.lit(1)).alias("_n"))
+    in_file = Window.partitionBy("_p").orderBy("_blk", "_sub").rowsBetween(Window.unboundedPreceding, -1)
     per_blk = per_blk.withColumn("_boff", F.coalesce(F.sum("_n").over(in_file), F.lit(0)))
     per_file = per_blk.groupBy("_p").agg(F.sum("_n").alias("_fn"))
     files = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     per_file = per_file.select("_p", F.coalesce(F.sum("_fn").over(files), F.lit(0)).alias("_foff"))
-    offs = per_blk.join(per_file, "_p").select("_p", "_blk", (F.col("_foff") + F.col("_boff")).alias("_off"))
-    w = Window.partitionBy("_p", "_blk").orderBy("_ob", "_om")
+    offs = per_blk.join(per_file, "_p").select("_p", "_blk", "_sub", (F.col("_foff") + F.col("_boff")).alias("_off"))
+    w = Window.partitionBy("_p", "_blk", "_sub").orderBy("_ob", "_om")
     return (
-        x.join(bounded_broadcast(offs), ["_p", "_blk"])
+        x.join(bounded_broadcast(offs), ["_p", "_blk", "_sub"])
         .withColumn("pos", F.col("_off") + F.row_number().over(w) - 1)
-        .drop("_blk", "_off")
+        .drop("_blk", "_sub", "_off")
     )
 
 

@@ -28,12 +28,11 @@ from pyspark.sql import types as T
 
 from ..plans.caching import cached
 from ..plans.joins import bounded_broadcast
-from ..session import scratch_root
+from ..session import scratch_path
 
 _log = logging.getLogger("relload.upsert")
 PLACE = ("_p", "_ob", "_om")  # a record's place in its file; rides along to the status where rows have it
-REPLAY_BUCKET_ROWS = 200_000  # rows of dirty components replayed per Python call
-LARGE_COMPONENT_KEYS = 1_000_000  # a component above this replays slowly in one task: warn
+REPLAY_ROWS = 500_000  # conflicting rows that one task replays in order; more are settled in rounds
 
 
 @dataclass
@@ -147,30 +146,83 @@ def _key(nkey: Sequence[str]):
     return F.struct(*[F.col(c) for c in nkey])
 
 
-def _components(spark, edges: DataFrame) -> DataFrame:
-    """Connected components (``_k`` -> ``_c``) of the dirty id-key subgraph by min-label propagation.
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A table of a round, written to the shared folder and read back: short plans, and rows that survive lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    ``edges`` holds (id, _k) pairs whose id is dirty; it is normally tiny.  Each
-    round is two joins plus aggregations and a pointer jump (a key also takes
-    the label of its label); the new labels are materialised once (persisted,
-    or checkpointed every few rounds to cut lineage) and compared with the old.
+
+def _settle(events: DataFrame, state: DataFrame) -> DataFrame:
+    """The events whose outcome is certain by now, with ``status``, ``reason`` and ``category``.
+
+    An event is settled when no earlier open one has its key or its id, none can take the
+    id away from the key that holds it, and, unless it is refused, none asks for the id
+    that its key releases.  Events settled together have different keys and ids, and none of them
+    decides another: one that releases an id is settled before any later one that asks
+    for it, and after all earlier ones.
+    """
+    by_key = events.groupBy("_k").agg(F.min("_ord").alias("_mk"))
+    by_id = events.groupBy("id").agg(F.min("_ord").alias("_mi"))
+    c = events.join(by_key, "_k").where(F.col("_ord") == F.col("_mk")).join(by_id, "id").where(F.col("_ord") == F.col("_mi"))
+    c = c.join(state.select("id", F.col("_k").alias("_owner")), "id", "left")
+    c = c.join(state.select("_k", F.col("id").alias("_held")), "_k", "left")
+    c = c.join(by_key.select(F.col("_k").alias("_owner"), F.col("_mk").alias("_mo")), "_owner", "left")
+    foreign = F.col("_owner").isNotNull() & (F.col("_owner") != F.col("_k"))
+    c = c.where(~foreign | F.col("_mo").isNull() | (F.col("_mo") > F.col("_ord")))
+    c = c.join(by_id.select(F.col("id").alias("_held"), F.col("_mi").alias("_mh")), "_held", "left")
+    c = c.where(foreign | F.col("_mh").isNull() | (F.col("_held") == F.col("id")) | (F.col("_mh") > F.col("_ord")))
+    no_parent = F.col("_held").isNull() & ~F.col("_ok")
+    status = F.when(foreign | no_parent, "rejected").when(F.col("_held").isNull(), "inserted").otherwise("updated")
+    reason = F.when(foreign, F.format_string("Duplicate key violation: id=%d", "id")).when(no_parent, F.col("_fkr"))
+    return c.select("_k", "id", "_src", status.alias("status"), reason.alias("reason"), F.when(foreign, "unique").when(no_parent, "fk").alias("category"))
+
+
+def _resolve(events: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Outcome of each event (``_src``, ``status``, ``reason``, ``category``) and the final rows (``_k``, ``id``, ``_src``).
+
+    ``events`` are rows in order (``_ord``) that ask for an id under a key, ``state`` the
+    existing rows (``_src`` -1).  A round settles all events that are certain, with joins
+    and aggregates over the open ones.  Where that is less than one task can replay in
+    order (long chains of events that wait for one another, or few events altogether),
+    the next ``REPLAY_ROWS`` events are replayed instead; so every step settles that many
+    or all, and no task holds more.
     """
-    edges = cached(edges)
-    lab = edges.groupBy("_k").agg(F.min("_k").alias("_c")).persist()
-    i = 0
-    while True:  # converges within the component diameter
-        id_lab = edges.join(lab, "_k").groupBy("id").agg(F.min("_c").alias("_ci"))
-        new = edges.join(id_lab, "id").groupBy("_k").agg(F.min("_ci").alias("_c"))
-        hop = new.select(F.col("_k").alias("_c"), F.col("_c").alias("_cc"))
-        new = new.join(hop, "_c", "left").select("_k", F.least(F.col("_c"), F.coalesce(F.col("_cc"), F.col("_c"))).alias("_c"))
-        new = new.checkpoint() if i % 4 == 3 else new.persist()
-        changed = new.join(lab.withColumnRenamed("_c", "_old"), "_k").filter(F.col("_c") != F.col("_old")).limit(1).count()
-        lab.unpersist()
-        lab = new
-        i += 1
-        _log.info("component labelling round %d, changed=%s", i, changed)
-        if changed == 0:
-            return lab
+    outcomes = []
+    events, state = _written(events, "events"), _written(state, "held")
+    left = events.count()
+    while left:
+        done = _written(_settle(events, state), "settled") if left > REPLAY_ROWS else None
+        if done is not None and done.count() >= REPLAY_ROWS:
+            taken = done.where("status <> 'rejected'").select("_k", "id", "_src")
+            state = state.join(taken.select("_k"), "_k", "left_anti").unionByName(taken)
+        else:
+            done, state = _replay_first(events if left <= REPLAY_ROWS else events.orderBy("_ord").limit(REPLAY_ROWS), state)
+        outcomes.append(done.select("_src", "status", "reason", "category"))
+        state = _written(state, "held")
+        events = _written(events.join(done.select("_src"), "_src", "left_anti"), "events")
+        before, left = left, events.count()
+        _log.info("conflicts, step %d: %d of %d rows settled", len(outcomes), before - left, before)
+    every = outcomes[0]
+    for o in outcomes[1:]:
+        every = every.unionByName(o)
+    return every, state
+
+
+def _replay_first(events: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Outcome of the earliest events, replayed in one task with the held rows of their keys and ids, and the new state."""
+    near = state.join(events.select("_k").distinct(), "_k", "left_semi").unionByName(state.join(events.select("id").distinct(), "id", "left_semi"))
+    near = _written(near.distinct(), "near")
+    rows = events.select(
+        "_k", "id", F.lit(True).alias("_new"), "_ok", "_fkr", "_src", F.row_number().over(Window.orderBy("_ord")).cast("long").alias("_seq")
+    ).unionByName(near.select(
+        "_k", "id", F.lit(False).alias("_new"), F.lit(True).alias("_ok"), F.lit(None).cast("string").alias("_fkr"), "_src",
+        F.lit(0).cast("long").alias("_seq"),
+    ))
+    replayed = _written(rows.groupBy(F.lit(0).alias("_all")).applyInPandas(_replay, _REPLAY_SCHEMA), "replayed")
+    finals = replayed.where("_kind = 'final'").select("_k", "id", "_src")
+    state = state.join(near.select("_k"), "_k", "left_anti").unionByName(finals)
+    return replayed.where("_kind = 'status'"), state
 
 
 _REPLAY_SCHEMA = T.StructType(
@@ -186,16 +238,8 @@ _REPLAY_SCHEMA = T.StructType(
 )
 
 
-def _replay_many(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Replay every component of one bucket, each on its own state."""
-    outs = [_replay(g) for _, g in pdf.groupby("_c", sort=False)]
-    if not outs:
-        return pd.DataFrame([], columns=[f.name for f in _REPLAY_SCHEMA.fields])
-    return pd.concat(outs, ignore_index=True)
-
-
 def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sequential replay of one dirty component (existing rows first, then file order).
+    """Sequential replay of a bounded rest of conflicting rows (held rows first, then in order).
 
     A plain state machine over two dicts: key -> (id, source row), id -> key.
     """
@@ -207,7 +251,7 @@ def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
     for k, i, new, ok, fkr, src in zip(*cols):
         i = int(i)
         if not new:
-            by_key[k] = (i, -1)
+            by_key[k] = (i, int(src))
             owner[i] = k
             continue
         cur = by_key.get(k)
@@ -239,11 +283,10 @@ def upsert_natural(
 
     The foreign keys are part of the natural key, so only an insert (a new key)
     is FK-checked.  An id that ever appears under two keys (in existing or
-    incoming rows) is *dirty*: its connected component of the id-key graph is
-    replayed row by row in file order (``applyInPandas`` per component).  All
+    incoming rows) is *dirty*, and so are its keys: their rows are settled in rounds of
+    set operations (:func:`_resolve`), in file order wherever order matters.  All
     other keys take the last row (an aggregation), which is exact there.
     """
-    spark = rows.sparkSession
     inc = rows.withColumn("_k", _key(nkey))
     ex = existing.withColumn("_k", _key(nkey)) if existing is not None else None
     edges = inc.select("id", "_k")
@@ -255,22 +298,14 @@ def upsert_natural(
     has_dirty = dirty_edges.limit(1).count() > 0
 
     if has_dirty:
-        scratch_root(spark)  # checkpoints below need the shared folder
-        comp = _components(spark, dirty_edges)  # _k -> _c
-        sizes = comp.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).agg(
-            F.count(F.lit(1)).alias("components"), F.max("_n").alias("largest")
-        ).collect()[0]
-        log = _log.warning if (sizes["largest"] or 0) > LARGE_COMPONENT_KEYS else _log.info
-        log("dirty natural-key components: %s, largest %s keys", sizes["components"], sizes["largest"])
-        comp_b = bounded_broadcast(comp)
-        inc = inc.join(comp_b, "_k", "left")
+        dirty_keys = bounded_broadcast(dirty_edges.select("_k").distinct().withColumn("_c", F.lit(True)))
+        inc = inc.join(dirty_keys, "_k", "left")
         if ex is not None:
-            ex = ex.join(comp_b, "_k", "left")
+            ex = ex.join(dirty_keys, "_k", "left")
     else:
-        none = F.lit(None).cast(inc.schema["_k"].dataType)
-        inc = inc.withColumn("_c", none)
+        inc = inc.withColumn("_c", F.lit(None).cast("boolean"))
         if ex is not None:
-            ex = ex.withColumn("_c", none)
+            ex = ex.withColumn("_c", F.lit(None).cast("boolean"))
 
     # ---- clean keys: last row wins; first row inserts unless the key exists.
     clean = inc.filter(F.col("_c").isNull())
@@ -305,7 +340,7 @@ def upsert_natural(
     if not has_dirty:
         return Upserted(target, status)
 
-    # ---- dirty components: exact sequential replay per component.
+    # ---- dirty keys: rounds over the rows that can conflict.
     id_type = dict(rows.dtypes)["id"]
     dirty_inc = (
         inc.filter(F.col("_c").isNotNull())
@@ -313,31 +348,18 @@ def upsert_natural(
         .withColumn("_idd", F.coalesce(F.col("_idd"), F.lit(False)))
         .withColumn("_src", F.monotonically_increasing_id())
     )
-    dirty_inc = dirty_inc.checkpoint()  # fixes _src for the joins back below
+    dirty_inc = _written(dirty_inc, "conflicts")  # fixes _src for the joins back below
     kept, middle = _compress_clean_runs(dirty_inc)
-    seq = F.row_number().over(Window.partitionBy("_c").orderBy("_ord"))
-    parts = kept.select(
-        F.to_json("_c").alias("_c"), F.to_json("_k").alias("_k"), F.col("id").cast("long").alias("id"), F.lit(True).alias("_new"), "_ok", "_fkr", "_src",
-        seq.cast("long").alias("_seq"),
-    )
-    if ex is not None:
-        parts = parts.unionByName(
-            ex.filter(F.col("_c").isNotNull()).select(
-                F.to_json("_c").alias("_c"), F.to_json("_k").alias("_k"), F.col("id").cast("long").alias("id"), F.lit(False).alias("_new"), F.lit(True).alias("_ok"),
-                F.lit(None).cast("string").alias("_fkr"), F.lit(-1).cast("long").alias("_src"),
-                F.lit(0).cast("long").alias("_seq"),
-            )
-        )
-    # Components are grouped into buckets of about REPLAY_BUCKET_ROWS rows so one
-    # Python call replays many small components; a component is never split.
-    parts = cached(parts)
-    n_buckets = max(1, -(-parts.count() // REPLAY_BUCKET_ROWS))
-    parts = parts.withColumn("_bk", F.pmod(F.xxhash64("_c"), F.lit(n_buckets)))
-    replayed = cached(parts.groupBy("_bk").applyInPandas(_replay_many, _REPLAY_SCHEMA))
-    rep_status = replayed.filter(F.col("_kind") == "status")
+    key = F.to_json("_k").alias("_k")
+    events = kept.select(key, F.col("id").cast("long").alias("id"), "_ok", "_fkr", "_src", "_ord")
+    if ex is None:
+        held = events.select("_k", "id", "_src").limit(0)
+    else:
+        held = ex.filter(F.col("_c").isNotNull()).select(key, F.col("id").cast("long").alias("id"), F.lit(-1).cast("long").alias("_src"))
+    rep_status, final = _resolve(events, held)
     d_status = rep_status.join(dirty_inc.select("_src", "_ord", *_place(dirty_inc)), "_src")
     d_status = d_status.select("_ord", *_place(dirty_inc), "status", "reason", "category")
-    # rows left out of the replay: their key exists after the first row of their run, or
+    # rows left out of the rounds: their key exists after the first row of their run, or
     # that first row failed its FK check (the key is new) and so do they
     first_st = rep_status.select("_src", "status").join(kept.filter(F.col("_runfirst")).select("_src", "_k", "_run"), "_src").select(
         "_k", "_run", F.col("status").alias("_fst")
@@ -350,7 +372,7 @@ def upsert_natural(
         F.when(m_rej, F.col("_fkr")),
         F.when(m_rej, F.lit("fk")),
     )
-    final = replayed.filter(F.col("_kind") == "final").withColumn("id", F.col("id").cast(id_type))
+    final = final.withColumn("id", F.col("id").cast(id_type))
     # Final row per dirty key: the other columns come from its source row (or
     # the existing row when no incoming row changed it).
     from_new = final.filter(F.col("_src") >= 0).select("_src", "id").join(
@@ -359,22 +381,21 @@ def upsert_natural(
     d_target = from_new
     if ex is not None:
         from_old = final.filter(F.col("_src") < 0).select("_k", "id").join(
-            ex.filter(F.col("_c").isNotNull()).select(F.to_json("_k").alias("_k"), *[c for c in cols if c != "id"]), "_k"
+            ex.filter(F.col("_c").isNotNull()).select(key, *[c for c in cols if c != "id"]), "_k"
         ).select(*cols)
         d_target = d_target.unionByName(from_old)
     return Upserted(target.unionByName(d_target), status.unionByName(d_status).unionByName(m_status))
 
 
 def _compress_clean_runs(dirty_inc: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split the rows of dirty components into the replayed ones and the rest.
+    """Split the rows of dirty keys into those the rounds need and the rest.
 
     A row whose id is clean (owned by this key only) can never be a unique
     violation; between two rows with dirty ids of the same key, only the first
     clean row (it frees the key's previous id) and the last one (the key's id
     from then on) can matter to other keys.  So per key every run of clean rows
-    is cut to its first and last row: the replay grows with the conflicting
-    rows, not with how often a key repeats (a hot key stays out of the one
-    replay task).  Runs are numbered by joining each key's sorted dirty-row
+    is cut to its first and last row: the rounds grow with the conflicting
+    rows, not with how often a key repeats.  Runs are numbered by joining each key's sorted dirty-row
     ordinals (an aggregate over dirty rows only) and counting those before the row.
     """
     dirty_rows = dirty_inc.filter(F.col("_idd"))

@@ -841,7 +841,7 @@ def load_opinions_placeholders(spark, sf):
     )
 
 
-def _cluster_load(spark, sf):
+def _cluster_dump_path(spark, sf) -> str:
     c = _t(spark, sf, "customer")
     first = ["id", "date_created", "date_modified", "judges", "date_filed"]
     from ..specs import CLUSTER
@@ -862,8 +862,13 @@ def _cluster_load(spark, sf):
         "blocked": F.when(F.col("c_acctbal") < 0, F.lit("TRUE")).otherwise(F.lit("0")),
     }
     src = c.select(*[(vals.get(n, F.lit(""))).alias(n) for n in order])
-    path = render_csv(spark, src, (sf, "customer", "clusters"))
-    return load(spark, CLUSTER, path, as_of=AS_OF)
+    return render_csv(spark, src, (sf, "customer", "clusters"))
+
+
+def _cluster_load(spark, sf):
+    from ..specs import CLUSTER
+
+    return load(spark, CLUSTER, _cluster_dump_path(spark, sf), as_of=AS_OF)
 
 
 def load_clusters(spark, sf):
@@ -935,6 +940,38 @@ def load_parentheticals(spark, sf):
     return _paren_load(spark, sf).target
 
 
+def load_all_tables(spark, sf):
+    """PIP-1..7 as one load: rows, sum of ids and orphans of every table; no child lacks its parent."""
+    from ..specs import CLUSTER
+    from .load_all import DOCKET, load_all
+
+    li = _t(spark, sf, "lineitem")
+    pl, paren = _paren_lines(spark, sf)
+    code = (F.position(F.col("l_returnflag"), F.lit("ARN")) - 1) * 2 + (F.col("l_linestatus") == "O").cast("int")
+    cites = F.concat_ws(",", _s(_li_ob() * 6 + code), _s("l_linenumber"), "l_returnflag", "l_linestatus", _s("l_suppkey"), _s("l_orderkey"))
+    joined = F.concat_ws(",", _s(_li_ob()), _s("l_orderkey"), _s("l_linenumber"))
+    cited = F.concat_ws(",", _s(_li_ob()), _s(F.col("l_quantity").cast("int")), _s("l_partkey"), _s("l_suppkey"))
+    dumps = {
+        CLUSTER.name: _cluster_dump_path(spark, sf),
+        OPINION.name: render_csv(spark, _opinion_src(spark, sf), (sf, "documents", "opinions")),
+        PANEL.name: _panel_lines_path(spark, sf),
+        SEARCH_CITATION.name: render_lines(spark, li, cites, "id,volume,reporter,page,type,cluster_id", (sf, "lineitem", "all-citations")),
+        JOINED_BY.name: render_lines(spark, li, joined, "id,opinion_id,person_id", (sf, "lineitem", "joined_by")),
+        CITED.name: render_lines(spark, li, cited, "id,depth,cited_opinion_id,citing_opinion_id", (sf, "lineitem", "cited"), sort=LI_SORT),
+        PARENTHETICAL.name: render_lines(spark, pl, paren, PAREN_HEADER, (sf, "lineitem", "parentheticals"), sort=LI_SORT),
+    }
+    dockets = _t(spark, sf, "nation").select(
+        F.when(F.col("n_nationkey") > 0, F.col("n_nationkey")).otherwise(S.DOCKET_SENTINEL).cast("int").alias("id")
+    )
+    done = load_all(spark, dumps, scratch_path(spark, "load-all"), parents={DOCKET: dockets}, as_of=AS_OF)
+    orphans = done.orphans().groupBy(F.col("child").alias("table")).agg(F.sum("orphans").alias("orphans"))
+    out = None
+    for name, rows in done.tables.items():
+        part = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("id").cast("long")).alias("id_sum")).select(F.lit(name).alias("table"), "rows", "id_sum")
+        out = part if out is None else out.unionByName(part)
+    return out.join(orphans, "table", "left").select("table", "rows", "id_sum", F.coalesce("orphans", F.lit(0).cast("long")).alias("orphans"))
+
+
 def stream_equals_batch(spark, sf):
     """STR-1: the panel dump loaded as a file stream (available-now trigger) equals the batch load."""
     from ..streaming.incremental import load_stream
@@ -1210,6 +1247,19 @@ ORACLES: dict[str, str] = {
         SELECT 1, 'PLACEHOLDER', 0.0, 1, 1, 1
         WHERE EXISTS (SELECT 1 FROM gr) AND 1 NOT IN {ORDERS_F_SQL} AND NOT EXISTS (SELECT 1 FROM r WHERE id = 1)""",
 }
+ORACLES["load_all_tables"] = """
+  WITH li AS (SELECT *, l_orderkey * 8 + l_linenumber AS ob FROM lineitem),
+  ids("table", id) AS (
+    SELECT 'search_docket', CASE WHEN n_nationkey > 0 THEN n_nationkey ELSE 2147483647 END FROM nation
+    UNION SELECT 'search_opinioncluster', unnest([c_custkey]) FROM customer UNION SELECT 'search_opinioncluster', doc_id FROM documents
+    UNION SELECT 'search_opinioncluster', l_orderkey FROM li
+    UNION SELECT 'search_opinion', doc_id FROM documents UNION SELECT 'search_opinion', unnest([l_orderkey, l_partkey, l_suppkey, 1]) FROM li
+    UNION SELECT 'search_parentheticalgroup', unnest([l_orderkey, 1]) FROM li
+    UNION SELECT 'search_parenthetical', unnest([ob, 1]) FROM li UNION SELECT 'search_opinionscited', ob FROM li
+    UNION SELECT 'search_opinion_joined_by', ob FROM li
+    UNION SELECT 'search_opinioncluster_panel', ob FROM li WHERE NOT (l_returnflag = 'R' AND l_linestatus = 'F')
+    UNION SELECT 'search_citation', ob * 6 + (position(l_returnflag IN 'ARN') - 1) * 2 + (l_linestatus = 'O')::INT FROM li)
+  SELECT "table", count(*) AS rows, sum(id)::BIGINT AS id_sum, 0::BIGINT AS orphans FROM ids GROUP BY 1"""
 _PANEL_REPAIRS = f"""
   SELECT row_number() OVER (ORDER BY ob, om) - 1 AS pos, l_orderkey, bad, NOT bad AND l_orderkey NOT IN {ORDERS_F_SQL} AS lacks,
     NOT bad AND row_number() OVER (PARTITION BY l_orderkey, l_linenumber, bad ORDER BY om) = 1 AS first
@@ -1298,6 +1348,7 @@ QUERIES: dict[str, Query] = {
     "load_citation_map": load_citation_map,
     "load_reporter_citations": load_reporter_citations,
     "load_parentheticals": load_parentheticals,
+    "load_all_tables": load_all_tables,
     "stream_equals_batch": stream_equals_batch,
 }
 

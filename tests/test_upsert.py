@@ -3,6 +3,8 @@ import random
 from pyspark.sql import functions as F
 
 import models
+import pytest
+from relload.operators import upsert
 from relload.operators.upsert import upsert_ignore, upsert_last, upsert_natural
 
 
@@ -15,11 +17,13 @@ def _statuses(up):
     return [r.status for r in up.status.orderBy(F.col("_ord._ob")).collect()]
 
 
-def test_natural_key_dirty_components_match_sequential_replay(spark):
+@pytest.mark.parametrize("in_one_task", [0, 12, 10**6])
+def test_conflicting_rows_match_sequential_replay(spark, in_one_task, monkeypatch):
+    monkeypatch.setattr(upsert, "REPLAY_ROWS", in_one_task)  # rounds only, rounds and then a replay, a replay only
     rnd = random.Random(3)
-    for trial in range(4):
+    for trial in range(2):
         existing = [(i, f"k{i % 5}") for i in range(3)] if trial % 2 else []
-        rows = [(rnd.randint(0, 8), f"k{rnd.randint(0, 6)}", rnd.random() < 0.85) for _ in range(60)]
+        rows = [(rnd.randint(0, 14), f"k{rnd.randint(0, 11)}", rnd.random() < 0.85) for _ in range(24)]
         state, st = models.natural_replay(existing, rows)
         data = [(s, i, k, ok, None if ok else "FK violation") for s, (i, k, ok) in enumerate(rows)]
         r = _rows(spark, data, "seq long, id long, k string, _ok boolean, _fkr string")
@@ -47,6 +51,22 @@ def test_ignore_and_last_match_sequential(spark):
     assert _statuses(up) == st
 
 
+def test_a_large_component_is_settled_in_few_rounds(spark, monkeypatch):
+    """One component of 40,000 rows (a ring of ids shared by neighbouring keys): set operations over all of it."""
+    monkeypatch.setattr(upsert, "REPLAY_ROWS", 0)
+    rounds = []
+    settle = upsert._settle
+    monkeypatch.setattr(upsert, "_settle", lambda e, s: settle(e, s) if rounds.append(1) or len(rounds) <= 4 else 1 / 0)
+    n = 20_000
+    first = [(i, i, f"k{i}", True, None) for i in range(n)]
+    second = [(2 * n - i, i, f"k{(i + 1) % n}", True, None) for i in range(n)]  # each id asked for by the next key, the last first
+    r = _rows(spark, first + second, "seq long, id long, k string, _ok boolean, _fkr string")
+    up = upsert_natural(r, None, ["id", "k"], ["k"], ["id"])
+    got = {x["status"]: x["count"] for x in up.status.groupBy("status").count().collect()}
+    assert got == {"inserted": n, "rejected": n} and up.target.count() == n
+    assert len(rounds) <= 4
+
+
 def test_hot_key_runs_are_compressed_but_exact(spark):
     rnd = random.Random(11)
     rows = []
