@@ -12,7 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark():
     from relload.session import local_session
 
-    s = local_session(cpus="*", shuffle_partitions=8, app="relload-tests")
+    s = local_session(cpus="*", shuffle_partitions=4, app="relload-tests")
+    s.conf.set("spark.sql.codegen.wholeStage", "false")  # the tables are tiny: compiling their plans costs more than running them
     yield s
 
 

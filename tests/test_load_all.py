@@ -56,7 +56,7 @@ def test_no_child_lacks_its_parent(spark, tmpdir_path, dumps):
     assert done.totals["search_opinioncluster_panel"]["rejected"] == 1 and done.totals["search_citation"]["placeholders"] == 1
     read = spark.read.parquet(f"{out}/search_opinioncluster")
     assert sorted(r.id for r in read.select("id").collect()) == ids["search_opinioncluster"]
-    assert {r.part for r in read.select("part").collect()} == {"loaded", f"for-{OPINION.name}", f"for-{PANEL.name}", f"for-{SEARCH_CITATION.name}"}
+    assert {r.part for r in read.select("part").collect()} == {"loaded", *(f"for-{s.name}" for s in (OPINION, PANEL, SEARCH_CITATION, JOINED_BY))}
     bad = spark.read.options(header=True, escape='"', multiLine=True).csv(os.path.join(tmpdir_path, "bad", CLUSTER.name)).collect()
     assert len(bad) == 1 and bad[0].reason == "FK violation: docket_id=99 not found in search_docket"
 
