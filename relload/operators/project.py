@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.dialects import split_fields
 from ..plans.joins import bounded_broadcast
-from ..sources.assemble import Dump, check_required, distinct_headers, header_names, position_of
+from ..sources.assemble import Dump, check_required, common_header, header_names, position_of
 from ..specs import TableSpec
 
 ORDINAL = ("_p", "_ob", "_om")
@@ -53,12 +53,11 @@ def _typed(kind: str, v: Column) -> Column:
 
 def _with_positions(dump: Dump, spec: TableSpec, check_header: bool = True):
     """Records with ``_cols`` and a function name -> field Column (SRC-1, SRC-7)."""
-    layouts = distinct_headers(dump.headers, spec.dialect)
+    names = common_header(dump.headers, spec.dialect)
     if check_header:
-        check_required(layouts, spec.required, spec.name)
+        check_required(dump.headers, spec.dialect, spec.required, spec.name)
     recs = dump.records.withColumn("_cols", split_fields(F.col("raw"), spec.dialect))
-    if len(layouts) == 1:
-        names = layouts[0]
+    if names is not None:
         pos = {}
         for i, n in enumerate(names):
             pos[n] = i  # last duplicate wins
@@ -171,14 +170,15 @@ def parse_records(dump: Dump, spec: TableSpec, strict: bool = True, check_header
 
     # columns a caller attached to the records ride along untouched
     carried = [c for c in dump.records.columns if c not in (*ORDINAL, "line_no", "raw")]
-    typed = recs.select(*out, *carried, F.col("_hsize"), F.col("_cols"))
+    header = [c for c in recs.columns if c == "_hdr"]  # the checks look names up in it where files differ
+    typed = recs.select(*out, *carried, F.col("_hsize"), F.col("_cols"), *header)
     fails = [F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(cat).alias("category"), msg.alias("reason"))) for cond, cat, msg in checks]
     typed = typed.withColumn("_fails", F.filter(F.array(*fails), lambda s: s.isNotNull()))
     return (
         typed.withColumn("reasons", F.transform("_fails", lambda s: s["reason"]))
         .withColumn("reason", F.get("_fails", 0)["reason"])
         .withColumn("category", F.get("_fails", 0)["category"])
-        .drop("_fails", "_hsize", "_cols")
+        .drop("_fails", "_hsize", "_cols", "_hdr")
     )
 
 

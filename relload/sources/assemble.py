@@ -416,22 +416,21 @@ def header_names(headers: DataFrame, dialect: str) -> DataFrame:
     return headers.select("_p", F.transform(split_fields(F.col("header"), dialect), lambda c: ctrim(c)).alias("_hdr"))
 
 
-def distinct_headers(headers: DataFrame, dialect: str, limit: int = 1000) -> list[list[str]]:
-    """The distinct header layouts of a dump (normally one).  Bounded: fails above ``limit``."""
-    rows = header_names(headers, dialect).select("_hdr").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct header layouts in one dump")
-    return [list(r["_hdr"]) for r in rows]
-
-
-def check_required(layouts: list[list[str]], required: Sequence[str], table: str) -> None:
-    """SRC-7: fail before any load work when a file is empty or lacks a required column."""
-    if not layouts:
+def common_header(headers: DataFrame, dialect: str) -> list[str] | None:
+    """The one header layout of all files (the usual case), or None where files differ."""
+    rows = header_names(headers, dialect).select("_hdr").distinct().limit(2).collect()
+    return list(rows[0]["_hdr"]) if len(rows) == 1 else None
+
+
+def check_required(headers: DataFrame, dialect: str, required: Sequence[str], table: str) -> None:
+    """SRC-7: fail before any load work when there is no header at all or one lacks a required column."""
+    names = header_names(headers, dialect)
+    lacks = F.array_except(F.array(*map(F.lit, required)), F.col("_hdr")) if required else F.array().cast("array<string>")
+    bad = names.select(lacks.alias("lacks")).where(F.size("lacks") > 0).limit(1).collect()
+    if bad:
+        raise ValueError(f"{table}: header lacks required column(s) {list(bad[0]['lacks'])}")
+    if names.limit(1).count() == 0:
         raise ValueError(f"{table}: dump is empty (no header line)")
-    for names in layouts:
-        missing = [c for c in required if c not in names]
-        if missing:
-            raise ValueError(f"{table}: header lacks required column(s) {missing}")
 
 
 def position_of(hdr: Column, name: str) -> Column:

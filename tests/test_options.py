@@ -85,3 +85,14 @@ def test_opinions_preview(spark, tmpdir_path):
     text = ",".join(OPINION.names) + "\n" + "".join(f'{i},2020-01-01,2020-01-02,010,s,,,"a\nb","","","","",f,,5,f,,"","","","",,\n' for i in range(1, 30))
     r = load(spark, OPINION, write(os.path.join(tmpdir_path, "o.csv"), text), limit=3, parse_only=True)
     assert [(x.id, x.plain_text) for x in r.target.orderBy("id").collect()] == [(1, "a\nb"), (2, "a\nb"), (3, "a\nb")]
+
+
+def test_files_of_different_layouts(spark, tmpdir_path):
+    write(os.path.join(tmpdir_path, "a.csv"), PANELS + "1,2,3\n")
+    write(os.path.join(tmpdir_path, "b.csv"), "person_id,id,opinioncluster_id\n30,10,20\n")
+    r = load(spark, PANEL, tmpdir_path)
+    assert sorted(map(tuple, r.target.collect())) == [(1, 2, 3), (10, 20, 30)]
+    r.release()  # what was cached of the folder must not stand for it once it has another file
+    write(os.path.join(tmpdir_path, "c.csv"), "id,person_id\n4,5\n")
+    with pytest.raises(ValueError, match="opinioncluster_id"):
+        load(spark, PANEL, tmpdir_path)
