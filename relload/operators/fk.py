@@ -1,8 +1,9 @@
 """Foreign-key membership, violation and the missing-parent sets (JON-1..4, FKR-1, AGG-6).
 
-Parents are read as key sets (``SELECT id``, SRC-8).  All checks are equi-joins,
-so Catalyst chooses broadcast hash (small parent) or sort-merge (large parent);
-AQE splits a skewed child key.  NULL foreign keys reference nothing and never
+Parents are read as key sets (``SELECT id``, SRC-8).  Semi and anti joins are plain
+equi-joins, so Catalyst chooses broadcast hash (small parent) or sort-merge (large
+parent) and AQE splits a skewed child key; flags for wide rows are looked up without
+moving them (:func:`with_presence`).  NULL foreign keys reference nothing and never
 violate.
 """
 
@@ -13,7 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import BROADCAST_ROW_LIMIT, bounded_broadcast, is_broadcast
+
+BITMAP_LIMIT = 16_384  # bitmaps of 4 KB broadcast at most (64 MB): ids out of 537 million consecutive numbers
 
 
 def parent_keys(parent: DataFrame, key: str = "id") -> DataFrame:
@@ -35,13 +38,33 @@ def fk_missing(child: DataFrame, col: str, keys: DataFrame) -> DataFrame:
     return child.filter(F.col(col).isNotNull()).join(_keyed(keys, col), col, "left_anti")
 
 
-def with_presence(child: DataFrame, col: str, keys: DataFrame | None, flag: str) -> DataFrame:
+def _missing_bits(missing: DataFrame) -> DataFrame:
+    """The ids as bitmaps: one row of 4 KB for every 32,768 consecutive numbers that hold one."""
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("__bits")
+    return missing.groupBy(F.bitmap_bucket_number("id").alias("__bucket")).agg(bits)
+
+
+def _has_bit(bits: Column, id_: Column) -> Column:
+    at = F.bitmap_bit_position(id_)
+    byte = F.conv(F.hex(F.substring(bits, (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (at % 8).cast("int")) == 1
+
+
+def with_presence(
+    child: DataFrame,
+    col: str,
+    keys: DataFrame | None,
+    flag: str,
+    row_limit: int = BROADCAST_ROW_LIMIT,
+    bitmap_limit: int = BITMAP_LIMIT,
+) -> DataFrame:
     """Add boolean ``flag``: the row's parent exists, or its FK is NULL, or no parent set was given.
 
-    Presence is decided once per distinct FK value (a narrow table), which is
-    broadcast when its row count is under the bound, so the (possibly wide)
-    child rows are not shuffled for the lookup; above the bound it is a plain
-    equi-join.
+    Presence is decided once per distinct FK value, on narrow tables of ids, so that the
+    (possibly wide) child rows stay where they are.  What is broadcast is the first of
+    these that its counted bound allows: all distinct values with their answer; the
+    missing ids; the missing ids as bitmaps (``BITMAP_LIMIT`` of 4 KB).  Only if there are
+    many missing ids that lie too far apart for that, the child is joined by a shuffle.
     """
     if keys is None:
         return child.withColumn(flag, F.lit(True))
@@ -49,9 +72,21 @@ def with_presence(child: DataFrame, col: str, keys: DataFrame | None, flag: str)
     hits = vals.join(keys.select("id").distinct().withColumn("__hit", F.lit(True)), "id", "left").select(
         F.col("id").alias(f"__{flag}"), F.coalesce(F.col("__hit"), F.lit(False)).alias(f"__{flag}_hit")
     )
-    joined = child.join(bounded_broadcast(hits), child[col] == F.col(f"__{flag}"), "left")
-    present = F.col(col).isNull() | F.coalesce(F.col(f"__{flag}_hit"), F.lit(False))
-    return joined.withColumn(flag, present).drop(f"__{flag}", f"__{flag}_hit")
+    hits = bounded_broadcast(hits, row_limit)
+    if is_broadcast(hits):
+        joined = child.join(hits, child[col] == F.col(f"__{flag}"), "left")
+        present = F.col(col).isNull() | F.coalesce(F.col(f"__{flag}_hit"), F.lit(False))
+        return joined.withColumn(flag, present).drop(f"__{flag}", f"__{flag}_hit")
+    missing = bounded_broadcast(hits.filter(~F.col(f"__{flag}_hit")).select(F.col(f"__{flag}").alias("id")), row_limit)
+    if not is_broadcast(missing):
+        bits = bounded_broadcast(_missing_bits(missing), bitmap_limit)
+        if is_broadcast(bits):
+            at = F.col(col).cast("int")
+            joined = child.join(bits, F.bitmap_bucket_number(at) == F.col("__bucket"), "left")
+            lost = F.col("__bits").isNotNull() & _has_bit(F.col("__bits"), at)
+            return joined.withColumn(flag, ~F.coalesce(lost, F.lit(False))).drop("__bucket", "__bits")
+    lost = missing.select(F.col("id").alias(f"__{flag}"))
+    return child.join(lost, child[col] == F.col(f"__{flag}"), "left").withColumn(flag, F.col(f"__{flag}").isNull()).drop(f"__{flag}")
 
 
 def missing_list(checks: Sequence[tuple[str, str]]) -> Column:

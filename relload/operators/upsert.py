@@ -346,9 +346,11 @@ def upsert_natural(
         inc.filter(F.col("_c").isNotNull())
         .join(dirty_ids.withColumn("_idd", F.lit(True)), "id", "left")
         .withColumn("_idd", F.coalesce(F.col("_idd"), F.lit(False)))
+        .repartitionByRange("_k", "_ord")
         .withColumn("_src", F.monotonically_increasing_id())
+        .withColumn("_slice", F.spark_partition_id())
     )
-    dirty_inc = _written(dirty_inc, "conflicts")  # fixes _src for the joins back below
+    dirty_inc = _written(dirty_inc, "conflicts")  # fixes _src and _slice for the joins back below
     kept, middle = _compress_clean_runs(dirty_inc)
     key = F.to_json("_k").alias("_k")
     events = kept.select(key, F.col("id").cast("long").alias("id"), "_ok", "_fkr", "_src", "_ord")
@@ -395,20 +397,23 @@ def _compress_clean_runs(dirty_inc: DataFrame) -> tuple[DataFrame, DataFrame]:
     clean row (it frees the key's previous id) and the last one (the key's id
     from then on) can matter to other keys.  So per key every run of clean rows
     is cut to its first and last row: the rounds grow with the conflicting
-    rows, not with how often a key repeats.  Runs are numbered by joining each key's sorted dirty-row
-    ordinals (an aggregate over dirty rows only) and counting those before the row.
+    rows, not with how often a key repeats.  A run's number is how many dirty rows of
+    its key come before it: counted inside each slice of the rows (``_slice``, cut by key
+    and ordinal, so a hot key spans many), plus the counts of the key's earlier slices.
     """
-    dirty_rows = dirty_inc.filter(F.col("_idd"))
-    marks = dirty_rows.groupBy("_k").agg(F.array_sort(F.collect_list("_ord")).alias("_dords"))
-    clean = dirty_inc.filter(~F.col("_idd")).join(marks, "_k", "left")
-    clean = clean.withColumn(
-        "_run", F.size(F.filter(F.coalesce(F.col("_dords"), F.array()), lambda d: d < F.col("_ord")))
-    ).drop("_dords")
+    dirty = F.col("_idd").cast("long")
+    slices = dirty_inc.groupBy("_k", "_slice").agg(F.sum(dirty).alias("_n"))
+    earlier = Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select("_k", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.sum(dirty).over(Window.partitionBy("_k", "_slice").orderBy("_ord").rowsBetween(Window.unboundedPreceding, 0))
+    rows = dirty_inc.withColumn("_inside", inside).join(slices, ["_k", "_slice"])
+    rows = rows.withColumn("_run", F.col("_before") + F.col("_inside")).drop("_before", "_inside")
+    dirty_rows, clean = rows.filter("_idd"), rows.filter("NOT _idd")
     ends = clean.groupBy("_k", "_run").agg(F.min("_ord").alias("_rfirst"), F.max("_ord").alias("_rlast"))
     clean = clean.join(ends, ["_k", "_run"])
     is_first = F.col("_ord") == F.col("_rfirst")
     is_end = is_first | (F.col("_ord") == F.col("_rlast"))
     kept_clean = clean.filter(is_end).withColumn("_runfirst", is_first).drop("_rfirst", "_rlast")
     middle = clean.filter(~is_end).drop("_rfirst", "_rlast")
-    kept = dirty_rows.withColumn("_run", F.lit(-1)).withColumn("_runfirst", F.lit(False)).unionByName(kept_clean)
+    kept = dirty_rows.withColumn("_run", F.lit(-1).cast("long")).withColumn("_runfirst", F.lit(False)).unionByName(kept_clean)
     return kept, middle

@@ -706,7 +706,7 @@ def upsert_natural_key4(spark, sf):
 
 
 def upsert_natural_dirty(spark, sf):
-    """UPS-4 with ids shared by several keys: exact replay of the dirty components (rows-only check)."""
+    """UPS-4 with ids shared by several keys: the first key of an id keeps it, and a key moves on to its last id."""
     r = _nat_rows(spark, sf)
     cols = ["id", "l_partkey", "l_suppkey", "type"]
     up = upsert_natural(r, None, cols, ["l_partkey", "l_suppkey"], ["id", "type"])
@@ -729,6 +729,24 @@ def upsert_natural_moves(spark, sf):
     return upsert_natural(r, None, cols, ["l_orderkey", "l_linenumber"], ["id", "type"]).target
 
 
+def _contested(spark, sf):
+    """Lines of an order that ask for few ids in turn: ids are claimed, refused, released and claimed again."""
+    r = _nat_rows(spark, sf).withColumn("id", F.col("l_orderkey") * 8 + F.col("l_partkey") % 4).withColumn("k", F.col("l_suppkey") % 3)
+    cols = ["id", "l_orderkey", "k", "type"]
+    return upsert_natural(r, None, cols, ["l_orderkey", "k"], ["id", "type"])
+
+
+def upsert_natural_contested(spark, sf):
+    """UPS-4 where ids change hands within an order: the final rows."""
+    return _contested(spark, sf).target
+
+
+def upsert_natural_contested_status(spark, sf):
+    """UPS-4 where ids change hands within an order: how many rows of each order were inserted, updated and refused."""
+    st = _contested(spark, sf).status.withColumn("l_orderkey", F.floor(F.col("_ord._ob") / 8))
+    return st.groupBy("l_orderkey", "status").agg(F.count("*").alias("n"))
+
+
 # ------------------------------------------------------------------ AGG / SNK: report and outputs
 
 
@@ -1020,6 +1038,22 @@ _PAREN_SQL_ROWS = """
          row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rn
   FROM lineitem"""
 
+# Replay of each order's rows in turn; ``held`` are the rows of its keys so far.
+_CONTESTED_SQL = """e AS (
+          SELECT l_orderkey, l_orderkey * 8 + l_partkey % 4 AS id, l_suppkey % 3 AS k, l_suppkey AS type,
+                 row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS nth
+          FROM lineitem
+        ), step AS (
+          SELECT DISTINCT l_orderkey, 0::BIGINT AS nth, []::STRUCT(id BIGINT, k BIGINT, type BIGINT)[] AS held, '' AS status FROM e
+          UNION ALL
+          SELECT e.l_orderkey, e.nth,
+                 CASE WHEN len(list_filter(s.held, lambda x: x.id = e.id AND x.k <> e.k)) > 0 THEN s.held
+                      ELSE list_append(list_filter(s.held, lambda x: x.k <> e.k), {'id': e.id::BIGINT, 'k': e.k::BIGINT, 'type': e.type::BIGINT}) END,
+                 CASE WHEN len(list_filter(s.held, lambda x: x.id = e.id AND x.k <> e.k)) > 0 THEN 'rejected'
+                      WHEN len(list_filter(s.held, lambda x: x.k = e.k)) > 0 THEN 'updated' ELSE 'inserted' END
+          FROM step s JOIN e ON e.l_orderkey = s.l_orderkey AND e.nth = s.nth + 1
+        ), last AS (SELECT l_orderkey, arg_max(held, nth) AS held FROM step GROUP BY 1)"""
+
 ORACLES: dict[str, str] = {
     "assemble_parity": "SELECT doc_id, text FROM documents",
     "assemble_parity_pattern": "SELECT doc_id, text FROM documents",
@@ -1189,6 +1223,18 @@ ORACLES: dict[str, str] = {
                           count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n
                    FROM lineitem)
         SELECT (l_orderkey * 8 + l_linenumber) * 64 + rn AS id, l_orderkey, l_linenumber, l_suppkey AS type FROM r WHERE rn = n""",
+    # the rows of an id follow one another, so it stays with the first row's key; among the rows let in, a key's last one stands
+    "upsert_natural_dirty": """
+        WITH r AS (SELECT *, first_value(l_partkey) OVER w AS p1, first_value(l_suppkey) OVER w AS s1 FROM lineitem
+                   WINDOW w AS (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey)),
+        q AS (SELECT l_orderkey * 8 + l_linenumber AS id, l_partkey, l_suppkey,
+                     row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_orderkey DESC, l_linenumber DESC) AS rn
+              FROM r WHERE l_partkey = p1 AND l_suppkey = s1)
+        SELECT id, l_partkey, l_suppkey, l_suppkey AS type FROM q WHERE rn = 1""",
+    "upsert_natural_contested": f"""WITH RECURSIVE {_CONTESTED_SQL}
+        SELECT x.id AS id, l_orderkey, x.k AS k, x.type AS type FROM (SELECT l_orderkey, unnest(held) AS x FROM last)""",
+    "upsert_natural_contested_status": f"""WITH RECURSIVE {_CONTESTED_SQL}
+        SELECT l_orderkey, status, count(*) AS n FROM step WHERE nth > 0 GROUP BY ALL""",
     "load_report": f"""SELECT CAST(floor(pos / 5000) AS BIGINT) AS batch, {_COUNTS_SQL},
         min(pos) AS first_pos, max(pos) AS last_pos FROM ({_PANEL_OUTCOMES}) GROUP BY 1""",
     "load_totals": f"SELECT {_COUNTS_SQL} FROM ({_PANEL_OUTCOMES})",
@@ -1329,6 +1375,8 @@ QUERIES: dict[str, Query] = {
     "upsert_natural_dirty": upsert_natural_dirty,
     "upsert_natural_claims": upsert_natural_claims,
     "upsert_natural_moves": upsert_natural_moves,
+    "upsert_natural_contested": upsert_natural_contested,
+    "upsert_natural_contested_status": upsert_natural_contested_status,
     "load_report": load_report,
     "load_totals": load_totals,
     "load_report_placeholders": load_report_placeholders,
