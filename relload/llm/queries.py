@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,17 +131,45 @@ WITH RECURSIVE rules(verdict, host, path, len) AS (
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^#]*)', 1) AS rest
   FROM pages
 ), t AS (
-  SELECT *, unnest([regexp_extract(regexp_extract(html, '(?is)<link\s[^>]*rel\s*=\s*["'']?canonical[^>]*>'), '(?is)href\s*=\s*["'']?([^"''\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?is)<meta\s[^>]*http-equiv\s*=\s*["'']?refresh[^>]*>'), '(?is)url\s*=\s*["'']?([^"''\s>]+)', 1)]) AS target FROM p
+  SELECT host, path, rest, regexp_replace(tag, '^<[A-Za-z]+', '') AS inside, regexp_matches(tag, '(?i)^<link') AS is_link
+  FROM (SELECT host, path, rest, unnest(regexp_extract_all(html, '@MARKUP@')) AS tag FROM p WHERE host <> '')
+  WHERE regexp_matches(tag, '(?i)^<(link|meta)[\s/]') AND ends_with(tag, '>')
+), v AS (
+  SELECT *, list_transform(regexp_extract_all(inside, '@ATTRIBUTE@', 1), lambda x: lower(x)) AS names,
+    list_transform(regexp_extract_all(inside, '@ATTRIBUTE@', 2), lambda x: CASE WHEN regexp_matches(x, '^["'']') THEN x[2:-2] ELSE coalesce(x, '') END) AS vals FROM t
+), w AS (
+  SELECT host, path, rest, is_link, CASE WHEN is_link THEN vals[list_position(names, 'href')] ELSE vals[list_position(names, 'content')] END AS val FROM v
+  WHERE CASE WHEN is_link THEN list_contains(regexp_split_to_array(lower(vals[list_position(names, 'rel')]), '\s+'), 'canonical')
+    ELSE trim(lower(vals[list_position(names, 'http-equiv')])) = 'refresh' END
+), c AS (
+  SELECT * EXCLUDE (val), array_to_string(list_transform(
+    regexp_extract_all(val, '(?s)(&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*[;=]?|[^&]+|&)'),
+    lambda x: CASE WHEN starts_with(x, '&#') AND length(x) > 2 THEN (
+        CASE WHEN length(regexp_extract(x, '^&#[xX]?0*([0-9a-fA-F]*);?$', 1)) NOT BETWEEN 1 AND 7 THEN chr(65533)
+          WHEN (CASE WHEN x[3] IN ('x', 'X') THEN '0x' ELSE '' END || regexp_extract(x, '^&#[xX]?0*([0-9a-fA-F]*);?$', 1))::BIGINT BETWEEN 55296 AND 57343
+            OR (CASE WHEN x[3] IN ('x', 'X') THEN '0x' ELSE '' END || regexp_extract(x, '^&#[xX]?0*([0-9a-fA-F]*);?$', 1))::BIGINT > 1114111 THEN chr(65533)
+          ELSE chr((CASE WHEN x[3] IN ('x', 'X') THEN '0x' ELSE '' END || regexp_extract(x, '^&#[xX]?0*([0-9a-fA-F]*);?$', 1))::INT) END)
+      WHEN starts_with(x, '&') THEN coalesce(named[x], x) ELSE x END), '') AS val
+  FROM w, (SELECT @NAMES@ AS named)
+), g AS (
+  SELECT host, path, rest, trim(regexp_replace(CASE WHEN is_link THEN val WHEN regexp_extract(val, '@REFRESH_URL@', 1) <> '' THEN regexp_extract(val, '@REFRESH_URL@', 1)
+    WHEN regexp_extract(val, '@REFRESH_BARE@', 1) NOT ILIKE 'url%' THEN regexp_extract(val, '@REFRESH_BARE@', 1) END, '[\t\r\n]', '', 'g')) AS target FROM c
 ), f AS (
-  SELECT host || rest AS a, CASE WHEN contains(target, '://') THEN target WHEN starts_with(target, '//') THEN 'http:' || target
-    WHEN starts_with(target, '/') THEN 'http://' || host || target
+  SELECT host || rest AS a, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target WHEN starts_with(target, '//') THEN 'http:' || target
+    WHEN starts_with(target, '/') THEN 'http://' || host || target WHEN starts_with(target, '?') THEN 'http://' || host || path || target
+    WHEN starts_with(target, '#') OR regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
     ELSE 'http://' || host || CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END || target END AS goal
-  FROM t WHERE target <> '' AND host <> ''
-), e AS (
-  SELECT a, translate(regexp_extract(goal, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
-    || regexp_extract(goal, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS b FROM f
-), sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+  FROM g WHERE target <> ''
+), h AS (
+  SELECT a, translate(regexp_extract(goal, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS gh,
+    regexp_extract(goal, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS gp, regexp_extract(goal, '(?s)^.*?://[^?#]*(\?[^#]*)', 1) AS gq FROM f WHERE goal IS NOT NULL
+), d AS (
+  SELECT a, gh || gp || gq AS raw, gh || CASE WHEN regexp_matches(gp, '(?i)/(\.|%2e){1,2}(/|$)') THEN array_to_string(
+      list_reduce(list_transform(string_split(gp, '/'), lambda s: [s]), lambda done, s: CASE WHEN regexp_matches(s[1], '(?i)^(\.|%2e)$') THEN done
+        WHEN regexp_matches(s[1], '(?i)^(\.|%2e){2}$') THEN CASE WHEN len(done) > 1 THEN done[:len(done) - 1] ELSE done END ELSE list_concat(done, s) END, []::VARCHAR[])
+      || CASE WHEN regexp_matches(gp, '(?i)/(\.|%2e){1,2}$') THEN [''] ELSE []::VARCHAR[] END, '/') ELSE gp END || gq AS b FROM h WHERE gh <> ''
+), e AS (SELECT a, b FROM d UNION SELECT raw, b FROM d),
+sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 nodes AS (SELECT DISTINCT a AS node, regexp_extract(a, '^([^/?#]*)', 1) AS host, regexp_extract(a, '^[^/?#]*([^?#]*)', 1) AS path FROM sym),
 bad AS (
   SELECT node FROM (SELECT node, arg_max(r.verdict, r.len * 1000 + length(r.host)) AS verdict FROM nodes n JOIN rules r
@@ -249,3 +279,14 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGIN
   sha256(t) AS restored_sha256 FROM o
 """,
 }
+
+
+def _with_url_patterns(sql: str) -> str:
+    """``sql`` with the operator's patterns of markup (DuckDB's need no possessive marks) and the names of character references."""
+    quoted = lambda x: x.replace("'", "''")
+    for name in ("MARKUP", "ATTRIBUTE", "REFRESH_URL", "REFRESH_BARE"):
+        sql = sql.replace(f"@{name}@", quoted(getattr(urls, name).replace("++", "+").replace("*+", "*")))
+    return sql.replace("@NAMES@", "MAP {" + ", ".join(f"'&{k}': '{quoted(v)}'" for k, v in html5.items()) + "}")
+
+
+ORACLES["op3_url_filter"] = _with_url_patterns(ORACLES["op3_url_filter"])

@@ -21,10 +21,13 @@ from relload.llm.components import connected_components
 # Fixed patterns: where host and path of an address lie, and the tags that redirect.
 HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
-CANONICAL_TAG = r"(?is)<link\s[^>]*rel\s*=\s*[\"']?canonical[^>]*>"
-HREF = r"(?is)href\s*=\s*[\"']?\s*([^\"'\s>]+)"
-REFRESH_TAG = r"(?is)<meta\s[^>]*http-equiv\s*=\s*[\"']?refresh[^>]*>"
-REFRESH_URL = r"(?is)url\s*=\s*[\"']?([^\"'\s>]+)"
+# One piece of markup from left to right: a comment, an element whose content is no markup, a tag up to its ``>`` outside quotes.
+RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
+MARKUP = "|".join([r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))", *(rf"<{x}[\s/>].*?(?:</{x}[\s/>]|\z)" for x in RAW)])
+MARKUP += r"""|</?[a-z](?:[^>"']++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))*+(?:>|\z)"""
+ATTRIBUTE = r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+REFRESH_URL = r"""(?is)^\s*[0-9.]+\s*[;,\s]\s*url\s*=\s*["']?\s*([^"'\s]+)"""
+REFRESH_BARE = r"""(?is)^\s*[0-9.]+\s*[;,\s]\s*["']?([^"'\s]+)"""
 # A character reference (named ones without a semicolon only where HTML reads them in an attribute), or text between them.
 REFERENCE = r"(?s)(&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*(?:;|(?![=A-Za-z0-9;]))|[^&]+|&)"
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
@@ -92,6 +95,33 @@ def without_dots(url: Column) -> Column:
     return F.when(path_of(url).rlike(r"(?i)/(\.|%2e){1,2}(/|$)"), F.concat(before, F.array_join(kept, "/"), after)).otherwise(url)
 
 
+def tag_targets(html: Column) -> Column:
+    """Addresses that the page's canonical links and refresh tags name, in their order; null html has none.
+
+    Markup is read from left to right, so what comments, scripts and quoted attributes hold
+    is no tag.  Of an attribute given twice the first counts, and a name is the whole name
+    (``data-href`` is no ``href``).
+    """
+
+    def value(tag: Column, name: str) -> Column:
+        inside = F.regexp_replace(tag, "^<[A-Za-z]+", "")
+        names = F.transform(F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(1)), ascii_lower)
+        found = F.get(F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(2)), (F.array_position(names, name) - 1).cast("int"))
+        return F.when(found.rlike("^[\"']"), F.substring(found, F.lit(2), F.length(found) - 2)).otherwise(found)
+
+    def target(tag: Column) -> Column:
+        canonical = tag.rlike("(?i)^<link") & F.array_contains(F.split(ascii_lower(value(tag, "rel")), r"\s+"), "canonical")
+        refresh = tag.rlike("(?i)^<meta") & (ascii_lower(F.trim(value(tag, "http-equiv"))) == "refresh")
+        content = decoded(value(tag, "content"))
+        named, bare = F.regexp_extract(content, REFRESH_URL, 1), F.regexp_extract(content, REFRESH_BARE, 1)
+        later = F.when(named != "", named).when(~bare.rlike("(?i)^url"), bare)
+        return F.when(canonical, decoded(value(tag, "href"))).when(refresh, later)
+
+    tags = F.filter(F.regexp_extract_all(html, F.lit(MARKUP), F.lit(0)), lambda x: x.rlike(r"(?i)^<(link|meta)[\s/]") & x.endswith(">"))
+    clean = lambda x: F.trim(F.regexp_replace(x, r"[\t\r\n]", ""))
+    return F.filter(F.transform(tags, lambda x: clean(target(x))), lambda x: x != "")
+
+
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(a, b): node of a page and node of an address it redirects to or names as canonical, for every such tag.
 
@@ -101,9 +131,7 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     like) give no edge.
     """
     url, html = F.col(url_col), F.col(html_col)
-    named = lambda tag, at: F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, at, 1))
-    tags = pages.where(html.isNotNull()).select(url.alias("url"), F.explode(F.concat(named(CANONICAL_TAG, HREF), named(REFRESH_TAG, REFRESH_URL))).alias("to"))
-    tags = tags.where("to <> ''").select("url", F.trim(decoded(F.col("to"))).alias("to"))
+    tags = pages.where(html.isNotNull()).select(url.alias("url"), F.explode(tag_targets(html)).alias("to"))
     to, url = F.col("to"), F.col("url")
     site = F.concat(F.lit("http://"), host_of(url))
     folder = F.regexp_replace(path_of(url), r"[^/]*$", "")
