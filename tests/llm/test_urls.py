@@ -83,7 +83,7 @@ class _Tags(HTMLParser):
 
 def test_canonical_links_match_an_html_parser(spark):
     # left out: refresh tags, and what this parser reads in another way than the HTML standard
-    odd = ("<meta", "<link<", "<title", "<!-->")
+    odd = ("<meta", "<link<", "<title", "<!-->", "&copy=")
     plain = [(i, p[1]) for i, p in enumerate(PAGES) if p[1] and not any(x in p[1] for x in odd)]
     rows = spark.createDataFrame(plain, "i int, html string").select("i", urls.tag_targets(F.col("html")).alias("to")).collect()
     for r in rows:
