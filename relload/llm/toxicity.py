@@ -9,11 +9,15 @@ Small transducers rewrite the words of a clause one after another:
 * the reported-speech transducer rewrites what follows ``R`` in the clause to ``q``;
 * the target transducer marks an ``I`` or ``T`` beside a ``P`` as ``J`` or ``U``.
 
-Every insult or threat symbol on a rewritten clause adds its count and weight to the
-document's feature of that symbol; clauses are neither accepted nor scored as such, and an
-insult without a target is a feature by itself.  A logistic regression over the features, fitted
-on a bounded sample of labelled rows, learns what each pattern counts for, negated and
-reported ones included.
+A weighted acceptor then reads the rewritten clause.  Its state is the strongest symbol so
+far, its weight the sum of the words with the force of that state (plain before negated
+before reported: a stronger one starts the sum anew).  A clause that ends in such a state
+is accepted as that pattern with that weight, once; a clause without any symbol is not
+accepted and counts for nothing.  A document's features are, by pattern, the number of
+accepted clauses, their weights together and the weight of the strongest one.  A logistic
+regression over them, fitted on a bounded sample of labelled rows, learns what a clause of
+each pattern counts for; an insult that nothing aims at is a pattern of its own, as are
+negated and reported ones.
 """
 
 from __future__ import annotations
@@ -44,7 +48,9 @@ REPORTS = frozenset("said says say told called wrote quoted claims claimed sagte
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[.!?;:,\n\r]+")
 SYMBOLS = "IJTUiqt"
-FEATURES = [f"{s}{x}" for s in SYMBOLS for x in ("n", "w")]
+STRENGTH = {s: n for n, s in enumerate("qitITJU")}  # states of the acceptor, weakest first
+FORCE = {s: 0 if s == "q" else 1 if s in "it" else 2 for s in SYMBOLS}  # reported, negated, plain
+FEATURES = [f"{s}{x}" for s in SYMBOLS for x in ("n", "w", "most")]
 
 
 @dataclass
@@ -101,9 +107,19 @@ def _target(tape: list[str]) -> list[str]:
     return [aimed[s] if s in aimed and "P" in tape[max(0, i - SCOPE) : i + SCOPE + 1] else s for i, s in enumerate(tape)]
 
 
-def clause_patterns(text: str, insult: dict) -> list[tuple[str, float]]:
-    """(symbol, weight) of every accepted word of the clauses of ``text``; ``insult`` maps its insult words to weights."""
-    out = []
+def _accepted(tape: list[str], weights: list[float]) -> tuple[str, float] | None:
+    """State and weight in which the acceptor ends on a rewritten clause; None if it never leaves its start."""
+    state, total = None, 0.0
+    for s, w in zip(tape, weights):
+        if s not in FORCE or (state and FORCE[s] < FORCE[state]):
+            continue
+        total = w if not state or FORCE[s] > FORCE[state] else total + w
+        state = s if not state or STRENGTH[s] > STRENGTH[state] else state
+    return (state, total) if state else None
+
+
+def _tapes(text: str, insult: dict):
+    """(rewritten tape, weights of its words) of every clause that holds an insult or threat word."""
     hot = set(insult) | THREATS
     for clause in CLAUSE.split(text.lower()):
         words = WORD.findall(clause)
@@ -112,12 +128,21 @@ def clause_patterns(text: str, insult: dict) -> list[tuple[str, float]]:
         tape = _lexical(words, insult)
         for rewrite in (_negation, _reported, _target):
             tape = rewrite(tape)
-        out += [(s, insult.get(w, 1.0)) for s, w in zip(tape, words) if s in SYMBOLS]
-    return out
+        yield tape, [insult.get(w, 1.0) for w in words]
+
+
+def clause_patterns(text: str, insult: dict) -> list[tuple[str, float]]:
+    """(symbol, weight) of every insult and threat word of the clauses of ``text``, rewritten; ``insult`` maps its insult words to weights."""
+    return [(s, w) for tape, weights in _tapes(text, insult) for s, w in zip(tape, weights) if s in FORCE]
+
+
+def clause_scores(text: str, insult: dict) -> list[tuple[str, float]]:
+    """(pattern, weight) of every accepted clause of ``text``, in order."""
+    return [hit for tape, weights in _tapes(text, insult) if (hit := _accepted(tape, weights))]
 
 
 def features(text: str, model: Model, memo: dict):
-    """Log counts and log weights of each pattern symbol of one text."""
+    """By pattern: log number of accepted clauses, log of their weights together, log weight of the strongest."""
     import numpy as np
 
     x = np.zeros(len(FEATURES))
@@ -132,10 +157,11 @@ def features(text: str, model: Model, memo: dict):
             insult[w] = weight
         threat = threat or w in THREATS
     if insult or threat:
-        for symbol, weight in clause_patterns(text, insult):
-            i = 2 * SYMBOLS.index(symbol)
+        for symbol, weight in clause_scores(text, insult):
+            i = 3 * SYMBOLS.index(symbol)
             x[i] += 1
             x[i + 1] += weight
+            x[i + 2] = max(x[i + 2], weight)
     return np.log1p(x)
 
 
@@ -233,7 +259,7 @@ def _regression(x, y):
 
 
 def score(docs: DataFrame, model: Model, text_col: str, score_out: str, patterns_out: str) -> DataFrame:
-    """``docs`` with a score from 0 to 1 and the number of matched patterns by symbol.
+    """``docs`` with a score from 0 to 1 and the number of accepted clauses by pattern.
 
     Null and empty texts have no patterns and get the score of a text without any;
     whole texts are read, however long.  Every row is kept, repeated rows each; all
@@ -251,7 +277,7 @@ def score(docs: DataFrame, model: Model, text_col: str, score_out: str, patterns
         for b in batches:
             x = [features(t or "", model, memo) for t in b.column(place).to_pylist()]
             p = [float(1 / (1 + np.exp(-np.clip(v @ w + model.bias, -30, 30)))) for v in x]
-            n = [[(s, int(round(float(np.expm1(v[2 * i]))))) for i, s in enumerate(SYMBOLS) if v[2 * i]] for v in x]
+            n = [[(s, int(round(float(np.expm1(v[3 * i]))))) for i, s in enumerate(SYMBOLS) if v[3 * i]] for v in x]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64()), pa.array(n, pa.map_(pa.string(), pa.int32()))], names=schema.names)
 
     return map_texts(docs, run, schema)

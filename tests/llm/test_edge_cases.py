@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator and stage."""
 
+import itertools
 import zlib
 
 import pytest
@@ -180,6 +181,23 @@ def test_toxicity_grammar():
     assert kinds("a fool.") == "I" and kinds("you fool") == "J" and kinds("no fool here") == "i"
     assert kinds("they said a fool came") == "q" and kinds("they said. a fool came") == "I"
     assert kinds("kill you") == "U" and kinds("nothing here") == ""
+    scores = lambda t: toxicity.clause_scores(t, {"fool": 2.0, "oaf": 0.5})
+    assert scores("nothing. a fool, you oaf! no fool here; fool oaf you") == [("I", 2.0), ("J", 0.5), ("i", 2.0), ("J", 2.5)]
+    assert scores("they said fool oaf") == [("q", 2.5)] and scores("not kill or then came you fool, x") == [("J", 2.0)]
+    assert scores("") == scores("you. said. not.") == []
+
+
+def test_toxicity_acceptor_against_all_paths():
+    """Every tape of four symbols: the strongest force alone is summed, and names the pattern by its strongest symbol."""
+    weights = [1.0, 2.0, 4.0, 8.0]
+    for tape in itertools.product("-NIJTUitq", repeat=4):
+        marked = [(toxicity.FORCE[s], "qitITJU".index(s), s, w) for s, w in zip(tape, weights) if s in "IJTUitq"]
+        want = None
+        if marked:
+            force = max(m[0] for m in marked)
+            path = [m for m in marked if m[0] == force]
+            want = (max(path, key=lambda m: m[1])[2], sum(m[3] for m in path))
+        assert toxicity._accepted(list(tape), weights) == want
 
 
 def test_mixing(odd, none):
