@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from difflib import SequenceMatcher
 from functools import lru_cache
 
@@ -72,7 +73,7 @@ FOUND = ("start", "block_chars", "license", "reduction", "share", "missing", "ex
 SHORT = 12  # templates of fewer words must be held in full: each word may name the license
 NEAR = 16  # words beside a cue line or template phrase that are compared with it
 WINDOW, OVERLAP = 1024, 256  # words compared at once; a template with its extra words fits the overlap
-BEST = 3  # templates whose wording is compared: more cannot change the winner's rank
+CACHED = 4096  # blocks of more characters are not remembered
 
 
 @lru_cache(maxsize=1)
@@ -107,8 +108,11 @@ def _wordings():
     return own, frozenset(t for w in own.values() for t in zip(w, w[1:], w[2:])), first
 
 
-@lru_cache(maxsize=4096)
 def _reductions(flat: str) -> list[tuple[float, str]]:
+    return _short_reductions(flat) if len(flat) <= CACHED else _all_reductions(flat)
+
+
+def _all_reductions(flat: str) -> list[tuple[float, str]]:
     data = flat.encode()
     plain, with_ = _coders()
     alone = len(plain.compress(data))
@@ -116,20 +120,37 @@ def _reductions(flat: str) -> list[tuple[float, str]]:
 
 
 @lru_cache(maxsize=4096)
+def _short_reductions(flat: str) -> list[tuple[float, str]]:
+    return _all_reductions(flat)
+
+
+@lru_cache(maxsize=1)
+def _counts() -> dict:
+    return {name: Counter(words) for name, words in _wordings()[0].items()}
+
+
 def match_block(block: str, compact: bool = False) -> dict | None:
     """The best confirmed template of one block: name, size reduction, covered share, wording differences, place; None if none is.
 
     ``compact`` asks that no more words stand between those of the template than it has.
+    Templates are taken by their size reduction; only those are left out whose words, in
+    any order, are too few in the block to confirm them or to beat the best so far.
     """
+    return _short_match(block, compact) if len(block) <= CACHED else _match(block, compact)
+
+
+def _match(block: str, compact: bool) -> dict | None:
     low = _lower(block)
     tokens = list(_WORD.finditer(low))
     words, marks = [t.group() for t in tokens], {m.start(1) for m in _MARK.finditer(low)}
     rank = _reductions(_flat(block))
-    best, first = None, None
+    best, first, held = None, None, Counter(words)
     for reduction, name in rank:
-        if best and reduction < rank[BEST - 1][0]:
-            break
         own = _wordings()[0][name]
+        needed = CONFIRMED if len(own) >= SHORT else 1.0
+        most = sum(min(n, held[w]) for w, n in _counts()[name].items()) / len(own)
+        if most < needed or (best and most < first[0]):
+            continue
         same = missing = 0
         extra: list[str] = []
         lacks: list[str] = []
@@ -144,7 +165,7 @@ def match_block(block: str, compact: bool = False) -> dict | None:
         # a number or a license name that differs makes another license
         telling = [w for w in lacks + extra if any(ch.isdigit() for ch in w) or w in {"nc", "sa", "nd", "lesser", "affero", "by-nc", "by-sa", "by"}]
         key = (share, same - len(extra), reduction)
-        if share < (CONFIRMED if len(own) >= SHORT else 1.0) or telling or (compact and len(extra) > len(own)):
+        if share < needed or telling or (compact and len(extra) > len(own)):
             continue
         if best is None or key > first:
             equal = [s for s in steps if s[0] == "equal"]
@@ -157,6 +178,11 @@ def match_block(block: str, compact: bool = False) -> dict | None:
     return best
 
 
+@lru_cache(maxsize=4096)
+def _short_match(block: str, compact: bool) -> dict | None:
+    return _match(block, compact)
+
+
 def find(text: str) -> list[dict]:
     """Every confirmed template of the text, and every cue run without one, in the order of the text.
 

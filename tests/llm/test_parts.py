@@ -131,3 +131,27 @@ def test_ranked_equals_a_window(spark):
     for _, part in got.groupby("g", dropna=False):
         part = part.sort_values("o")
         assert list(part["r"]) == list(range(len(part))) and list(part["t"]) == list(part["w"].cumsum())
+
+
+def test_license_winner_against_all_wordings(monkeypatch):
+    """Blocks of several templates, cut and mixed: no template that is left out would have won."""
+    import random
+
+    from relload.llm import licenses
+
+    rnd = random.Random(4)
+    texts = list(licenses.TEMPLATES.values())
+    blocks = [" ".join(rnd.sample(texts, rnd.randint(1, 5))) for _ in range(12)]
+    blocks += [" ".join(w for w in b.split() if rnd.random() > 0.05) for b in blocks] + ["", "licensed", "x " * 3000 + texts[1]]
+    got = [licenses._match(b, False) for b in blocks]
+    assert sum(g is not None for g in got) >= 12 and got == [licenses.match_block(b) for b in blocks]
+    every = {name: words for name, words in licenses._wordings()[0].items()}
+    for block, hit in zip(blocks, got):
+        alone = []
+        for name in every:  # each template as if it were the only one
+            monkeypatch.setattr(licenses, "_reductions", lambda flat, name=name: [x for x in licenses._all_reductions(flat) if x[1] == name])
+            one = licenses._match(block, False)
+            if one:
+                words = len(every[name])
+                alone.append((one["share"], round(one["share"] * words) - one["extra"], one["reduction"], name))
+        assert (hit["license"] if hit else None) == (max(alone, key=lambda x: x[:3])[3] if alone else None)
