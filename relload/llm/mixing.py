@@ -21,7 +21,6 @@ from relload.llm.common import free_name, ranked, write_table
 GRID = 1_000_000  # exponents are multiples of 1 / GRID
 _CUTS = 100  # grid points tried in one pass over the sources
 
-MAX_REPEAT = 100.0  # how many times as often as another source one is repeated at most, where no limit is given
 _RUN = 1_000  # blocks in one array
 
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -141,12 +140,13 @@ def draw(docs: DataFrame, quotas: DataFrame, row: list[str], source_col: str, te
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-    entropy_share: float | None = None, max_repeat: float | None = MAX_REPEAT, budget_share: float | None = 1.0, seed: str = "mix",
+    entropy_share: float | None = None, max_repeat: float | None = None, budget_share: float | None = 1.0, seed: str = "mix",
 ) -> DataFrame:
     """(doc_id, source, tokens, block, place): the uses of every row under the mixture.
 
-    ``entropy_share`` of the largest entropy is met as far as no source is repeated over
-    ``max_repeat`` times as often as another (None: however often).
+    ``entropy_share`` of the largest entropy is met however often that repeats a small
+    source, unless ``max_repeat`` is given: then as far as no source is repeated over
+    that many times as often as another.
     The budget is ``budget_share`` of the table's tokens, or with None the least that
     uses every row.  Tokens are runs of other than ASCII white space; null and empty
     texts have none and are drawn with the block of their source.  Null ids and sources

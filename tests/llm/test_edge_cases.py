@@ -253,6 +253,21 @@ def test_many_blocks_of_one_row(spark):
     assert sorted(r.block for r in got) == list(range(1500))  # 6003 tokens in halves: 3001 for two tokens
 
 
+def test_op10_meets_its_entropy_beside_a_tiny_source_as_its_sql_does(spark, tmpdir_path):
+    """The query draws a source as often as 95 % of the largest entropy asks, here over 1,000 times as often as another."""
+    import duckdb
+    from relload.llm import queries
+
+    docs = spark.createDataFrame([(1, "tiny", "x y"), (2, "big", "z " * 6001), (3, "big", None)], "doc_id long, source string, text string")
+    docs.write.parquet(f"{tmpdir_path}/documents.parquet")
+    got = queries.op10_temperature_mix(spark, tmpdir_path)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmpdir_path}/documents.parquet/*.parquet'")
+        want = db.execute(queries.ORACLES["op10_temperature_mix"]).fetchall()
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == sorted(want) and sum(r[1] == "tiny" for r in rows) > 1000
+
+
 def test_contamination(spark, odd, none):
     item = PROSE.upper() + "!"
     bench = spark.createDataFrame([(1, item, 3), (2, None, 3), (3, "too short", 3), (None, "w1 w2 w3 w4 w5 w6 w7 w8 w9", 3), (1, item, 3)], "item_id long, text string, doc_id int")
