@@ -172,3 +172,37 @@ def test_a_header_alone_in_its_split_and_files_of_one_line(spark, tmpdir_path, s
             assert sorted(r.header for r in dump.headers.collect()) == [head] * 3
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_cutting_holds_no_more_than_the_open_record():
+    """A split of many batches: the rules that look back keep the open record, and the ends of a split are told as before."""
+    import weakref
+
+    import pyarrow as pa
+    from relload.sources import cut
+
+    alive = []
+
+    def lines():
+        for i in range(50):
+            value = [f'{i * 100 + j},2020-01-01,"a' if j % 2 == 0 else 'b"' for j in range(100)]
+            batch = pa.RecordBatch.from_pydict({
+                "value": value, "_s": pa.array([7] * 100, pa.int64()), "q": pa.array([1] * 100, pa.int32()), "cand": [j % 2 == 0 for j in range(100)],
+                "_n0": pa.array([1000] * 100, pa.int64()), "_q0": pa.array([0] * 100, pa.int64()), "_last": [False] * 100,
+                "_p": ["file"] * 100, "_b": pa.array([0] * 100, pa.int64()), "_m": pa.array(range(i * 100, i * 100 + 100), pa.int64()),
+            })
+            alive.append(weakref.ref(batch))
+            held.append(sum(r() is not None for r in alive))
+            yield batch
+
+    for mode in ("parity", "pattern", "parity_pattern"):
+        held, got = [], []
+        for out in cut.records(mode)(lines()):
+            got += out.to_pylist()
+        assert max(held) <= 3
+        assert [r["line_no"] for r in got] == list(range(1001, 6001, 2))
+        assert [r["raw"] for r in got[:2]] == ['0,2020-01-01,"a\nb"', '2,2020-01-01,"a\nb"']
+        assert [r["edge"] for r in got] == [None] * 2499 + [True]
+    held = []
+    (row,) = [r for b in cut.sizes(lines()) for r in b.to_pylist()]
+    assert max(held) <= 3 and row == {"_p": "file", "_b": 0, "n": 5000, "_m0": 0, "header": '0,2020-01-01,"a'}
