@@ -74,3 +74,13 @@ def test_numbering_windows_are_bounded_within_a_split(spark, tmpdir_path, monkey
     assert sizes.agg(F.max("count")).first()[0] <= 16 and sizes.count() >= 32
     placed = report.with_position(outcomes).orderBy("_ob", "_om").collect()
     assert [r.pos for r in placed] == list(range(500))
+
+
+def test_positions_of_places_far_apart_need_no_window_over_records(spark):
+    """Every record lies in a block of its own: the running sum is over partitions, not over blocks."""
+    rows = [("b", 7 * i % 501 * 1000, 1, "inserted") for i in range(501)] + [("a", 5, 1, "rejected"), ("a", None, 1, "rejected")]
+    placed = report.with_position(spark.createDataFrame(rows, "_p string, _ob long, _om long, status string"))
+    got = [(r.pos, r._p, r._ob) for r in placed.orderBy("pos").collect()]
+    assert got == [(1, "a", 5)] + [(i + 2, "b", i * 1000) for i in range(501)]
+    plan = placed._jdf.queryExecution().toString()
+    assert "Window" in plan and "_ob" not in "".join(x for x in plan.splitlines() if "Window" in x)
