@@ -75,6 +75,19 @@ def test_language_of_many_copies_is_learned(spark):
     assert set(model.langs) == {"aa", "bb"} and all(r.l == r.lang and not r.r for r in got)
 
 
+def test_language_model_is_learned_from_all_texts(spark):
+    """1,500 texts, far more than a sample held: one more text moves the centroids, and the dealing of the rows does not."""
+    docs = _labelled(spark, [("aa", 1500, 0), ("bb", 1500, 0)])
+    model = langid.fit(docs, F.lit(True))
+    again = langid.fit(docs.repartition(7), F.lit(True))
+    assert model.langs == again.langs and model.threshold == again.threshold and (model.centroids == again.centroids).all()
+    texts = docs.where("lang = 'aa'").select("text").collect()
+    seen = [r.text for r in texts[::150]]  # wherever its hash lies, each text counts
+    for text in seen[:3]:
+        less = langid.fit(docs.where(F.col("text") != text), F.lit(True))
+        assert less.centroids.shape != model.centroids.shape or (less.centroids != model.centroids).any()
+
+
 def test_language_sample_is_shared_by_all(spark, monkeypatch):
     monkeypatch.setattr(langid, "MAX_SAMPLE", 100)
     docs = _labelled(spark, [(f"big{i}", 2000, 0) for i in range(4)] + [("rare", 30, 0)])
