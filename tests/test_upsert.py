@@ -129,3 +129,45 @@ def test_no_payload_goes_through_an_aggregate(spark, tmpdir_path):
         plan = target._jdf.queryExecution().explainString(mode)
         assert "HashAggregate" in plan and "SortAggregate" not in plan, spec.name
         assert target.count() == (0 if spec is CLUSTER else 1), spec.name  # the cluster row has no dates
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_groups_of_conflicting_rows_are_replayed_apart(spark, few, monkeypatch):
+    """Many small groups, more rows than one task replays: each group is settled at once, without a round over the rest."""
+    monkeypatch.setattr(upsert, "REPLAY_ROWS", 60)
+    monkeypatch.setattr(upsert, "_settle", lambda *_: 1 / 0)
+    if not few:
+        monkeypatch.setattr(upsert, "is_broadcast", lambda df: False)
+    rnd = random.Random(17)
+    existing = [(100 * g, f"k{g}_0") for g in range(0, 12, 2)]
+    rows = []
+    for _ in range(400):
+        g = rnd.randint(0, 11)
+        k = rnd.randint(0, 3)
+        # ids of a group's keys; ids that no other key asks for; keys that fail their check
+        i = 100 * g + (rnd.randint(0, 3) if rnd.random() < 0.8 else 10 + 10 * k + rnd.randint(0, 3))
+        rows.append((i, f"k{g}_{k}", k != 3))
+    rows += [(9000 + n // 2, f"m{rnd.randint(0, 30)}", True) for n in range(300)]  # ids asked for twice running: keys move from one to the next
+    state, st = models.natural_replay(existing, rows)
+    data = [(s, i, k, ok, None if ok else "FK violation") for s, (i, k, ok) in enumerate(rows)]
+    r = _rows(spark, data, "seq long, id long, k string, _ok boolean, _fkr string")
+    up = upsert_natural(r, spark.createDataFrame(existing, "id long, k string"), ["id", "k"], ["k"], ["id"])
+    assert {x.k: x.id for x in up.target.collect()} == state
+    assert _statuses(up) == st
+
+
+@pytest.mark.parametrize("in_one_task", [6, 10**6])
+def test_many_dirty_ids_match_sequential_replay(spark, in_one_task, monkeypatch):
+    """Above the broadcast bound all rows are looked at by id and by key; FK results differ within a key, too."""
+    monkeypatch.setattr(upsert, "REPLAY_ROWS", in_one_task)
+    monkeypatch.setattr(upsert, "is_broadcast", lambda df: False)
+    rnd = random.Random(23)
+    existing = [(i, f"k{i}") for i in range(4)]
+    rows = [(rnd.randint(0, 14), f"k{rnd.randint(0, 11)}", rnd.random() < 0.8) for _ in range(30)]
+    rows += [(100 + n, f"c{n % 3}", n % 3 != 1) for n in range(9)]  # keys that share no id
+    state, st = models.natural_replay(existing, rows)
+    data = [(s, i, k, ok, None if ok else "FK violation") for s, (i, k, ok) in enumerate(rows)]
+    r = _rows(spark, data, "seq long, id long, k string, _ok boolean, _fkr string")
+    up = upsert_natural(r, spark.createDataFrame(existing, "id long, k string"), ["id", "k"], ["k"], ["id"])
+    assert {x.k: x.id for x in up.target.collect()} == state
+    assert _statuses(up) == st
