@@ -171,3 +171,11 @@ def test_many_dirty_ids_match_sequential_replay(spark, in_one_task, monkeypatch)
     up = upsert_natural(r, spark.createDataFrame(existing, "id long, k string"), ["id", "k"], ["k"], ["id"])
     assert {x.k: x.id for x in up.target.collect()} == state
     assert _statuses(up) == st
+
+
+def test_rows_that_come_twice_have_one_status_each(spark):
+    data = [(0, 1, "a"), (1, 1, "b"), (2, 50, "a"), (2, 50, "a"), (3, 51, "a"), (4, 52, "a")]
+    r = _rows(spark, [(*d, True, None) for d in data], "seq long, id long, k string, _ok boolean, _fkr string")
+    up = upsert_natural(r, None, ["id", "k"], ["k"], ["id"])
+    assert _statuses(up) == ["inserted", "rejected", *["updated"] * 4]
+    assert [(x.id, x.k) for x in up.target.collect()] == [(52, "a")]
