@@ -78,3 +78,33 @@ def test_megabyte_field_with_many_quotes(spark):
     r = df.select(D.split_lenient(F.col("s")).alias("l"), D.split_toggle(F.col("s")).alias("t")).collect()[0]
     assert r.l[0] == 'ab"' * 60000 and r.l[1] == "x"
     assert r.t[0] == 'ab"' * 60000
+
+
+def test_lines_with_and_without_quotes_split_alike(spark):
+    rnd = random.Random(11)
+    alphabet = ['a', '"', ',', '\\', '\n', 'é', '𝒳', *D.RESERVED, "0", "3"]
+    lines = ["".join(rnd.choices(alphabet if i % 2 else [c for c in alphabet if c != '"'], k=rnd.randrange(12))) for i in range(600)]
+
+    def fields(line):  # dialect E, character by character
+        out, cur, quoted, i = [], "", False, 0
+        while i < len(line):
+            c = line[i]
+            if c == "\\":
+                cur += line[i + 1 : i + 2]
+                i += 1
+            elif c == '"' and quoted and line[i + 1 : i + 2] == '"':
+                cur += c
+                i += 1
+            elif c == '"':
+                quoted = not quoted
+            elif c == "," and not quoted:
+                out, cur = [*out, cur], ""
+            else:
+                cur += c
+            i += 1
+        return [*out, cur]
+
+    got = _split_all(spark, lines)
+    assert [got[i][2] for i in range(len(lines))] == [fields(x) for x in lines]
+    plan = spark.createDataFrame([("a",)], "s string").select(D.split_escape_all(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" not in plan and plan.count("regexp_replace") == 0  # a field costs no pass over its characters but plain replacements
