@@ -61,7 +61,8 @@ def contaminated(
     ours = _seeds(items.select("item", F.col("item_words").alias("words")), "item_at").select("item", "item_at", "seed").distinct()
     ours = write_table(ours, "benchmark-seeds")
     theirs = _seeds(rows.select(*ROW_KEY, tokens(F.col("text")).alias("words")), "text_at")
-    seeds = F.broadcast(ours) if ours.count() <= BROADCAST_SEEDS else ours
+    # in a shuffle neither side is broadcast: Spark does not see how many seeds a text is exploded into
+    seeds = F.broadcast(ours) if ours.count() <= BROADCAST_SEEDS else ours.hint("merge")
     hits = theirs.join(seeds, "seed").select(*ROW_KEY, "item", (F.col("text_at") - F.col("item_at")).alias("shift"))
     hits = write_table(hits.distinct(), "seed-hits")
 

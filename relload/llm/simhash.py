@@ -89,7 +89,8 @@ def close_pairs(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     at_home = placed.where("home").select("anchor", F.col("fp").alias("a"))
     met = placed.select("anchor", F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return at_home.join(met, "anchor").where((F.col("a") < F.col("b")) & near).select("a", "b")
+    # Spark takes a fingerprint and its guests for one row each, so it would broadcast 68 times what it expects
+    return at_home.join(met.hint("merge"), "anchor").where((F.col("a") < F.col("b")) & near).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from relload.llm import repeats, simhash
+from relload.llm import decontam, repeats, simhash
 from relload.llm.common import ranked
 from relload.llm.components import connected_components
 from test_brute_force import plain_strip
@@ -40,6 +40,25 @@ def test_close_pairs_equal_all_pairs(spark, bits):
     assert len(got) == len(set(got)) and set(got) == want and (bits == 0 or want)
 
 
+def test_guests_at_anchors_are_not_broadcast_however_few_fingerprints_there_are(spark):
+    """Each fingerprint becomes some 68 rows that Spark does not expect."""
+    pairs = simhash.close_pairs(spark.range(1000).select(F.xxhash64("id").alias("fp")))
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_seeds_of_texts_are_not_broadcast_where_the_benchmark_is_too_large(spark, tmpdir_path, monkeypatch):
+    plans = {}
+    write = lambda df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or real(df, name)
+    real = decontam.write_table
+    monkeypatch.setattr(decontam, "write_table", write)
+    monkeypatch.setattr(decontam, "BROADCAST_SEEDS", 0)
+    text = " ".join(f"w{i}" for i in range(20))
+    spark.createDataFrame([(1, f"a b {text} c"), (2, "none of it")], "doc_id long, text string").write.parquet(f"{tmpdir_path}/docs")
+    found = decontam.contaminated(spark.read.parquet(f"{tmpdir_path}/docs"), spark.createDataFrame([(7, text)], "item_id long, text string"))
+    assert [(r.doc_id, r.item_id, r.shift, r.matched) for r in found.collect()] == [(1, 7, 2, 13)]
+    assert "Broadcast" not in plans["seed-hits"]
+
+
 def test_every_anchor_lies_within_radius_plus_threshold():
     fps = np.random.default_rng(1).integers(0, 2**63, 300, dtype=np.int64)
     anchor, fp, home = simhash.anchors_within(fps, 2)
