@@ -9,6 +9,8 @@ from dump_files import write
 from relload import load, load_all
 from relload import CITED, CLUSTER, JOINED_BY, OPINION, PANEL, PARENTHETICAL, SEARCH_CITATION
 from relload.operators import report
+from relload.operators.fk import distinct_missing
+from relload.plans.load_all import Loaded
 
 
 def _opinion(i, cluster):
@@ -84,3 +86,14 @@ def test_positions_of_places_far_apart_need_no_window_over_records(spark):
     assert got == [(1, "a", 5)] + [(i + 2, "b", i * 1000) for i in range(501)]
     plan = placed._jdf.queryExecution().toString()
     assert "Window" in plan and "_ob" not in "".join(x for x in plan.splitlines() if "Window" in x)
+
+
+def test_ids_of_parents_are_not_broadcast_however_small_their_files_look(spark):
+    """Ids beside literals, as in placeholder rows, are far more than their column's share of a file says."""
+    parent, child = spark.range(500).select(F.col("id").cast("int").alias("id")), spark.range(400, 600).select(F.col("id").cast("int").alias("opinioncluster_id"), "id")
+    missing = distinct_missing(child, ["opinioncluster_id"], parent)
+    done = Loaded("", {CLUSTER.name: parent, PANEL.name: child})
+    for df in (missing, done.orphans()):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in missing.collect()) == list(range(500, 600))
+    assert [tuple(r) for r in done.orphans().collect()] == [(PANEL.name, "opinioncluster_id", CLUSTER.name, 100)]
